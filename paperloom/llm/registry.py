@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import pii, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op4_pii": pii.op4_pii,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
+    "op4_pii": pii.SQL,
 }
