@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import pii, quality_rules
+from . import pii, quality_rules, sentencepiece
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_sentencepiece": sentencepiece.op2_sentencepiece,
     "op4_pii": pii.op4_pii,
 }
 
