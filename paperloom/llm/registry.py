@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import pii, quality_rules, sentencepiece
+from . import decontaminate, pii, quality_rules, sentencepiece
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
     "op4_pii": pii.op4_pii,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
     "op4_pii": pii.SQL,
+    "op6_decontaminate": decontaminate.SQL,
 }
