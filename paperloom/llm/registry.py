@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, pii, quality_rules, sentencepiece
+from . import decontaminate, near_dedup, pii, quality_rules, sentencepiece
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
     "op4_pii": pii.op4_pii,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
 }
 
 SQL = {
