@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stash, table
-from .similar import bands_of, bytes_of, mix, near_components, sketches
+from .similar import bands_of, mix, near_components, sketches
 
 SHINGLE, PERCENT = 5, 75
 #: 32 bands of 6 coordinates: a pair at 75 percent is missed once in 500 times, at 80 once in 16,000.
@@ -73,9 +73,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(size),
                     pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
                     pa.array(list(bands), pa.list_(pa.int64())),
-                    pa.array([s.tobytes() for s in bytes_of(sketch)], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "bands", "sig"],
+                names=["doc_id", "n_shingles", "set_key", "bands"],
             )
 
 
@@ -83,14 +82,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of docs."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     made = docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"
+        _sketch, "doc_id long, n_shingles long, set_key binary, bands array<long>"
     )
     made = stash(made, "sketches")
     linked = made.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stash(linked.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "classes")
-    nodes = linked.join(classes.select("id", "set_key"), "set_key").filter("doc_id = id").dropDuplicates(["id"]).select("id", "bands", "sig")
+    nodes = linked.join(classes.select("id", "set_key"), "set_key").filter("doc_id = id").select("id", "bands")
     nodes = stash(nodes, "nodes")
-    texts = docs.filter("doc_id IS NOT NULL").withColumnRenamed("doc_id", "id").dropDuplicates(["id"]) if _repeats(linked) else docs.withColumnRenamed("doc_id", "id")
+    texts = docs.withColumnRenamed("doc_id", "id")
     comp = near_components(nodes, texts, shingles, PERCENT)
     of_class = classes.join(comp, "id", "left").select("set_key", F.coalesce("comp", "id").alias("component"))
     found = made.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
@@ -100,10 +99,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _repeats(linked: DataFrame) -> bool:
-    """Whether a doc_id has several rows."""
-    return not linked.groupBy("doc_id").count().filter("count > 1").isEmpty()
-
-
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, near_dedup, pii, quality_rules, sentencepiece
+from . import decontaminate, line_dedup, near_dedup, pii, quality_rules, sentencepiece
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
     "op4_pii": pii.op4_pii,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_near_dedup": near_dedup.op9_near_dedup,
 }

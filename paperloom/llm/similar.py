@@ -47,7 +47,7 @@ def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
             place = base + ((h >> np.uint64(32)) * np.uint64(t) >> np.uint64(32)).astype(np.int64)
         else:
             place = base + (i - t)
-        np.minimum.at(out, place, (np.uint64(i) << np.uint64(48)) | (mix(h) >> np.uint64(16)))
+        np.minimum.at(out, place, (np.uint64(i) << np.uint64(48)) | (h & np.uint64(2**48 - 1)))
         open_ = (out.reshape(rows, t) == _EMPTY).any(axis=1)
         stay = open_[base // t]
         if not stay.any():
@@ -161,26 +161,44 @@ def _likely(least: float, best: bool) -> Callable:
     return run
 
 
+#: Coordinates of the sketch that estimates similarity inside a bucket.
+WIDTH = 192
+
+
+def signatures(texts: DataFrame, set_of: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(id, sig): one byte of each of WIDTH coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                sets = [set_of(t) for t in batch.column(1).to_pylist()]
+                sig = bytes_of(sketches(np.concatenate(sets), np.array([len(s) for s in sets], np.int64), WIDTH))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "sig"])
+
+    kind = dict(texts.dtypes)["id"]
+    return texts.select("id", F.col("text").cast("binary")).mapInArrow(run, f"id {kind}, sig binary")
+
+
 def near_components(nodes: DataFrame, texts: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
     """(id, comp) of the nodes that have a link; comp is the least id reached.
 
-    nodes: (id, bands, sig), one row per distinct set, stored; texts: (id, text).
+    nodes: (id, bands), stored, where rows with one id are equal; texts: (id,
+    text), where the rows of one id hold the same set.
     """
     bands = nodes.select("id", F.explode("bands").alias("key"))
-    groups = bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    member = stash(bands.join(groups, "key"), "buckets")
-    near = stash(texts.join(member.select("id").distinct(), "id", "left_semi"), "candidates")
+    groups = bands.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("hi")).filter("leader < hi").drop("hi")
+    member = stash(bands.join(groups, "key").distinct(), "buckets")
+    near = texts.join(member.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    near = stash(near, "candidates")
     pairs = member.filter("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = stash(verify(pairs, near, set_of, percent), "links")
     comp = components(links)
-    width = nodes.select(F.length("sig")).first()
-    if width is None:
-        return comp
-    least = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / width[0]) ** 0.5
+    least = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / WIDTH) ** 0.5
     for best in (True, False):
         comp = stash(comp, "components")
         rest = (
-            member.filter("n > 2 AND id != leader")
+            member.filter("id != leader")
             .join(comp, "id", "left")
             .select("key", "id", F.coalesce("comp", "id").alias("comp"))
         )
@@ -189,8 +207,9 @@ def near_components(nodes: DataFrame, texts: DataFrame, set_of: Callable[[bytes]
         if rest.isEmpty():
             break
         blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        seen = near.join(rest.select("id").distinct(), "id", "left_semi")
         dealt = (
-            rest.join(nodes.select("id", "sig"), "id")
+            rest.join(signatures(seen, set_of), "id")
             .withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "sig")
