@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables
+from . import decontaminate, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_token_tables": token_tables.op7_token_tables,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_near_dedup": near_dedup.op9_near_dedup,
 }
 
