@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity
+from . import decontaminate, html_text, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_token_tables": token_tables.op7_token_tables,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_near_dedup": near_dedup.op9_near_dedup,
+    "op10_html_text": html_text.op10_html_text,
 }
 
 SQL = {
