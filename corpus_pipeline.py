@@ -1,11 +1,71 @@
-"""The corpus pipeline: five stages from raw documents to encoded ones."""
+"""The corpus pipeline: five stages from raw documents to encoded ones.
 
-STAGES: list = []
+Each stage reads what the one before has written and applies one operator of
+paperloom.llm to all of it:
+
+1. quality rules: lines that fail go, rejected documents go
+2. line dedup: of similar lines one stays; a document whose every line goes is
+   a copy of lines kept elsewhere and goes too
+3. near duplicates: one document of each group stays
+4. decontamination: documents contaminated by benchmark items go
+5. SentencePiece: every document's ids, counted and digested
+
+The first four return the columns of documents, with text and n_chars as they
+are then; extra columns of documents are carried along.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paperloom.llm import common, decontaminate, line_dedup, near_dedup, quality_rules, sentencepiece
+
+
+def _as_documents(frame: DataFrame, columns: list[str], lengths: bool = False) -> DataFrame:
+    frame = frame.withColumn("n_chars", F.length("text").cast("long")) if lengths and "n_chars" in columns else frame
+    return frame.select(*columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(docs).filter("kept").withColumn("text", F.col("clean_text"))
+    return _as_documents(judged, docs.columns, lengths=True)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(docs).filter((F.size("dropped") == 0) | (F.size("dropped") < F.col("n_lines")))
+    return _as_documents(out, docs.columns, lengths=True)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return _as_documents(docs.join(kept, "doc_id", "left_semi"), docs.columns)
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = common.table(spark, sf_dir, "benchmark")
+    return _as_documents(decontaminate.decontaminate(docs, items).filter(~F.col("contaminated")), docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece.digests(docs, sentencepiece.model_path())
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near dedup", near_duplicates),
+    ("decontamination", clean_of_benchmark),
+    ("sentencepiece", tokens),
+]
+
+#: Similarity components can't be stated in SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each written to the shared folder and read by the next."""
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = common.stash(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -52,7 +52,7 @@ KINDS = (
     Kind("secret", r"""(?i)\b(?:token|secret|api[_-]?key|password|passwd)["']?[\x20\t]{0,3}[=:][\x20\t]{0,3}["'][A-Za-z0-9+/_=-]{16,}["']""", "[=:]", False, 70, r"(?i)(auth|bearer|credential)"),
 )
 MIN_SCORE = 50
-#: Characters on each side in which context words count.
+#: Characters on each side in which context words count, up to the next match of the kind.
 NEAR = 40
 _BLOCK = 512
 

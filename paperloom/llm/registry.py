@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity
+from . import decontaminate, html_text, license_scan, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_sentencepiece": sentencepiece.op2_sentencepiece,
+    "op3_license_scan": license_scan.op3_license_scan,
     "op4_pii": pii.op4_pii,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_decontaminate": decontaminate.op6_decontaminate,
@@ -18,6 +19,7 @@ QUERIES = {
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
+    "op3_license_scan": license_scan.SQL,
     "op4_pii": pii.SQL,
     "op6_decontaminate": decontaminate.SQL,
 }
