@@ -24,6 +24,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with columns computed before any later filter on them.
+
+    A filter on a column made of nested lambdas would else be pushed below the
+    projections that make it and spell each of them out at every use.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    held = df.select(*rest, F.explode(F.array(row)).alias("_row"))
+    return held.select(*rest, *[F.col(f"_row.`{c}`").alias(c) for c in columns])
+
+
 def setting(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
 

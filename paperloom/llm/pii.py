@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import computed_once, table
 
 _LOCAL, _HOST = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 
@@ -164,7 +164,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.withColumns({f"_pii_e{i}": running_sum(F.col(f"_pii_n{i}")) for i in every})
     spans = {f"_pii_s{i}": spans_of(i, KINDS[i], *[F.col(f"_pii_{x}{i}") for x in "mqe"]) for i in every}
     docs = docs.withColumns(spans)
-    return docs.withColumn("pii", F.sort_array(F.concat(*spans))).drop(*own)
+    return computed_once(docs.withColumn("pii", F.sort_array(F.concat(*spans))).drop(*own), ["pii"])
 
 
 def _length_with(pieces: str):

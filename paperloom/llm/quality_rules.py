@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, computed_once, table
 
 SYMBOLS = r"#*$%&|<>"
 #: A lone mark between blanks that menus put between their entries.
@@ -128,13 +128,14 @@ def quality_rules(docs: DataFrame, cfg: QualityConfig = QualityConfig(), text: s
         {
             "n_failed_lines": F.size(bad).cast("long"),
             "lost_chars": F.aggregate(bad, F.lit(0).cast("long"), lambda a, x: a + non_blank(x["line"])),
-            "clean_text": F.array_join(F.transform(F.filter("_judged", lambda x: ~x["bad"]), lambda x: x["line"]), "\n"),
             "base_failed": (F.col("n_words") < cfg.min_words)
             | (F.col("n_repeat_words") * 100 > F.col("n_words") * cfg.max_repeat_percent),
         }
-    ).drop("_judged")
+    )
     lost = F.col("lost_chars") * 100 > F.col("word_chars") * cfg.max_lost_percent
-    return out.withColumn("kept", ~F.col("base_failed") & ~lost)
+    out = computed_once(out.withColumn("kept", ~F.col("base_failed") & ~lost), added[:-1])
+    good = F.filter("_judged", lambda x: ~x["bad"])
+    return out.withColumn("clean_text", F.array_join(F.transform(good, lambda x: x["line"]), "\n")).drop("_judged")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
