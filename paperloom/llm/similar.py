@@ -9,7 +9,8 @@ Equal bands of a sketch put sets into a common bucket. Emitting all pairs of a
 bucket is never needed: each member is first held against the least member of
 its buckets. Buckets whose other members are then still in more than one
 component are compared inside tasks, in blocks of bounded size, by sketch; only
-pairs that may reach the threshold are confirmed on their full sets.
+pairs that may reach the threshold are confirmed on their full sets, in the same
+task, and only links that join components leave it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from .common import stash
 from .graph import components
 
 #: Members of a bucket that one task holds against as many others.
-BLOCK = 256
+BLOCK = 512
+#: Elements of sets that a task keeps at a time while it confirms the pairs of a block.
+HELD = 20_000_000
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -93,35 +96,61 @@ def verify(pairs: DataFrame, texts: DataFrame, set_of: Callable[[bytes], np.ndar
             for a, ta, tb in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 if mine is None or a != last:
                     last, mine = a, set_of(ta)
-                other = set_of(tb)
-                small, large = sorted((len(mine), len(other)))
-                if small * 100 < large * percent:
-                    keep.append(False)
-                    continue
-                shared = len(np.intersect1d(mine, other, assume_unique=True))
-                keep.append(shared * 100 >= (small + large - shared) * percent)
+                keep.append(reaches(mine, set_of(tb), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, both.select("a", "b").schema)
 
 
-def _likely(least: float, best: bool) -> Callable:
-    """Pairs of different components in a bucket block whose sketches are alike enough."""
+def reaches(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sets share percent or more of their union."""
+    small, large = sorted((len(mine), len(other)))
+    if small * 100 < large * percent:
+        return False
+    shared = len(np.intersect1d(mine, other, assume_unique=True))
+    return shared * 100 >= (small + large - shared) * percent
 
-    def pairs(ids: list, comps: np.ndarray, side: np.ndarray, first: int, second: int, sig: np.ndarray) -> list[tuple]:
+
+def _linked(least: float, set_of: Callable[[bytes], np.ndarray], percent: int) -> Callable:
+    """Confirmed links between different components of a bucket block.
+
+    Pairs whose sketches are alike enough are confirmed on full sets, the
+    likeliest first; a pair that the links so far already join is passed over,
+    so a block gives fewer links than it has members.
+    """
+
+    def pairs(ids: list, comps: np.ndarray, side: np.ndarray, first: int, second: int, sig: np.ndarray, texts: pa.ChunkedArray) -> list[tuple]:
         left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
-        equal = np.stack([(sig[i] == sig[right]).mean(axis=1) for i in left]) if len(left) and len(right) else np.zeros((0, 0))
+        if not len(left) or not len(right):
+            return []
+        equal = np.stack([(sig[i] == sig[right]).mean(axis=1) for i in left])
         alike = (equal - 1 / 256) / (1 - 1 / 256) >= least
         alike &= comps[left][:, None] != comps[right][None, :]
         if first == second:
             alike = np.triu(alike, 1)
         x, y = np.nonzero(alike)
-        if best and len(x):
-            ca, cb = comps[left[x]], comps[right[y]]
-            order = np.argsort(-equal[x, y], kind="stable")
-            _, pick = np.unique(np.stack([np.minimum(ca, cb)[order], np.maximum(ca, cb)[order]]), axis=1, return_index=True)
-            x, y = x[order[pick]], y[order[pick]]
-        return [(min(p), max(p)) for p in zip((ids[i] for i in left[x]), (ids[i] for i in right[y]))]
+        order = np.argsort(-equal[x, y], kind="stable")
+        parent, sets, held, links = list(range(int(comps.max()) + 1)), {}, 0, []
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        for i, j in zip(left[x[order]].tolist(), right[y[order]].tolist()):
+            a, b = root(int(comps[i])), root(int(comps[j]))
+            if a == b:
+                continue
+            if held > HELD:
+                sets, held = {}, 0
+            for k in (i, j):
+                if k not in sets:
+                    sets[k] = set_of(texts[k].as_py())
+                    held += len(sets[k])
+            if reaches(sets[i], sets[j], percent):
+                parent[max(a, b)] = min(a, b)
+                links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -137,7 +166,7 @@ def _likely(least: float, best: bool) -> Callable:
             sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
             comps = np.unique(np.array([str(c) for c in block.column("comp").to_pylist()]), return_inverse=True)[1]
             i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
-            return pairs(block.column("id").to_pylist(), comps, block.column("side").to_numpy(), i, j, sig)
+            return pairs(block.column("id").to_pylist(), comps, block.column("side").to_numpy(), i, j, sig, block.column("text"))
 
         def emit(links: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], kind) for k in (0, 1)], names=["a", "b"])
@@ -166,7 +195,7 @@ WIDTH = 192
 
 
 def signatures(texts: DataFrame, set_of: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(id, sig): one byte of each of WIDTH coordinates."""
+    """(id, text, sig): sig has one byte of each of WIDTH coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -174,10 +203,10 @@ def signatures(texts: DataFrame, set_of: Callable[[bytes], np.ndarray]) -> DataF
                 batch = whole.slice(start, 512)
                 sets = [set_of(t) for t in batch.column(1).to_pylist()]
                 sig = bytes_of(sketches(np.concatenate(sets), np.array([len(s) for s in sets], np.int64), WIDTH))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "sig"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "text", "sig"])
 
     kind = dict(texts.dtypes)["id"]
-    return texts.select("id", F.col("text").cast("binary")).mapInArrow(run, f"id {kind}, sig binary")
+    return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"id {kind}, text binary, sig binary")
 
 
 def near_components(nodes: DataFrame, texts: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
@@ -195,29 +224,22 @@ def near_components(nodes: DataFrame, texts: DataFrame, set_of: Callable[[bytes]
     links = stash(verify(pairs, near, set_of, percent), "links")
     comp = components(links)
     least = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / WIDTH) ** 0.5
-    for best in (True, False):
-        comp = stash(comp, "components")
-        rest = (
-            member.filter("id != leader")
-            .join(comp, "id", "left")
-            .select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        )
-        open_ = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo != hi")
-        rest = stash(rest.join(open_.select("key", "m"), "key"), "open")
-        if rest.isEmpty():
-            break
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        seen = near.join(rest.select("id").distinct(), "id", "left_semi")
-        dealt = (
-            rest.join(signatures(seen, set_of), "id")
-            .withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "sig")
-            .repartition("key", "i", "j")
-            .sortWithinPartitions("key", "i", "j")
-        )
-        kind = dict(dealt.dtypes)["id"]
-        pairs = dealt.mapInArrow(_likely(least, best), f"a {kind}, b {kind}").distinct()
-        links = stash(links.union(verify(pairs, near, set_of, percent)).distinct(), "links")
-        comp = components(links)
-    return comp
+    comp = stash(comp, "components")
+    rest = member.filter("id != leader").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+    open_ = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo != hi")
+    rest = stash(rest.join(open_.select("key", "m"), "key"), "open")
+    if rest.isEmpty():
+        return comp
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    seen = near.join(rest.select("id").distinct(), "id", "left_semi")
+    dealt = (
+        rest.join(signatures(seen, set_of), "id")
+        .withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "sig", "text")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j")
+    )
+    kind = dict(dealt.dtypes)["id"]
+    more = dealt.mapInArrow(_linked(least, set_of, percent), f"a {kind}, b {kind}")
+    return components(stash(links.union(more).distinct(), "links"))
