@@ -114,7 +114,7 @@ def delete_documents(spark: SparkSession, name: str, documents: list[str]) -> in
     gone = spark.createDataFrame([(d,) for d in documents], "document STRING")
     old = spark.table(_quoted(safe))
     comment = table_comment(spark, safe)
-    without_documents(old, gone).write.saveAsTable(new)
+    without_documents(old, gone).write.saveAsTable(f"`{new}`")
     spark.sql(f"DROP TABLE {_quoted(safe)}")
     spark.sql(f"ALTER TABLE `{new}` RENAME TO {_quoted(safe)}")
     if comment:
@@ -190,10 +190,10 @@ def load(spark: SparkSession, name: str, chunks: DataFrame, factory: EmbedderFac
     if replace and there:
         named = chunks.select(F.col("metadata")["source"].alias("document"))
         new = f"{safe}_{uuid.uuid4().hex[:8]}"
-        without_documents(spark.table(_quoted(safe)), named).write.saveAsTable(new)
+        without_documents(spark.table(_quoted(safe)), named).write.saveAsTable(f"`{new}`")
         spark.sql(f"DROP TABLE {_quoted(safe)}")
         spark.sql(f"ALTER TABLE `{new}` RENAME TO {_quoted(safe)}")
-    embed(chunks, factory, dimension).write.mode("append").saveAsTable(safe)
+    embed(chunks, factory, dimension).write.mode("append").saveAsTable(_quoted(safe))
 
 
 def most_similar(collection: DataFrame, vector: list[float], k: int) -> DataFrame:

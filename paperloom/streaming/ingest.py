@@ -16,7 +16,7 @@ from paperloom.operators import chunk, collection
 
 def stream_artefacts(spark: SparkSession, folder: str) -> DataFrame:
     """(source, text) of artefact files as they appear in a folder."""
-    raw = spark.readStream.schema("value STRING").option("wholetext", True).text(folder)
+    raw = spark.readStream.schema("value STRING").text(folder, wholetext=True)
     text = F.make_valid_utf8("value")
     return raw.select(F.coalesce(source_of_artefact(text), file_name(F.col("_metadata.file_path"))).alias("source"), text.alias("text"))
 
