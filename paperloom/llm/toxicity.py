@@ -125,7 +125,8 @@ def toxic_share(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     labels = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(fold != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = int(min(1.0, max_rows / max(1, labels.count())) * 1_000_000)
     picked = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < share
-    rows = docs.select("doc_id", "text").filter((fold != 0) & picked).join(labels.filter(picked), "doc_id")
+    # the picked labels are about max_rows rows of two numbers, whatever the input
+    rows = docs.select("doc_id", "text").filter((fold != 0) & picked).join(F.broadcast(labels.filter(picked)), "doc_id")
     return stash(rows.select(F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).alias("toxic"), fold.alias("part")), "labelled")
 
 
