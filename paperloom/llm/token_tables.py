@@ -25,6 +25,7 @@ the empty key and sorts first; rows that share a doc_id keep an entry each.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -46,9 +47,11 @@ from .common import new_folder, stash, table
 
 END_ID = 2
 MAGIC = b"PLSST001"
+#: Fixed value: how byte-level vocabularies write the blank.
+BLANK = "Ġ"
 _FOOTER = struct.Struct("<QQQQQQBB6x8s")
 BLOCK_BYTES, BLOOM_BITS, BLOOM_HASHES = 256 * 1024, 10, 7
-CACHE_CHUNKS, SLICE_CHARS = 200_000, 4_000_000
+CACHE_CHUNKS, JOINED, SLICE_CHARS = 150_000, 1000, 2_000_000
 _TIGHT = re.compile(r" \s|\s |^ | $")
 
 
@@ -74,6 +77,9 @@ class Tokens:
         self.library = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(added)) if added else None
+        vocabulary = self.library.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.width = 2 if self.library.get_vocab_size() <= 65536 else 4
         self.clear()
 
@@ -82,7 +88,21 @@ class Tokens:
         self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks that each start with their blank, in one array, and how many each has.
+
+        Many chunks go to the library as one text; the ids of tokens that start with a blank part them again.
+        """
+        texts = ("".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED))
+        ids = [np.array(self.whole([t])[0], np.uint32) for t in texts]
+        flat = np.concatenate([np.empty(0, np.uint32), *ids])
+        size = np.diff(np.r_[np.flatnonzero(self.opens[flat]), len(flat)])
+        if len(size) == len(chunks):
+            return flat, size
+        parted = self.whole(chunks)
+        return np.concatenate([np.array(i, np.uint32) for i in parted]), np.array([len(i) for i in parted])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -101,9 +121,16 @@ class Tokens:
             ends.append(len(at))
         if places.new:
             # a first chunk is kept under a name that no later chunk can have
-            ids = self.whole([c[2:] if c.startswith("\n ") else " " + c for c in places.new])
-            self.flat = np.concatenate([self.flat, *[np.array(i, np.uint32) for i in ids]])
-            self.size = np.r_[self.size, [len(i) for i in ids]].astype(np.int64)
+            first = np.array([c.startswith("\n ") for c in places.new])
+            size = np.empty(len(first), np.int64)
+            heads = self.whole([c[2:] for c in places.new if c.startswith("\n ")])
+            size[first] = [len(i) for i in heads]
+            flat, size[~first] = self.chunks([" " + c for c in places.new if not c.startswith("\n ")])
+            both = np.empty(int(size.sum()), np.uint32)
+            of_first = np.repeat(first, size)
+            both[of_first] = np.concatenate([np.empty(0, np.uint32), *[np.array(i, np.uint32) for i in heads]])
+            both[~of_first] = flat
+            self.flat, self.size = np.concatenate([self.flat, both]), np.r_[self.size, size]
             places.new = []
         at = np.array(at, np.int64)
         size, start = self.size[at], (np.cumsum(self.size) - self.size)[at]
@@ -118,6 +145,8 @@ class Tokens:
 
 @lru_cache(maxsize=2)
 def tokens(path: str) -> Tokens:
+    # a task has one core; the library's own threads would only take memory and time from others
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokens(path)
 
 
