@@ -2,16 +2,16 @@
 
 A page is read into blocks of text with a role: inside an article, inside main,
 other, or furniture (menus, headers, footers, sidebars, notices, adverts, forms,
-comments by element or class). What a page marks as its article, or else as its
-main part, is its text, whole: copies of an article repeat across pages too, so
-repetition says nothing against it.
+comments by element or class). The blocks that a page marks as its article, or
+else as its main part, or else all but furniture may hold its text.
 
-A page without such marks is told apart from its host: the token streams of the
-host's pages outside articles are concatenated and their suffixes sorted, by
-prefix doubling up to the length that counts; substrings of RUN tokens or more
-that occur in several distinct pages are boilerplate. A block mostly covered by
-them goes, the unique runs stay. Hosts of any size are cut into groups of about
-GROUP pages by a hash, each a sample of the host, so no task holds a whole host.
+The token streams of a host's pages are concatenated and their suffixes sorted,
+by prefix doubling up to the length that counts; a run of RUN tokens that occurs
+in MIN_PAGES distinct pages of the host, however large, is boilerplate. Blocks
+that such runs cover go, and of other blocks the runs inside them; the unique
+rest stays. No task holds a whole host: hosts are cut into groups of about GROUP
+pages, each group's suffix array counts its runs, and the counts are added up
+over the host by a hash of the run.
 
 Defined results: a null or empty html has no text; pages whose url has no host
 form the host ''; equal streams count as one page; rows that share a page_id
@@ -22,17 +22,19 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stash, table
+from .similar import mix
 
-RUN, GROUP, MIN_PAGES, MIN_SHARE, MIN_COVER = 8, 500, 3, 0.05, 0.5
+RUN, GROUP, MIN_PAGES, BUCKETS = 8, 500, 3, 256
 ARTICLE, MAIN, OTHER, FURNITURE = 0, 1, 2, 3
 
 _TOKEN = re.compile(
@@ -146,33 +148,45 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _best(blocks: list[tuple[str, int]]) -> int:
+    """The role of the blocks that hold a page's text."""
+    roles = {r for _, r in blocks}
+    return ARTICLE if ARTICLE in roles else MAIN if MAIN in roles else OTHER
+
+
+def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([host_of(u) for u in batch.column(0).to_pylist()], pa.string())], names=["host"])
+
+
+_BLOCKS_TYPE = pa.list_(pa.struct([("text", pa.string()), ("role", pa.int8())]))
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for start in range(0, whole.num_rows, 256):
             batch = whole.slice(start, 256)
-            urls = batch.column("url").to_pylist()
-            texts, side, marked = [], [], []
-            for page in batch.column("html").to_pylist():
-                blocks = page_blocks(page)
-                roles = {r for _, r in blocks}
-                best = ARTICLE if ARTICLE in roles else MAIN if MAIN in roles else None
-                marked.append(best is not None)
-                texts.append("\n\n".join(t for t, r in blocks if r == best) if best is not None else None)
-                side.append([{"text": t, "furniture": r == FURNITURE} for t, r in blocks if r >= OTHER])
-            kind = pa.list_(pa.struct([("text", pa.string()), ("furniture", pa.bool_())]))
+            hosts = [host_of(u) for u in batch.column("url").to_pylist()]
+            pages = [page_blocks(page) for page in batch.column("html").to_pylist()]
+            # pages of equal tokens meet in one group, where they count once
+            digests = [xxhash.xxh3_64_intdigest(" ".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")) - 2**63 for blocks in pages]
+            blocks = pa.array([[{"text": t, "role": r} for t, r in blocks] for blocks in pages], _BLOCKS_TYPE)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array([host_of(u) for u in urls], pa.string()), pa.array(marked, pa.bool_()), pa.array(texts, pa.string()), pa.array(side, kind)],
-                names=["page_id", "url", "host", "marked", "text", "side"],
-            )
+                [batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), blocks],
+                names=["page_id", "url", "host", "digest", "blocks"],
+            )
 
 
-def repeated_tokens(streams: list[list[int]], run: int, least: int) -> list[np.ndarray]:
-    """For each stream, which tokens lie in a substring of `run` tokens or more that occurs in `least` distinct streams.
+def _classes(streams: list[list[int]], run: int) -> tuple[np.ndarray, ...]:
+    """The suffixes of all streams in order of their first `run` tokens, and the classes of those that share them.
 
     The streams are concatenated with a unique token after each, and their
     suffixes are sorted by prefix doubling: after k rounds ranks order them by
     their first 2^k tokens, and two last ranks that overlap give the order by
     `run` tokens. Neighbours of equal rank share a substring of that length.
+
+    Gives the text, each stream's size, the suffixes, where each class begins
+    among them, and in how many distinct streams it occurs.
     """
     size = np.array([len(s) for s in streams], np.int64)
     top = max((max(s, default=0) for s in streams), default=0) + 1
@@ -193,77 +207,220 @@ def repeated_tokens(streams: list[list[int]], run: int, least: int) -> list[np.n
     of, at = rank[suffixes], owner[suffixes]
     first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     fresh = np.r_[True, (of[1:] != of[:-1]) | (at[1:] != at[:-1])]
-    pages = np.add.reduceat(fresh.astype(np.int64), first)
-    often = np.repeat(pages >= least, np.diff(np.r_[first, len(of)]))
-    edge = np.zeros(len(text) + 1, np.int64)
-    starts = suffixes[often]
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + run, len(text)), -1)
-    covered = np.cumsum(edge[:-1]) > 0
+    return text, size, suffixes, first, np.add.reduceat(fresh.astype(np.int64), first)
+
+
+def repeated_tokens(streams: list[list[int]], run: int, least: int) -> list[np.ndarray]:
+    """For each stream, which tokens lie in a substring of `run` tokens or more that occurs in `least` distinct streams."""
+    text, size, suffixes, first, pages = _classes(streams, run)
+    starts = suffixes[np.repeat(pages >= least, np.diff(np.r_[first, len(suffixes)]))]
+    hit = np.zeros(len(text), bool)
+    hit[starts] = True
+    covered = _spread(hit, run)
     cut = np.cumsum(size + 1)
     return [covered[b - n - 1 : b - 1] for b, n in zip(cut.tolist(), size.tolist())]
 
 
-def _judge(rows: list[tuple[int, list[list[str]]]]) -> list[tuple[int, list[bool]]]:
-    """Per page of a group, which of its blocks are mostly boilerplate."""
-    ids: dict[str, int] = {}
-    streams, own = [], {}
-    for _, blocks in rows:
-        stream = [ids.setdefault(w, len(ids)) for b in blocks for w in b]
-        key = xxhash.xxh3_128_digest(np.array(stream, np.int64))
-        if own.setdefault(key, len(streams)) == len(streams):
-            streams.append(stream)
+def _spread(hit: np.ndarray, run: int) -> np.ndarray:
+    """Which places lie in a run that starts at a hit."""
+    seen = np.r_[0, np.cumsum(hit)]
+    at = np.arange(len(hit))
+    return seen[at + 1] > seen[np.maximum(at + 1 - run, 0)]
+
+
+class _Words:
+    """Numbers and hashes of the words of a group."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.hashes: list[int] = []
+
+    def stream(self, blocks: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """The words of a page and the block of each; -1 stands where marked text begins or ends, so no run crosses that."""
+        best, ids, of, before = _best(blocks), [], [], None
+        for k, (text, role) in enumerate(blocks):
+            if best != OTHER and before not in (None, role == best):
+                ids.append(-1)
+                of.append(-1)
+            before = role == best
+            words = text.split()
+            for w in words:
+                if (x := self.ids.get(w)) is None:
+                    x = self.ids[w] = len(self.hashes)
+                    self.hashes.append(xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")))
+                ids.append(x)
+            of += [k] * len(words)
+        return np.array(ids, np.int64), np.array(of, np.int64)
+
+    def keys(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of the RUN words from each place on, and whether there are so many, with no -1 among them."""
+        n = len(ids)
+        key, whole = np.zeros(n, np.uint64), np.zeros(n, bool)
+        if n >= RUN:
+            word = np.array([*self.hashes, 0], np.uint64)[ids]
+            m = n - RUN + 1
+            for j in range(RUN):
+                key[:m] = mix(key[:m] * np.uint64(0x9E3779B97F4A7C15) + word[j : m + j])
+            bad = np.r_[0, np.cumsum(ids < 0)]
+            whole[:m] = bad[RUN:] == bad[:m]
+        return key, whole
+
+
+def _counts(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each run of the pages, by its hash, and in how many distinct pages it occurs."""
+    words, streams, seen = _Words(), [], set()
+    for blocks in pages:
+        ids = words.stream(blocks)[0]
+        own = ids[ids >= 0].tobytes()
+        if own and own not in seen:
+            seen.add(own)
+            streams.append(ids)
     if not streams:
-        return []
-    least = max(MIN_PAGES, int(np.ceil(MIN_SHARE * len(streams))))
-    covered = repeated_tokens(streams, RUN, least)
-    out = []
-    for rid, blocks in rows:
-        stream = np.array([ids[w] for b in blocks for w in b], np.int64)
-        hit, at, flags = covered[own[xxhash.xxh3_128_digest(stream)]], 0, []
-        for b in blocks:
-            flags.append(len(b) > 0 and float(hit[at : at + len(b)].mean()) >= MIN_COVER)
-            at += len(b)
-        out.append((rid, flags))
-    return out
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by host and salt; each such group is judged on its own."""
-    held, now = [], None
-
-    def batch_of(found: list[tuple[int, list[bool]]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([f for _, f in found], pa.list_(pa.bool_()))], names=["rid", "boilerplate"])
-
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    alone, unique = len(words.hashes), []
+    for ids in streams:
+        gaps = np.flatnonzero(ids < 0)
+        ids = ids.copy()
+        ids[gaps] = alone + np.arange(len(gaps))
+        alone += len(gaps)
+        unique.append(ids.tolist())
+    text, _, suffixes, first, pages_of = _classes(unique, RUN)
+    key, whole = words.keys(np.where(text < len(words.hashes), text, -1))
+    at = suffixes[first]
+    return key[at[whole[at]]], pages_of[whole[at]]
+
+
+def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
+    """The page's text without the runs in hot, which is sorted.
+
+    A block that such runs cover goes; of others the runs inside it go.
+    """
+    best = _best(blocks)
+    if best != OTHER or not len(hot):
+        return "\n\n".join(t for t, r in blocks if r == best)
+    ids, of = words.stream(blocks)
+    key, whole = words.keys(ids)
+    hit = whole & (hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)
+    covered = _spread(hit, RUN)
+    inside = _spread(hit & (of == np.r_[of[RUN - 1 :], np.full(min(RUN - 1, len(of)), -1)][: len(of)]), RUN)
+    kept = []
+    for k, (text, role) in enumerate(blocks):
+        if role == best:
+            at = np.flatnonzero(of == k)
+            if not inside[at].any() and not covered[at].all():
+                kept.append(text)
+            elif not covered[at].all():
+                kept.append(" ".join(w for w, x in zip(text.split(), inside[at].tolist()) if not x))
+    return "\n\n".join(kept)
+
+
+def _groups(page_id: pa.DataType, url: pa.DataType, least: int) -> Callable:
+    """Rows come sorted by host and salt. A host of one group is judged at once; of others the pages and counts of runs are given on."""
+    kind = pa.schema([
+        ("page_id", page_id), ("url", url), ("text", pa.string()), ("host", pa.string()), ("salt", pa.int32()), ("bucket", pa.int32()),
+        ("blocks", _BLOCKS_TYPE), ("keys", pa.binary()), ("counts", pa.binary()),
+    ])
+
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        host, salt, groups = held["key"]
+        keys, counts = _counts(list(held["pages"].values()))
+        if groups == 1:
+            hot, words = np.sort(keys[counts >= least]), _Words()
+            texts = {k: _text(blocks, words, hot) for k, blocks in held["pages"].items()}
+            out = [{"page_id": p, "url": u, "text": texts[k]} for p, u, k in held["rows"]]
+        else:
+            out = [{"page_id": p, "url": u, "host": host, "salt": salt, "blocks": [{"text": t, "role": r} for t, r in held["pages"][k]]} for p, u, k in held["rows"]]
+            bucket = (keys >> np.uint64(40)).astype(np.int64) % min(groups, BUCKETS)
+            for b in np.unique(bucket).tolist():
+                mine = bucket == b
+                out.append({"host": host, "salt": salt, "bucket": b, "keys": keys[mine].tobytes(), "counts": counts[mine].astype(np.int32).tobytes()})
+        for start in range(0, len(out), 256):
+            yield pa.RecordBatch.from_pylist(out[start : start + 256], kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for page, link, host, salt, groups, blocks in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "salt", "groups", "blocks"))):
+                if held is None or held["key"] != (host, salt, groups):
+                    if held is not None:
+                        yield from rows(held)
+                    held = {"key": (host, salt, groups), "rows": [], "pages": {}}
+                found = tuple((b["text"], b["role"]) for b in blocks)
+                held["pages"].setdefault(found, found)
+                held["rows"].append((page, link, found))
+        if held is not None:
+            yield from rows(held)
+
+    return run
+
+
+def _hot(least: int) -> Callable:
+    """(host, salt, keys): the runs of each group that `least` pages of the whole host have, from rows sorted by host and bucket."""
+
+    def rows(host: str, held: list[tuple]) -> pa.RecordBatch:
+        keys = [np.frombuffer(k, np.uint64) for _, k, _ in held]
+        of = np.unique(np.concatenate(keys), return_inverse=True)[1]
+        pages = np.bincount(of, np.concatenate([np.frombuffer(c, np.int32) for _, _, c in held]))
+        often = np.split(pages[of] >= least, np.cumsum([len(k) for k in keys])[:-1])
+        out = [(salt, k[o].tobytes()) for (salt, _, _), k, o in zip(held, keys, often) if o.any()]
+        return pa.RecordBatch.from_arrays([pa.array([host] * len(out), pa.string()), pa.array([s for s, _ in out], pa.int32()), pa.array([k for _, k in out], pa.binary())], names=["host", "salt", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for host, bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("host", "bucket", "salt", "keys", "counts"))):
+                if (host, bucket) != now and held:
+                    yield rows(now[0], held)
+                    held = []
+                now = (host, bucket)
+                held.append(tuple(row))
+        if held:
+            yield rows(now[0], held)
+
+    return run
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of pages; the rows with the runs of a group come before its pages."""
+    now, hot, words, pages = None, [], _Words(), False
     for batch in batches:
-        for host, salt, rid, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "rid", "texts"))):
-            if (host, salt) != now and held:
-                yield batch_of(_judge(held))
-                held = []
-            now = (host, salt)
-            held.append((rid, [t.split() for t in texts]))
-    if held:
-        yield batch_of(_judge(held))
+        texts = []
+        for host, salt, keys, blocks in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "keys", "blocks"))):
+            if (host, salt) != now:
+                now, hot, words, pages = (host, salt), [], _Words(), False
+            if keys is not None:
+                hot.append(np.frombuffer(keys, np.uint64))
+                texts.append(None)
+                continue
+            if not pages:
+                hot, pages = np.unique(np.concatenate([*hot, np.empty(0, np.uint64)])), True
+            texts.append(_text([(b["text"], b["role"]) for b in blocks], words, hot))
+        out = pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+        yield out.filter(pa.array([t is not None for t in texts], pa.bool_()))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of pages with page_id, url and html."""
     kinds = dict(pages.select("page_id", "url").dtypes)
-    parsed = pages.select("page_id", "url", "html").mapInArrow(
-        _parse,
-        f"page_id {kinds['page_id']}, url {kinds['url']}, host string, marked boolean, text string, side array<struct<text:string,furniture:boolean>>",
-    )
-    parsed = stash(parsed.withColumn("rid", F.monotonically_increasing_id()), "pages")
-    streams = parsed.filter(F.size("side") > 0).select("rid", "host", F.col("side.text").alias("texts"))
-    sizes = streams.groupBy("host").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-    dealt = streams.join(sizes, "host").withColumn("salt", F.pmod(F.xxhash64("rid"), F.col("groups")).cast("int"))
-    judged = dealt.select("host", "salt", "rid", "texts").repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(
-        _groups, "rid long, boilerplate array<boolean>"
+    out = f"page_id {kinds['page_id']}, url {kinds['url']}, text string"
+    array = "array<struct<text:string,role:tinyint>>"
+    # only hosts of several groups: at most one row for every GROUP pages
+    large = pages.select("url").mapInArrow(_hosts, "host string").groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP)
+    large = large.select("host", F.ceil(F.col("n") / GROUP).cast("int").alias("groups"))
+    parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, digest long, blocks {array}")
+    dealt = parsed.join(F.broadcast(large), "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
+    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("groups")).cast("int")).drop("digest")
+    arrow = to_arrow_schema(pages.select("page_id", "url").schema)
+    judged = dealt.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(
+        _groups(arrow.field(0).type, arrow.field(1).type, MIN_PAGES),
+        f"{out}, host string, salt int, bucket int, blocks {array}, keys binary, counts binary",
     )
-    bare = parsed.filter(~F.col("marked")).join(judged, "rid", "left")
-    unique = F.filter("side", lambda b, i: ~b["furniture"] & ~F.coalesce(F.get("boilerplate", i), F.lit(False)))
-    bare = bare.select("page_id", "url", F.array_join(F.transform(unique, lambda b: b["text"]), "\n\n").alias("text"))
-    return parsed.filter("marked").select("page_id", "url", "text").unionByName(bare)
+    judged = stash(judged, "pages")
+    runs = judged.filter("bucket IS NOT NULL").select("host", "bucket", "salt", "keys", "counts")
+    hot = runs.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_hot(MIN_PAGES), "host string, salt int, keys binary")
+    rest = judged.filter("blocks IS NOT NULL").select("page_id", "url", "host", "salt", "blocks")
+    both = rest.unionByName(hot, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("keys").asc_nulls_last())
+    return judged.filter("text IS NOT NULL").select("page_id", "url", "text").unionByName(both.mapInArrow(_cut, out))
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

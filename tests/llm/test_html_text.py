@@ -66,3 +66,21 @@ def test_pages(spark):
     got = html_text.main_text(df).collect()
     assert len(got) == len(rows) and all(r.text == want[r.page_id] for r in got)
     assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_notice_of_a_large_host(spark):
+    """Few of a large host's pages repeat a notice, inside blocks that are otherwise their own."""
+    rng = random.Random(3)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice = "we use small files on your device to make this site work better for all"
+    rows, want = [], {}
+    for i in range(1300):
+        head, tail = own(10 if i % 3 else 1), own(5)
+        with_notice = i % 65 == 0
+        rows.append((i, f"http://big.example/{i}", f"<body><p>{head}{' ' + notice if with_notice else ''} {tail}</p></body>"))
+        want[i] = f"{head} {tail}"
+    rows += [(5000 + i, f"http://big.example/x{i}", f"<p>{notice}</p>") for i in range(3)]
+    want |= {5000 + i: "" for i in range(3)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert got == want
