@@ -9,7 +9,9 @@ The token streams of a host's pages are concatenated and their suffixes sorted,
 by prefix doubling up to the length that counts; a run of RUN tokens that occurs
 in MIN_PAGES distinct pages of the host, however large, is boilerplate. Blocks
 that such runs cover go, and of other blocks the runs inside them; the unique
-rest stays. No task holds a whole host: hosts are cut into groups of about GROUP
+rest stays. Tags are evidence beside it: copies of an article repeat too, so
+where runs cover MIN_COPY or more of the text that a page marks, the mark
+prevails and that text stays whole. No task holds a whole host: hosts are cut into groups of about GROUP
 pages, each group's suffix array counts its runs, and the counts are added up
 over the host by a hash of the run.
 
@@ -34,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import stash, table
 from .similar import mix
 
-RUN, GROUP, MIN_PAGES, BUCKETS = 8, 500, 3, 256
+RUN, GROUP, MIN_PAGES, MIN_COPY, BUCKETS = 8, 500, 3, 0.5, 256
 ARTICLE, MAIN, OTHER, FURNITURE = 0, 1, 2, 3
 
 _TOKEN = re.compile(
@@ -293,16 +295,20 @@ def _counts(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]
 def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
     """The page's text without the runs in hot, which is sorted.
 
-    A block that such runs cover goes; of others the runs inside it go.
+    A block that such runs cover goes; of others the runs inside it go. Marked
+    text that is mostly such runs is a copy and stays.
     """
     best = _best(blocks)
-    if best != OTHER or not len(hot):
+    if not len(hot):
         return "\n\n".join(t for t, r in blocks if r == best)
     ids, of = words.stream(blocks)
     key, whole = words.keys(ids)
     hit = whole & (hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)
     covered = _spread(hit, RUN)
     inside = _spread(hit & (of == np.r_[of[RUN - 1 :], np.full(min(RUN - 1, len(of)), -1)][: len(of)]), RUN)
+    role_of = np.array([*(r for _, r in blocks), -1], np.int64)[of]
+    if best != OTHER and covered[role_of == best].mean() >= MIN_COPY:
+        return "\n\n".join(t for t, r in blocks if r == best)
     kept = []
     for k, (text, role) in enumerate(blocks):
         if role == best:

@@ -84,3 +84,22 @@ def test_notice_of_a_large_host(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
     assert got == want
+
+
+def test_repeats_inside_articles(spark):
+    """Repeats inside marked text go; a copy of an article stays."""
+    rng = random.Random(4)
+    own = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    share = "tell your friends about this page and read more of our stories every single day"
+    copy = own()
+    rows, want = [], {}
+    for i in range(8):
+        text, tag = own(), "main" if i % 2 else "article"
+        rows.append((i, f"http://a.example/{i}", f"<{tag}><p>{text}</p><p>{share}</p></{tag}><footer>foot</footer>"))
+        want[i] = text
+    for i in range(8, 12):
+        rows.append((i, f"http://a.example/{i}", f"<nav>n{i}</nav><article><p>{copy}</p></article>"))
+        want[i] = copy
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert got == want
