@@ -42,22 +42,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
     """One row of t values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled."""
     rows = len(size)
-    out = np.full(rows * t, _EMPTY)
-    base = np.repeat(np.arange(rows, dtype=np.int64) * t, size)
+    done = np.full((rows, t), _EMPTY)
+    row = np.arange(rows)
+    # only sets with an unfilled bin are carried on; out has a row for each
+    out, base = done, np.repeat(row * t, size)
     for i in range(2 * t):
         h = mix(flat + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
         if i < t:
             place = base + ((h >> np.uint64(32)) * np.uint64(t) >> np.uint64(32)).astype(np.int64)
         else:
             place = base + (i - t)
-        np.minimum.at(out, place, (np.uint64(i) << np.uint64(48)) | (h & np.uint64(2**48 - 1)))
-        open_ = (out.reshape(rows, t) == _EMPTY).any(axis=1)
+        np.minimum.at(out.reshape(-1), place, (np.uint64(i) << np.uint64(48)) | (h & np.uint64(2**48 - 1)))
+        open_ = (out == _EMPTY).any(axis=1)
+        if open_.all():
+            continue
+        done[row] = out
         stay = open_[base // t]
         if not stay.any():
             break
-        if not stay.all():
-            flat, base = flat[stay], base[stay]
-    return out.reshape(rows, t)
+        flat, row, out = flat[stay], row[open_], out[open_]
+        base = (np.cumsum(open_) - 1)[base[stay] // t] * t
+    else:
+        done[row] = out
+    return done
 
 
 def bands_of(sketch: np.ndarray, rows: int) -> np.ndarray:
