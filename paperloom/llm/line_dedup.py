@@ -1,13 +1,14 @@
 """Operator 5: fuzzy duplicate lines, one of each component kept.
 
-Lines are compared by sets of 12-character shingles; those that share 75
+Lines are compared by sets of 5-character shingles, so that one edit inside a
+line of 39 characters or more leaves it linked; those that share 75
 percent or more of their union are linked, as are equal ones. MinHash sketches
 with high-recall bands propose, full sets confirm (similar.py), distributed
 union-find joins (graph.py), and the first line of each component, by doc_id
 and then place, is kept.
 
 Lines are stripped of blanks at both ends first. Lines without a word are left
-alone; lines under 24 characters are compared by equality only. A line is known
+alone; lines under 5 characters are compared by equality only. A line is known
 by a 64-bit hash of its text.
 
 Defined results: a null text has no lines and stays null; rows that share a
@@ -18,6 +19,7 @@ are left as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,27 +30,28 @@ from pyspark.sql import functions as F
 from .common import stash, table
 from .similar import bands_of, mix, near_components, sketches
 
-SHINGLE, PERCENT, MIN_FUZZY = 12, 75, 24
+#: Characters of a shingle, percent of the union, and characters of the shortest line that is sketched.
+SHINGLE, PERCENT, MIN_FUZZY = 5, 75, 5
 #: 30 bands of 5 coordinates: a pair at 75 percent is missed once in 3,300 times, at 80 once in 150,000; unlike lines rarely meet.
 BANDS, ROWS = 30, 5
 _BLANK = " \t\n\v\f\r"
 _SLICE_CHARS = 1_000_000
-_A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+_A = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _windows(code: np.ndarray) -> np.ndarray:
-    """A hash of each run of 12 numbers, by doubling."""
-    x = code.astype(np.uint64)
-    two = x[:-1] * _A + x[1:]
-    four = two[:-2] * _B + two[2:]
-    eight = four[:-4] * _C + four[4:]
-    return eight[:-4] * _D + four[8:]
+def _windows(code: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` numbers."""
+    x, n = code.astype(np.uint64), len(code) - size + 1
+    out = x[:n].copy()
+    for k in range(1, size):
+        out = out * _A + x[k : n + k]
+    return out
 
 
-def shingles(line: bytes) -> np.ndarray:
-    """The sorted distinct shingle hashes of a UTF-8 line of MIN_FUZZY characters or more."""
+def shingles(line: bytes, size: int = SHINGLE) -> np.ndarray:
+    """The sorted distinct shingle hashes of a UTF-8 line of `size` characters or more."""
     code = np.frombuffer(line.decode().encode("utf-32-le"), np.uint32)
-    return np.unique(mix(_windows(code)))
+    return np.unique(mix(_windows(code, size)))
 
 
 def line_id(line: str) -> int:
@@ -68,7 +71,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterator[pa.RecordBatch], shingle: int, least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, texts in _slices(batch):
             doc_of, place, lines = [], [], []
@@ -79,14 +82,14 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         place.append(k)
                         lines.append(line)
             size = np.array([len(x) for x in lines], np.int64)
-            fuzzy = np.flatnonzero(size >= MIN_FUZZY)
+            fuzzy = np.flatnonzero(size >= least)
             bands = np.empty((0, BANDS), np.int64)
             if len(fuzzy):
                 code = np.frombuffer("".join(lines[i] for i in fuzzy.tolist()).encode("utf-32-le"), np.uint32)
-                n = size[fuzzy] - SHINGLE + 1
+                n = size[fuzzy] - shingle + 1
                 start = np.cumsum(size[fuzzy]) - size[fuzzy]
                 inside = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                bands = bands_of(sketches(_windows(code)[inside], n, BANDS * ROWS), ROWS)
+                bands = bands_of(sketches(_windows(code, shingle)[inside], n, BANDS * ROWS), ROWS)
             ends = np.zeros(len(lines) + 1, np.int32)
             ends[fuzzy + 1] = BANDS
             yield pa.RecordBatch.from_arrays(
@@ -100,22 +103,24 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in _slices(batch):
-            lines = [x for t in texts for line in t.split("\n") if len(x := line.strip(_BLANK)) >= MIN_FUZZY]
+            lines = [x for t in texts for line in t.split("\n") if len(x := line.strip(_BLANK)) >= least]
             yield pa.RecordBatch.from_arrays([pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], names=["id", "text"])
 
 
-def duplicate_lines(docs: DataFrame) -> DataFrame:
+def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> DataFrame:
     """(doc_id, n_lines, dropped): lines with a word, and the places (from 0, in order) of those to drop.
 
+    Lines of `least` characters or more, which is `shingle` at least, are compared by shingles, others by equality.
+
     Documents without such lines have no row.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    lines = stash(docs.mapInArrow(_lines, "doc_id long, place int, id long, bands array<long>"), "lines")
-    texts = docs.mapInArrow(_texts, "id long, text string")
-    comp = near_components(lines.select("id", "bands"), texts, shingles, PERCENT)
+    lines = stash(docs.mapInArrow(partial(_lines, shingle=shingle, least=least), "doc_id long, place int, id long, bands array<long>"), "lines")
+    texts = docs.mapInArrow(partial(_texts, least=least), "id long, text string")
+    comp = near_components(lines.select("id", "bands"), texts, partial(shingles, size=shingle), PERCENT)
     own = lines.select("doc_id", "place", "id").join(comp, "id", "left").select("doc_id", "place", F.coalesce("comp", "id").alias("comp"))
     own = stash(own, "placed")
     first = own.groupBy("comp").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
@@ -128,7 +133,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs without the lines to drop, with n_lines and dropped added; rows keep their other columns."""
-    found = duplicate_lines(docs).withColumnRenamed("doc_id", "_doc_id")
+    found = duplicate_lines(docs, SHINGLE, MIN_FUZZY).withColumnRenamed("doc_id", "_doc_id")
     docs = docs.drop("n_lines", "dropped", "_doc_id")
     both = docs.join(found, docs["doc_id"] == found["_doc_id"], "left").drop("_doc_id")
     none = F.array().cast("array<int>")
@@ -139,7 +144,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = duplicate_lines(docs)
+    found = duplicate_lines(docs, SHINGLE, MIN_FUZZY)
     return docs.select("doc_id").join(found, "doc_id", "left").select(
         "doc_id",
         F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),

@@ -65,6 +65,23 @@ def test_texts(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_one_edit_inside_ordinary_lines(spark):
+    """One changed character or word inside lines of 40 to 90 characters."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    data, dropped = [], {}
+    for k in range(60):
+        line = " ".join(word() for _ in range(7 + k % 9))
+        at = len(line) // 2
+        data += [(2 * k, line), (2 * k + 1, line[:at] + "#" + line[at + 1 :])]
+        dropped |= {2 * k: "", 2 * k + 1: "0"}
+    data += [(500, "abcdefghijklmnopqrst"), (501, "abcdefghijklmnopqrsx"), (502, "abcd"), (503, "abce"), (504, "abcd")]
+    dropped |= {500: "", 501: "0", 502: "", 503: "", 504: "0"}
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    out = line_dedup.dedup_lines(df).collect()
+    assert {r.doc_id: ",".join(map(str, r.dropped)) for r in out} == dropped
+
+
 def test_bands_miss_few_pairs_at_the_threshold():
     """20,000 pairs that share 75 percent of their union: about 6 are missed."""
     rng = np.random.default_rng(12)
