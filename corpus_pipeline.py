@@ -6,7 +6,7 @@ paperloom.llm to all of it:
 1. quality rules: lines that fail go, rejected documents go
 2. line dedup: of similar lines one stays; a document whose every line goes is
    a copy of lines kept elsewhere and goes too
-3. near duplicates: one document of each group stays
+3. near duplicates: one document of each group stays; rows without doc_id stay
 4. decontamination: documents contaminated by benchmark items go
 5. SentencePiece: every document's ids, counted and digested
 
@@ -38,8 +38,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_dedup.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return _as_documents(docs.join(kept, "doc_id", "left_semi"), docs.columns)
+    """One row of each group stays, and every row without doc_id.
+
+    Each row is judged by its own text: further rows of a doc_id get ids past all others here.
+    """
+    rows = common.stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    own = F.col("doc_id").cast("long")
+    shared = rows.filter("doc_id IS NOT NULL").groupBy(own.alias("_shared")).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    shared = shared.filter("_n > 1").drop("_n")
+    top = rows.agg(F.max(own)).first()[0] or 0
+    first = F.col("_first").isNull() | (F.col("_row") == F.col("_first"))
+    rows = rows.join(shared, own == F.col("_shared"), "left").withColumn("_id", F.when(first, own).otherwise(F.lit(top) + 1 + F.col("_row")))
+    judged = near_dedup.near_duplicates(rows.select(F.col("_id").alias("doc_id"), "text"))
+    kept = judged.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
+    return _as_documents(rows.join(kept, "_id", "left_semi").unionByName(rows.filter("doc_id IS NULL")), docs.columns)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
