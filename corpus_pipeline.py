@@ -71,7 +71,7 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: Similarity components can't be stated in SQL; tests hold run() against a brute-force version.
+#: Similarity components can't be stated in SQL; tests/llm/test_pipeline.py holds stages to known results and run() to what must stay.
 ORACLE_SQL = None
 
 

@@ -1,6 +1,9 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from paperloom.llm import decontaminate
 
 KIND = "doc_id long, text string, lang string, _note string"
 
@@ -26,3 +29,48 @@ def test_near_duplicates_stage(spark):
     assert [n for i, _, n in got if not i] == [n for _, n in sorted([(a, "u"), (d, "v"), (d, "v")])]
     assert [i for i, t, _ in got if t == a and i] == [1]
     assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+def test_decontamination_stage(spark, tmp_path):
+    item, short = prose(20, 20), prose(21, 5)
+    items = [(1, item), (1, item), (None, prose(22, 20)), (3, None), (4, short), (5, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, prose(23), "en", "p"), (2, prose(24), "en", "q"), (2, prose(24), "en", "q"), (3, None, None, "r"), (4, "", "en", "s"), (5, prose(22, 20), "en", "t")]
+    # a hit is all 13 words of a window, or a whole shorter item; 13 of 261 words are under 5 percent
+    clean += [(6, " ".join(item.split()[:12]), "en", "u"), (7, prose(25, 248) + " " + " ".join(item.split()[:13]), "en", "v")]
+    dirty = [(None, item, "en", "w"), (8, item.upper(), "en", "x"), (9, prose(26, 40) + " " + short, "en", "y"), (10, prose(25, 247) + " " + " ".join(item.split()[:13]), "en", "z")]
+    df = spark.createDataFrame(clean + dirty, KIND).withColumnRenamed("_note", "n_words")
+    out = corpus_pipeline.clean_of_benchmark(spark, df, str(tmp_path))
+    assert out.columns == [c for c in df.columns]
+    assert sorted(r.text or "" for r in out.collect()) == sorted(t or "" for _, t, _, _ in clean)
+    assert corpus_pipeline.clean_of_benchmark(spark, df.limit(0), str(tmp_path)).count() == 0
+
+
+def test_line_stage(spark):
+    a, b, c = (prose(k) for k in range(30, 33))
+    data = [(1, f"{a}\n{b}", "en", "p"), (2, f"{a}\n{c}", "en", "q"), (3, b, "en", "r"), (None, a, "en", "s"), (4, None, None, "t"), (2, f"{a}\n{c}", "en", "q")]
+    df = spark.createDataFrame(data, KIND)
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.lines(spark, df, "").collect())
+    assert got == sorted([(1, f"{a}\n{b}"), (2, c), (2, c), (0, a), (4, "")])
+    assert corpus_pipeline.lines(spark, df.limit(0), "").count() == 0
+
+
+def test_run(spark, tmp_path):
+    """Real documents, some without an id and some repeated, through all stages; and empty tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    lone = docs.withColumn("text", F.concat(F.lit("unlike "), "text")).withColumn("doc_id", F.lit(None).cast("long"))
+    every = docs.union(docs.limit(20)).union(lone.limit(10))
+    for name, frame in (("all", every), ("none", every.limit(0))):
+        frame.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        items.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    frame = spark.read.parquet(f"{tmp_path}/all/documents.parquet")
+    quality = corpus_pipeline.quality(spark, frame, "").collect()
+    items = spark.read.parquet(f"{tmp_path}/all/benchmark.parquet")
+    dirty = decontaminate.decontaminate(corpus_pipeline.quality(spark, frame, ""), items).filter("contaminated AND doc_id IS NULL").count()
+    got = corpus_pipeline.run(spark, f"{tmp_path}/all").collect()
+    ids = [r.doc_id for r in got if r.doc_id is not None]
+    assert ids and len(ids) == len(set(ids)) and set(ids) <= {r.doc_id for r in quality}
+    nulls = sum(r.doc_id is None for r in quality)
+    assert nulls and sum(r.doc_id is None for r in got) == nulls - dirty
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
