@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +31,19 @@ def squeeze_blanks(text: Column) -> Column:
 
 
 def non_space_length(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, f"[{WS_CLASS}]", ""))
+    return F.length(F.translate(text, WS, ""))
+
+
+@cache
+def _digits() -> tuple[str, str]:
+    """The decimal digits of all other scripts, each script's ten in a row, and their ASCII counterparts."""
+    zeros = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.decimal(c, 1) == 0]
+    return "".join(chr(ord(zero) + k) for zero in zeros for k in range(10)), "0123456789" * len(zeros)
+
+
+def ascii_digits(number: Column) -> Column:
+    """Decimal digits of any script as 0 to 9."""
+    return F.translate(number, *_digits())
 
 
 def has_enough_text(text: Column, least: int) -> Column:
@@ -85,7 +101,7 @@ def file_name(path: Column) -> Column:
 
 def source_of_artefact(text: Column) -> Column:
     """The file name in the source line among the first 50 lines; null if there is none."""
-    head = F.array_join(F.slice(F.split(text, LINE_BREAK, -1), 1, 50), "\n")
+    head = F.array_join(F.slice(F.split(text, LINE_BREAK, 51), 1, 50), "\n")
     named = strip(F.regexp_extract(head, SOURCE_LINE, 1))
     return F.when(named != "", file_name(named))
 

@@ -31,6 +31,13 @@ COLLECTION = "id STRING, text STRING, metadata STRING, embedding ARRAY<FLOAT>"
 TOKENS = "request_id STRING, seq INT, content STRING, add_kw STRING, resp_meta STRING"
 
 
+def model_parameters(model_id: str, temperature: float = 0.0, max_tokens: int = 8000) -> dict[str, float]:
+    """What a model is called with; the limit of output tokens has the name that its provider takes (functions.text.token_limit_name)."""
+    provider = model_id.strip().split(".", 1)[0].strip().lower() if "." in (model_id or "") else ""
+    limit = {"openai": "max_completion_tokens", "gemini": "max_output_tokens"}.get(provider, "max_tokens")
+    return {"temperature": temperature, limit: max_tokens}
+
+
 @dataclass(frozen=True)
 class ClassifyConfig:
     sample_pages: int = 10

@@ -18,11 +18,12 @@ def parse_pages(artefacts: DataFrame) -> DataFrame:
     """
     body = F.regexp_replace(T.artefact_body(F.col("text")), "\r\n", "\n")
     cut = artefacts.select("source", body.alias("_body"))
-    cut = cut.select("source", F.regexp_extract_all("_body", F.lit(FOOTER), F.lit(1)).alias("_n"), F.split("_body", FOOTER, -1).alias("_t"))
+    numbers = F.transform(F.regexp_extract_all("_body", F.lit(FOOTER), F.lit(1)), T.ascii_digits)
+    cut = cut.select("source", numbers.alias("_n"), F.split("_body", FOOTER, -1).alias("_t"))
     page = F.transform("_n", lambda n, i: F.struct(n.alias("n"), F.get(F.col("_t"), i).alias("t")))
     return (
         cut.select("source", F.posexplode(page).alias("pos", "_p"))
-        .select("source", "pos", F.try_to_number("_p.n", F.lit("9" * 18)).cast("long").alias("page_num"), T.strip(F.col("_p.t")).alias("page_text"))
+        .select("source", "pos", F.col("_p.n").try_cast("long").alias("page_num"), T.strip(F.col("_p.t")).alias("page_text"))
         .filter(F.col("page_num").isNotNull())
     )
 

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.model import MIXED, SCANNED_PDF, TEXT_PDF, ClassifyConfig
 
 
+#: Documents whose page counts are broadcast; with more they are joined.
+MAX_DOCS = 500_000
+
+
 def sample_pages(pages: DataFrame, cfg: ClassifyConfig = ClassifyConfig()) -> DataFrame:
     """The sampled rows of (doc, page_idx, ...): every stride-th page, at most sample_pages of them.
 
-    The page count comes from a window over doc, so the aggregation by doc that
-    follows needs no second exchange.
+    Pages are counted first, by doc alone, so texts stay where they are, and
+    what is done with the result is done for sampled pages only.
     """
-    n_pages = F.count("*").over(Window.partitionBy("doc"))
+    counts = pages.filter("doc IS NOT NULL").groupBy("doc").agg(F.count("*").alias("_n"))
+    counts = F.broadcast(counts) if counts.count() <= MAX_DOCS else counts
     stride = F.greatest(F.lit(1), F.floor(F.col("_n") / F.least(F.lit(cfg.sample_pages), F.col("_n"))))
     place = F.col("page_idx") / stride
-    return pages.withColumn("_n", n_pages).filter((F.col("page_idx") % stride == 0) & (place < cfg.sample_pages)).drop("_n")
+    return pages.join(counts, "doc").filter((F.col("page_idx") % stride == 0) & (place < cfg.sample_pages)).drop("_n")
 
 
 def reason(chars: Column, text_pages: Column, ratio: Column) -> Column:
@@ -59,6 +66,20 @@ def classify(signals: DataFrame, cfg: ClassifyConfig = ClassifyConfig()) -> Data
     return facts.select("doc", label.alias("label"), why.alias("reason"))
 
 
+def classify_files(files: DataFrame, signals: Callable[[DataFrame], DataFrame], cache: DataFrame | None = None, cfg: ClassifyConfig = ClassifyConfig()) -> DataFrame:
+    """(doc, digest, label, reason) of files (path, content). What is in cache (digest, label, reason) is not read again.
+
+    signals makes the signals of files, as page_signals does. The result's digest, label and reason are the next cache.
+    """
+    known = files.select("path", "content", F.sha2("content", 256).alias("digest"))
+    cached = None if cache is None else cache.select("digest", "label", "reason").dropDuplicates(["digest"])
+    new = known if cached is None else known.join(cached.select("digest"), "digest", "left_anti")
+    made = classify(signals(new), cfg).join(new.select(F.col("path").alias("doc"), "digest"), "doc").select("doc", "digest", "label", "reason")
+    if cached is None:
+        return made
+    return made.unionByName(known.select(F.col("path").alias("doc"), "digest").join(cached, "digest").select("doc", "digest", "label", "reason"))
+
+
 def report_lines(labels: DataFrame, verbose: bool = False, mixed_as_scanned: bool = False) -> DataFrame:
     """(doc, line): what a run prints. With verbose the reason is shown and mixed_as_scanned has no effect."""
     plain = F.when(F.col("label") == MIXED, F.concat(F.lit("MIXED/UNKNOWN| "), "doc")).otherwise(F.concat(F.rpad("label", 13, " "), F.lit("| "), "doc"))

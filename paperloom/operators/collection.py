@@ -107,19 +107,32 @@ def without_documents(collection: DataFrame, names: DataFrame) -> DataFrame:
 def delete_documents(spark: SparkSession, name: str, documents: list[str]) -> int:
     """Deletes the rows of some documents in one step; returns how many rows are left.
 
-    What stays is written to a new table, which then takes the old one's name;
-    run one delete on a collection at a time.
+    What stays is written whole to a new table, which then takes the old one's
+    name; run one delete on a collection at a time.
     """
-    safe, new = safe_name(name), f"{safe_name(name)}_{uuid.uuid4().hex[:8]}"
+    safe, new = safe_name(name), _new_name(name)
     gone = spark.createDataFrame([(d,) for d in documents], "document STRING")
-    old = spark.table(_quoted(safe))
-    comment = table_comment(spark, safe)
-    without_documents(old, gone).write.saveAsTable(f"`{new}`")
-    spark.sql(f"DROP TABLE {_quoted(safe)}")
+    without_documents(spark.table(_quoted(safe)), gone).write.saveAsTable(f"`{new}`")
+    _swap(spark, safe, new)
+    return spark.table(_quoted(safe)).count()
+
+
+def _new_name(name: str) -> str:
+    return f"{safe_name(name)}_{uuid.uuid4().hex[:8]}"
+
+
+def _swap(spark: SparkSession, safe: str, new: str) -> None:
+    """A new table, which is whole, takes the place of another and its comment.
+
+    The old table is renamed before it is dropped, so a failure at any point
+    leaves all its rows under one name or the other.
+    """
+    comment, old = table_comment(spark, safe), _new_name(safe)
+    spark.sql(f"ALTER TABLE {_quoted(safe)} RENAME TO `{old}`")
     spark.sql(f"ALTER TABLE `{new}` RENAME TO {_quoted(safe)}")
     if comment:
         set_table_comment(spark, safe, comment)
-    return spark.table(_quoted(safe)).count()
+    spark.sql(f"DROP TABLE `{old}`")
 
 
 def drop_collection(spark: SparkSession, name: str) -> None:
@@ -129,10 +142,10 @@ def drop_collection(spark: SparkSession, name: str) -> None:
 
 def table_comment(spark: SparkSession, name: str) -> str:
     """A table's comment, or the empty string if it has none or is missing."""
-    name = (name or "").upper()
-    if not spark.catalog.tableExists(f"`{name}`"):
+    quoted = "`" + (name or "").upper().replace("`", "``") + "`"
+    if quoted == "``" or not spark.catalog.tableExists(quoted):
         return ""
-    return spark.catalog.getTable(f"`{name}`").description or ""
+    return spark.catalog.getTable(quoted).description or ""
 
 
 def set_table_comment(spark: SparkSession, name: str, comment: str) -> None:
@@ -177,23 +190,38 @@ def embed(chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = N
     )
 
 
-def load(spark: SparkSession, name: str, chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = None, replace: bool = False) -> None:
-    """Appends chunks to a collection and makes it if need be; without chunks nothing happens.
+def load(
+    spark: SparkSession, name: str, chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = None, replace: bool = False, batch: str | None = None
+) -> int:
+    """Adds chunks to a collection and makes it if need be; returns how many it added. Without chunks nothing happens.
 
-    Chunks loaded twice are there twice, unless replace first deletes the rows
-    of the sources that are loaded.
+    Chunks are embedded once, into a table of their own. Chunks loaded twice are
+    there twice, unless replace leaves out the rows of the sources that are
+    loaded: the new table is then written whole, and takes the old one's place.
+    A batch, known by its name, is added once only, however often it is loaded.
     """
-    safe = safe_name(name)
-    if chunks.isEmpty():
-        return
+    safe, new = safe_name(name), _new_name(name)
     there = spark.catalog.tableExists(_quoted(safe))
-    if replace and there:
-        named = chunks.select(F.col("metadata")["source"].alias("document"))
-        new = f"{safe}_{uuid.uuid4().hex[:8]}"
-        without_documents(spark.table(_quoted(safe)), named).write.saveAsTable(f"`{new}`")
-        spark.sql(f"DROP TABLE {_quoted(safe)}")
+    if batch and there and not spark.table(_quoted(safe)).filter(F.col("batch") == batch).isEmpty():
+        return 0
+    made = embed(chunks, factory, dimension)
+    (made.withColumn("batch", F.lit(batch)) if batch else made).write.saveAsTable(f"`{new}`")
+    added = spark.table(f"`{new}`")
+    count = added.count()
+    if not count:
+        spark.sql(f"DROP TABLE `{new}`")
+    elif not there:
         spark.sql(f"ALTER TABLE `{new}` RENAME TO {_quoted(safe)}")
-    embed(chunks, factory, dimension).write.mode("append").saveAsTable(_quoted(safe))
+    elif replace:
+        whole = _new_name(name)
+        named = sources(added).select(F.col("source").alias("document"))
+        without_documents(spark.table(_quoted(safe)), named).unionByName(added, allowMissingColumns=True).write.saveAsTable(f"`{whole}`")
+        spark.sql(f"DROP TABLE `{new}`")
+        _swap(spark, safe, whole)
+    else:
+        added.write.mode("append").saveAsTable(_quoted(safe))
+        spark.sql(f"DROP TABLE `{new}`")
+    return count
 
 
 def most_similar(collection: DataFrame, vector: list[float], k: int) -> DataFrame:

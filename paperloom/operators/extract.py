@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import prompts
 from paperloom.functions import text as T
 from paperloom.model import AUTO, LAYER, VISION, ExtractConfig
+from paperloom.sources import sinks
 
 #: () -> (image, prompt) -> answer; the outer call runs once per task
 ModelFactory = Callable[[], Callable[[bytes, str], str]]
@@ -66,10 +67,41 @@ def nonwhite_ratio(image: Column, cfg: ExtractConfig, decode: Callable[[bytes],
     return ratio(image)
 
 
-def _grey(data: bytes):
+def prepared_image(image: Column, cfg: ExtractConfig, open_image: Callable[[bytes], "object"] | None = None) -> Column:
+    """An image as the model takes it: RGB, no side over max_side, JPEG of the set quality. Null stays null.
+
+    open_image gives an image as PIL's do (mode, size, convert, resize, save); by default it is PIL's own.
+    """
+    side, quality = cfg.max_side, cfg.jpeg_quality
+
+    @F.pandas_udf("binary")
+    def prepare(images: pd.Series) -> pd.Series:
+        def one(data):
+            if data is None:
+                return None
+            picture = open_image(data) if open_image else _picture(data)
+            picture = picture if picture.mode == "RGB" else picture.convert("RGB")
+            width, height = picture.size
+            if max(width, height) > side:
+                scale = side / max(width, height)
+                picture = picture.resize((max(1, int(width * scale)), max(1, int(height * scale))))
+            out = io.BytesIO()
+            picture.save(out, format="JPEG", quality=quality)
+            return out.getvalue()
+
+        return images.map(one)
+
+    return prepare(image)
+
+
+def _picture(data: bytes):
     from PIL import Image
 
-    return Image.open(io.BytesIO(data)).convert("L")
+    return Image.open(io.BytesIO(data))
+
+
+def _grey(data: bytes):
+    return _picture(data).convert("L")
 
 
 def routes(pages: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
@@ -100,13 +132,19 @@ def call_model(frame: DataFrame, factory: ModelFactory, prompt: str, out: str) -
     return frame.withColumn(out, ask.asNondeterministic()(F.col("image")))
 
 
-def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory | None = None) -> DataFrame:
+def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory | None = None, folder: str | None = None) -> DataFrame:
     """(doc, page_no, mode, page_text) of routed pages that have an image column.
 
-    Store the result before using it twice: the model answers anew each time.
+    Pages for the model are dealt out by page, so that a long document is no
+    single task. With a folder, which driver and executors share, the routed
+    pages are written there once for all branches and so are the model's
+    answers: later use and tasks that run again neither read pages anew nor ask
+    twice. Without one, store the result before using it twice.
     """
     if "route" not in pages.columns:
         pages = routes(pages, cfg)
+    if folder:
+        pages = sinks.kept(pages, f"{folder}/routed")
     blank = pages.filter(F.col("route") == BLANK_ROUTE).withColumn("page_text", F.lit(cfg.blank_placeholder))
     layer = pages.filter(F.col("route") == LAYER_ROUTE).withColumn("page_text", F.coalesce("text", F.lit("")))
     asked = pages.filter(F.col("route") == MODEL_ROUTE)
@@ -116,12 +154,16 @@ def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory |
         else:
             asked = asked.withColumn("page_text", F.lit(""))
     else:
-        asked = call_model(asked, factory, prompts.text_prompt(cfg.extra_prompt), "page_text")
+        asked = call_model(asked.repartition("doc", "page_no"), factory, prompts.text_prompt(cfg.extra_prompt), "page_text")
+        if folder:
+            asked = sinks.kept(asked, f"{folder}/answers")
     filled = layer.unionByName(asked)
     if cfg.describe_figures:
         if factory is None:
             raise ValueError("figures need a model")
-        filled = call_model(filled, factory, prompts.figures_prompt(), "_figures")
+        filled = call_model(filled.repartition("doc", "page_no"), factory, prompts.figures_prompt(), "_figures")
+        if folder:
+            filled = sinks.kept(filled, f"{folder}/figures")
         filled = filled.withColumn("page_text", T.with_figures(F.col("page_text"), F.col("_figures"))).drop("_figures")
     return filled.unionByName(blank).select("doc", "page_no", "mode", "page_text")
 
@@ -147,5 +189,7 @@ def assemble(texts: DataFrame, cfg: ExtractConfig, label: Column | None = None)
 
 
 def stub_model(image: bytes, prompt: str) -> str:
-    """A deterministic model for tests: the image's bytes as text, and no figures."""
-    return "NONE" if prompt == prompts.figures_prompt() else f"[{VISION}] " + bytes(image).decode("utf-8", "replace")
+    """A deterministic model for tests: the image's bytes as text; figures only where there are an even number of them."""
+    if prompt == prompts.figures_prompt():
+        return "NONE" if len(image) % 2 else f"- figure of {len(image)} bytes"
+    return f"[{VISION}] " + bytes(image).decode("utf-8", "replace")

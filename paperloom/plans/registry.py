@@ -64,10 +64,10 @@ def source_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images on two pages of three; in every third document all pages but one in seven lack text."""
-    pages = _paged(spark, sf_dir)
+    pages = classify.sample_pages(_paged(spark, sf_dir))
     scanned = (F.floor(F.col("doc_id") / PER) % 3 == 0) & (F.col("doc_id") % 7 != 0)
     text = F.when(scanned, "").otherwise(T.collapse(F.coalesce("text", F.lit(""))))
-    return classify.sample_pages(pages.select("doc", "page_idx", text.alias("text"), (F.col("doc_id") % 3 != 0).alias("has_image")))
+    return pages.select("doc", "page_idx", text.alias("text"), (F.col("doc_id") % 3 != 0).alias("has_image"))
 
 
 def sample_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,11 +102,16 @@ def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc", "mode", _sha(F.col("page_text")).alias("page_sha256"))
 
 
+def extract_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _routed(spark, sf_dir).drop("mode", "route").withColumn("image", F.coalesce("image", F.lit(b"")))
+    done = extract.extract_pages(pages, ExtractConfig(describe_figures=True), lambda: extract.stub_model)
+    return done.select("doc", "mode", _sha(F.col("page_text")).alias("page_sha256"))
+
+
 def page_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _paged(spark, sf_dir).select("doc", (F.col("page_idx") + 1).alias("page_no"), "text", "doc_id")
-    texts = pages.filter("doc_id % 5 != 0").select("doc", "page_no", F.length("text").alias("n_chars"))
-    images = pages.filter("doc_id % 7 != 0").select("doc", "page_no", (F.col("doc_id") % 1000).alias("width"))
-    return extract.align(texts, images, max_pages=30)
+    texts = pages.select("doc", "page_no", F.length("text").alias("n_chars"))
+    return extract.align(texts, pages.select("doc", "page_no", (F.col("doc_id") % 1000).alias("width")))
 
 
 def figures_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +131,12 @@ def chunk_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("source_name", "page_label", "chunk_index", F.to_json("metadata").alias("metadata"), F.length("text").alias("n_chars"), _sha(F.col("text")).alias("text_sha256"))
 
 
+def chunk_whole_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks larger than any page: one of each page that has text, with header, label, index and metadata."""
+    made = chunk.chunk_pages(_chunk_source(spark, sf_dir), size=2**30, overlap=0)
+    return made.select("source_name", "page_label", "chunk_index", F.to_json("metadata").alias("metadata"), _sha(F.col("text")).alias("text_sha256"))
+
+
 def chunk_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = chunk.chunk_pages(_chunk_source(spark, sf_dir), overlap=0, header=False)
     return made.groupBy("source_name", "page_label").agg(F.sum(T.non_space_length(F.col("text"))).alias("n_chars"))
@@ -214,8 +225,8 @@ def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, page_align,
-        figures_append, chunk_pages, chunk_conservation, embed_chunks, chunk_length_stats, inspect_collection, list_documents, inspect_totals,
+        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align,
+        figures_append, chunk_pages, chunk_whole_pages, chunk_conservation, embed_chunks, chunk_length_stats, inspect_collection, list_documents, inspect_totals,
         analyze_collection, delete_documents, json_path, basename, mask_secret, model_provider, normalize_ws, data_url, token_stream,
     )
 }
@@ -255,6 +266,8 @@ _ROUTED = f"""
       WHEN mode = 'pypdf' OR (mode = 'auto' AND length(regexp_replace(text, '{_SPACE}', '', 'g')) >= 50) THEN 'layer' ELSE 'model' END AS route
   FROM (SELECT doc_id || '.pdf' AS doc, coalesce(text, '') AS text, CASE doc_id % 4 WHEN 0 THEN 'pypdf' WHEN 1 THEN 'vlm' ELSE 'auto' END AS mode,
     CASE WHEN doc_id % 11 != 0 THEN (doc_id % 100) / 1000.0 END AS ratio FROM documents)"""
+#: With figures to describe, a blank image counts in every mode.
+_ROUTED_FIGURES = _ROUTED.replace("WHEN mode != 'pypdf' AND", "WHEN")
 _COLLECTION = "SELECT doc_id, CASE WHEN doc_id % 10 != 0 THEN source END AS source, lang FROM documents"
 _MODEL = "CASE c_custkey % 7 WHEN 0 THEN {} WHEN 1 THEN {} WHEN 2 THEN {} WHEN 3 THEN {} ELSE {} END"
 
@@ -268,14 +281,22 @@ SQL = {
     "classify_report": f"SELECT doc, rpad(label, 12, ' ') || '| ' || doc || ' | ' || reason AS line FROM ({_CLASSIFIED})",
     "page_route": f"SELECT doc, mode, route FROM ({_ROUTED})",
     "extract_pages": f"SELECT doc, mode, sha256(CASE route WHEN 'blank' THEN '{CONFIG.blank_placeholder}' WHEN 'layer' THEN text ELSE {_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || text')} END) AS page_sha256 FROM ({_ROUTED})",
+    "extract_figures": f"""
+      SELECT doc, mode, sha256(CASE WHEN route = 'blank' THEN '{CONFIG.blank_placeholder}' WHEN n % 2 = 1 THEN t
+        ELSE rtrim(t, '{WS}') || chr(10) || chr(10) || '[FIGURES]' || chr(10) || '- figure of ' || n || ' bytes' || chr(10) END) AS page_sha256
+      FROM (SELECT doc, mode, route, strlen(text) AS n, CASE route WHEN 'layer' THEN text ELSE {_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || text')} END AS t FROM ({_ROUTED_FIGURES}))""",
     "page_align": f"""
       SELECT a.doc, a.page_no, a.n_chars, b.width
-      FROM (SELECT doc, page_idx + 1 AS page_no, length(text)::INT AS n_chars FROM ({_PAGED}) WHERE doc_id % 5 != 0) a
-      JOIN (SELECT doc, page_idx + 1 AS page_no, doc_id % 1000 AS width FROM ({_PAGED}) WHERE doc_id % 7 != 0) b ON a.doc = b.doc AND a.page_no = b.page_no
-      WHERE a.page_no <= 30""",
+      FROM (SELECT doc, page_idx + 1 AS page_no, length(text)::INT AS n_chars FROM ({_PAGED})) a
+      JOIN (SELECT doc, page_idx + 1 AS page_no, doc_id % 1000 AS width FROM ({_PAGED})) b ON a.doc = b.doc AND a.page_no = b.page_no""",
     "figures_append": f"""
       SELECT doc_id, sha256(CASE WHEN f IS NULL THEN t ELSE rtrim(t, '{WS}') || chr(10) || chr(10) || '[FIGURES]' || chr(10) || f || chr(10) END) AS text_sha256
       FROM (SELECT doc_id, coalesce(text, '') AS t, CASE doc_id % 4 WHEN 2 THEN 'NONE.' WHEN 3 THEN '- (pos: top) figure ' || doc_id END AS f FROM documents)""",
+    "chunk_whole_pages": f"""
+      SELECT doc AS source_name, (page_idx + 1)::VARCHAR AS page_label, (row_number() OVER (PARTITION BY doc ORDER BY page_idx) - 1)::INT AS chunk_index,
+        '{{"source":"' || doc || '","page_label":"' || (page_idx + 1) || '","extraction":"ocr"}}' AS metadata,
+        sha256('---' || chr(10) || 'source_file: ' || doc || chr(10) || '---' || chr(10) || chr(10) || t) AS text_sha256
+      FROM (SELECT doc, page_idx, {_TRIM.format("regexp_replace(text, '[ \t]{2,}', ' ', 'g')")} AS t FROM ({_PAGED})) WHERE t != ''""",
     "chunk_conservation": f"""
       SELECT doc AS source_name, (page_idx + 1)::VARCHAR AS page_label, length(regexp_replace(text, '{_SPACE}', '', 'g'))::BIGINT AS n_chars
       FROM ({_PAGED}) WHERE length(regexp_replace(text, '{_SPACE}', '', 'g')) > 0""",

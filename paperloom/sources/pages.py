@@ -20,9 +20,19 @@ PageCounter = Callable[[bytes], int]
 
 
 def scan_files(spark: SparkSession, folder: str, recursive: bool = False, pattern: str = "*.pdf") -> DataFrame:
-    """(path, modificationTime, length, content) of the files of a folder, by path. A folder that is missing is an error."""
+    """(path, modificationTime, length, content) of the files of a folder, in no order. A folder that is missing is an error.
+
+    A partition holds files up to spark.sql.files.maxPartitionBytes, or one larger
+    file, so what a reader below is given at once is bounded by that. list_files
+    gives the order, without the bytes.
+    """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(folder).orderBy("path")
+    return reader.load(folder)
+
+
+def list_files(files: DataFrame) -> DataFrame:
+    """(path, length) of files by path; their bytes are neither read nor sorted."""
+    return files.select("path", "length").orderBy("path")
 
 
 def page_texts(files: DataFrame, reader: TextReader, max_pages: int | None = None) -> DataFrame:
@@ -91,12 +101,22 @@ def pypdf_reader(content: bytes, wanted=None) -> Iterator[tuple[int, str | None,
             text = pages[i].extract_text()
         except Exception:  # noqa: BLE001
             text = ""
+        yield i, text, _has_image(pages[i])
+
+
+def _has_image(page) -> bool:
+    """Whether any of a page's objects is an image; one that can't be read is passed over."""
+    try:
+        objects = page["/Resources"]["/XObject"].get_object()
+    except Exception:  # noqa: BLE001
+        return False
+    for name in objects:
         try:
-            objects = pages[i]["/Resources"]["/XObject"].get_object()
-            has = any(objects[o].get_object().get("/Subtype") == "/Image" for o in objects)
-        except Exception:  # noqa: BLE001
-            has = False
-        yield i, text, has
+            if objects[name].get_object().get("/Subtype") == "/Image":
+                return True
+        except Exception:  # noqa: BLE001, S112
+            continue
+    return False
 
 
 def pypdf_count(content: bytes) -> int:

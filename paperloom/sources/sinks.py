@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df written to a path and read back, so that what follows, and tasks that run again, don't do the work anew."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_artefacts(artefacts: DataFrame, path: str) -> None:
     """Each document's artefact as one row of (doc, value), replaced as a whole."""
     artefacts.select("doc", "value").write.mode("overwrite").parquet(path)
 
 
-def write_page_images(images: DataFrame, folder: str) -> DataFrame:
+def write_page_images(images: DataFrame, folder: str, whole_path: bool = False) -> DataFrame:
     """Writes image bytes as <folder>/<document>/page_0001.png through the folder's file system; returns (doc, page_no, file).
 
-    Nothing is written until the result is evaluated. A task that runs again writes the same files.
+    <document> is the base name of doc; with whole_path a digest of the path stands before it, so that documents
+    of one base name keep their own images. Nothing is written until the result is evaluated. A task that runs
+    again writes the same files.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -26,7 +35,8 @@ def write_page_images(images: DataFrame, folder: str) -> DataFrame:
         for frame in frames:
             files = []
             for doc, page_no, image in zip(frame["doc"], frame["page_no"], frame["image"]):
-                name = f"{root}/{doc.rstrip('/').rpartition('/')[2]}/page_{page_no:04d}.png"
+                own = hashlib.sha256(doc.encode()).hexdigest()[:16] + "/" if whole_path else ""
+                name = f"{root}/{own}{doc.rstrip('/').rpartition('/')[2]}/page_{page_no:04d}.png"
                 system.create_dir(name.rpartition("/")[0], recursive=True)
                 with system.open_output_stream(name) as out:
                     out.write(image)

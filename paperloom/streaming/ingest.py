@@ -24,11 +24,16 @@ def stream_artefacts(spark: SparkSession, folder: str) -> DataFrame:
 def ingest(artefacts: DataFrame, name: str, factory: collection.EmbedderFactory, checkpoint: str, size: int = 1500, overlap: int = 100) -> StreamingQuery:
     """Starts loading artefacts into a collection until all that is there is done.
 
-    A batch that runs again replaces the sources it holds, so chunks don't double.
+    Each micro-batch is appended under its name, which is made of the checkpoint
+    and its number; one that runs again is there already and adds nothing, so
+    chunks don't double. A collection that was made without such names gets the
+    sources of a batch replaced instead.
     """
     name = collection.safe_name(name)
 
-    def load(batch: DataFrame, _: int) -> None:
-        collection.load(batch.sparkSession, name, chunk.chunk_artefacts(batch, size, overlap), factory, replace=True)
+    def load(batch: DataFrame, number: int) -> None:
+        spark, chunks = batch.sparkSession, chunk.chunk_artefacts(batch, size, overlap)
+        named = not spark.catalog.tableExists(f"`{name}`") or "batch" in spark.table(f"`{name}`").columns
+        collection.load(spark, name, chunks, factory, replace=not named, batch=f"{checkpoint}:{number}" if named else None)
 
     return artefacts.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,5 +1,7 @@
 """Collections in a catalog, and the registered queries against DuckDB."""
 
+import uuid
+
 import duckdb
 import pytest
 
@@ -20,9 +22,9 @@ def chunks(spark):
 def test_life_of_a_collection(spark, chunks):
     name, model = "my_docs", collection.hash_embedder(8)
     spark.sql("DROP TABLE IF EXISTS `MY_DOCS`")
-    collection.load(spark, name, chunks().limit(0), model)
+    assert collection.load(spark, name, chunks().limit(0), model) == 0
     assert not spark.catalog.tableExists("`MY_DOCS`")
-    collection.load(spark, name, chunks("a", "b", "b", None), model, dimension=8)
+    assert collection.load(spark, name, chunks("a", "b", "b", None), model, dimension=8) == 4
     collection.load(spark, name, chunks("a"), model, dimension=8)
     table = lambda: spark.table("`MY_DOCS`")
     assert [tuple(r) for r in collection.inspect(table()).collect()] == [("a", 2), ("b", 2)]
@@ -32,7 +34,9 @@ def test_life_of_a_collection(spark, chunks):
     assert {tuple(r) for r in collection.analyze(table()).collect()} == {("records", "", 5), ("dimension", "8", 5), ("format", "FLOAT32", 5)}
     collection.set_table_comment(spark, name, "it's here")
     assert collection.table_comment(spark, name) == "it's here" and collection.table_comment(spark, "absent") == "" and collection.describe_table(spark, "absent") == "(no comment)"
-    collection.load(spark, name, chunks("a"), model, dimension=8, replace=True)
+    assert collection.load(spark, name, chunks("a"), model, dimension=8, replace=True) == 1 and collection.table_comment(spark, name) == "it's here"
+    assert collection.table_comment(spark, "x`y") == "" and table().schema["embedding"].metadata.get("dimension") == 8
+    assert [t.name for t in spark.catalog.listTables() if t.name.upper().startswith("MY_DOCS")] in (["MY_DOCS"], ["my_docs"])
     assert collection.delete_documents(spark, name, ["b", "absent"]) == 2
     assert [r.document for r in collection.list_documents(table()).collect()] == ["a", None]
     near = collection.most_similar(table(), collection.hash_embedder(8)()(["text of a"])[0], 1).first()
@@ -51,10 +55,19 @@ def test_names(name):
 def test_streamed_load(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.txt").write_text("SOURCE PDF: q.pdf\nBEGIN TEXT\nhello\n--- PAGE 1 ---\nEND TEXT\n")
-    spark.sql("DROP TABLE IF EXISTS STREAMED")
-    ingest.ingest(ingest.stream_artefacts(spark, f"{tmp_path}/in"), "streamed", collection.hash_embedder(4), f"{tmp_path}/check").awaitTermination(120)
-    assert [tuple(r) for r in collection.inspect(spark.table("STREAMED")).collect()] == [("q.pdf", 1)]
-    collection.drop_collection(spark, "streamed")
+    name = f"S{uuid.uuid4().hex[:10].upper()}"
+    ingest.ingest(ingest.stream_artefacts(spark, f"{tmp_path}/in"), name, collection.hash_embedder(4), f"{tmp_path}/check").awaitTermination(120)
+    assert [tuple(r) for r in collection.inspect(spark.table(name)).collect()] == [("q.pdf", 1)]
+    # a batch that is there already adds nothing; a new file does
+    batch = spark.table(name).first().batch
+    again = spark.createDataFrame([("text", {"source": "q.pdf"})], "text string, metadata map<string,string>")
+    assert collection.load(spark, name, again, collection.hash_embedder(4), batch=batch) == 0
+    (tmp_path / "in" / "y.txt").write_text("SOURCE PDF: z.pdf\nBEGIN TEXT\nhello\n--- PAGE 1 ---\nEND TEXT\n")
+    ingest.ingest(ingest.stream_artefacts(spark, f"{tmp_path}/in"), name, collection.hash_embedder(4), f"{tmp_path}/check").awaitTermination(120)
+    # the stream has a session of its own; this one has listed the table's files before
+    spark.catalog.refreshTable(name)
+    assert [tuple(r) for r in collection.inspect(spark.table(name)).collect()] == [("q.pdf", 1), ("z.pdf", 1)]
+    collection.drop_collection(spark, name)
 
 
 def test_session(spark):

@@ -70,3 +70,10 @@ def test_split_overlap():
 
 def test_prompts():
     assert "NONE" in prompts.figures_prompt() and prompts.text_prompt("  ") == prompts.text_prompt() and "more" in prompts.text_prompt(" more ")
+
+
+def test_model_parameters():
+    from paperloom.model import model_parameters
+
+    assert model_parameters("openai.x") == {"temperature": 0.0, "max_completion_tokens": 8000} and model_parameters(" Gemini.x", 0.5, 9) == {"temperature": 0.5, "max_output_tokens": 9}
+    assert model_parameters("google.gemini-2.5-pro") == model_parameters("plain") == {"temperature": 0.0, "max_tokens": 8000}
