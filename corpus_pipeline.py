@@ -11,29 +11,50 @@ paperloom.llm to all of it:
 5. SentencePiece: every document's ids, counted and digested
 
 The first four return the columns of documents, with text and n_chars as they
-are then; extra columns of documents are carried along.
+are then; extra columns of documents are carried along, whatever their names.
+
+Defined results: a null or empty text fails the quality rules, so it goes there;
+the other stages alone keep such rows. Rows without doc_id are never compared
+with others: line dedup leaves their lines, the near stage keeps them, the rest
+judges them by their text. Rows that repeat a doc_id are one document to line
+dedup, which keeps the first of equal places, and single texts to the near
+stage, which keeps one row of a group. Ties go to the least doc_id and then
+place. Empty tables give empty results with the same columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import common, decontaminate, line_dedup, near_dedup, quality_rules, sentencepiece
 
 
+#: The columns that an operator does not read, as one, so that none of its own meets one of theirs.
+OTHERS = "corpus_pipeline_other_columns"
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others, F.lit(0).alias(OTHERS)).alias(OTHERS))
+
+
 def _as_documents(frame: DataFrame, columns: list[str], lengths: bool = False) -> DataFrame:
-    frame = frame.withColumn("n_chars", F.length("text").cast("long")) if lengths and "n_chars" in columns else frame
-    return frame.select(*columns)
+    def own(c: str) -> Column:
+        if c in ("doc_id", "text"):
+            return F.col(c)
+        return F.length("text").cast("long").alias(c) if lengths and c == "n_chars" else F.col(f"{OTHERS}.`{c}`").alias(c)
+
+    return frame.select(*map(own, columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality_rules.quality_rules(docs).filter("kept").withColumn("text", F.col("clean_text"))
+    judged = quality_rules.quality_rules(_apart(docs)).filter("kept").withColumn("text", F.col("clean_text"))
     return _as_documents(judged, docs.columns, lengths=True)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs).filter((F.size("dropped") == 0) | (F.size("dropped") < F.col("n_lines")))
+    out = line_dedup.dedup_lines(_apart(docs)).filter((F.size("dropped") == 0) | (F.size("dropped") < F.col("n_lines")))
     return _as_documents(out, docs.columns, lengths=True)
 
 
@@ -42,7 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Each row is judged by its own text: further rows of a doc_id get ids past all others here.
     """
-    rows = common.stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    rows = common.stash(_apart(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
     own = F.col("doc_id").cast("long")
     shared = rows.filter("doc_id IS NOT NULL").groupBy(own.alias("_shared")).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     shared = shared.filter("_n > 1").drop("_n")
@@ -56,7 +77,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = common.table(spark, sf_dir, "benchmark")
-    return _as_documents(decontaminate.decontaminate(docs, items).filter(~F.col("contaminated")), docs.columns)
+    return _as_documents(decontaminate.decontaminate(_apart(docs), items).filter(~F.col("contaminated")), docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +92,7 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: Similarity components can't be stated in SQL; tests/llm/test_pipeline.py holds stages to known results and run() to what must stay.
+#: Similarity components can't be stated in SQL; tests/llm/test_pipeline.py holds run() against a brute-force version and stages to known results.
 ORACLE_SQL = None
 
 
