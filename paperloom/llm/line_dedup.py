@@ -8,8 +8,8 @@ union-find joins (graph.py), and the first line of each component, by doc_id
 and then place, is kept.
 
 Lines are stripped of blanks at both ends first. Lines without a word are left
-alone; lines under 5 characters are compared by equality only. A line is known
-by a 64-bit hash of its text.
+alone; lines under 5 characters are compared by equality only. Equal lines are
+one before sketches are made: they meet by their whole text.
 
 Defined results: a null text has no lines and stays null; rows that share a
 doc_id are one document, and their equal places one line; rows without doc_id
@@ -23,19 +23,20 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stash, table
-from .similar import bands_of, mix, near_components, sketches
+from .similar import bands_of, near_components, sketches
 
 #: Characters of a shingle, percent of the union, and characters of the shortest line that is sketched.
 SHINGLE, PERCENT, MIN_FUZZY = 5, 75, 5
-#: 30 bands of 5 coordinates: a pair at 75 percent is missed once in 3,300 times, at 80 once in 150,000; unlike lines rarely meet.
-BANDS, ROWS = 30, 5
+#: 40 bands of 6 coordinates: a pair at 75 percent is missed once in 2,500 times, at 80 once in 180,000; unlike lines rarely meet.
+BANDS, ROWS = 40, 6
 _BLANK = " \t\n\v\f\r"
-_SLICE_CHARS = 1_000_000
+_SLICE_CHARS = 4_000_000
+#: More lines than a text can have.
+_PLACES = 2**31
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,66 +49,36 @@ def _windows(code: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def shingles(line: bytes, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct shingle hashes of a UTF-8 line of `size` characters or more."""
-    code = np.frombuffer(line.decode().encode("utf-32-le"), np.uint32)
-    return np.unique(mix(_windows(code, size)))
+def hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of lines of `size` characters or more, in one array, and how many each has."""
+    chars = np.array([len(x) for x in lines], np.int64)
+    code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    n = chars - size + 1
+    inside = np.repeat(np.cumsum(chars) - chars - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return _windows(code, size)[inside], n
 
 
-def line_id(line: str) -> int:
-    return xxhash.xxh3_64_intdigest(line.encode()) - 2**63
+def _of_bytes(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    return hashes([x.decode() for x in lines], size)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
-    ids, texts, held = [], [], 0
-    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if ids and held + len(text) > _SLICE_CHARS:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-        ids.append(doc_id)
-        texts.append(text)
-        held += len(text)
-    if ids:
-        yield ids, texts
+def _read(batch: pa.RecordBatch, shingle: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's lines of `least` characters or more, and their bands."""
+    lines = batch.column("text").to_pylist()
+    size = np.array([len(x) for x in lines], np.int64)
+    fuzzy, out = np.flatnonzero(size >= least), []
+    cut = np.flatnonzero(np.diff(np.cumsum(size[fuzzy]) // _SLICE_CHARS)) + 1
+    for some in np.split(fuzzy, cut):
+        if len(some):
+            out.append(bands_of(sketches(*hashes([lines[i] for i in some.tolist()], shingle), BANDS * ROWS), ROWS))
+    return batch.column("id").to_numpy()[fuzzy], np.concatenate(out) if out else np.empty((0, BANDS), np.int64)
 
 
-def _lines(batches: Iterator[pa.RecordBatch], shingle: int, least: int) -> Iterator[pa.RecordBatch]:
+def _places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of each document's lines with a word."""
     for batch in batches:
-        for ids, texts in _slices(batch):
-            doc_of, place, lines = [], [], []
-            for doc_id, text in zip(ids, texts):
-                for k, line in enumerate(text.split("\n")):
-                    if line := line.strip(_BLANK):
-                        doc_of.append(doc_id)
-                        place.append(k)
-                        lines.append(line)
-            size = np.array([len(x) for x in lines], np.int64)
-            fuzzy = np.flatnonzero(size >= least)
-            bands = np.empty((0, BANDS), np.int64)
-            if len(fuzzy):
-                code = np.frombuffer("".join(lines[i] for i in fuzzy.tolist()).encode("utf-32-le"), np.uint32)
-                n = size[fuzzy] - shingle + 1
-                start = np.cumsum(size[fuzzy]) - size[fuzzy]
-                inside = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                bands = bands_of(sketches(_windows(code, shingle)[inside], n, BANDS * ROWS), ROWS)
-            ends = np.zeros(len(lines) + 1, np.int32)
-            ends[fuzzy + 1] = BANDS
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc_of, pa.int64()),
-                    pa.array(place, pa.int32()),
-                    pa.array([line_id(x) for x in lines], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.cumsum(ends), pa.int32()), pa.array(bands.ravel(), pa.int64())),
-                ],
-                names=["doc_id", "place", "id", "bands"],
-            )
-
-
-def _texts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in _slices(batch):
-            lines = [x for t in texts for line in t.split("\n") if len(x := line.strip(_BLANK)) >= least]
-            yield pa.RecordBatch.from_arrays([pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], names=["id", "text"])
+        places = [[k for k, line in enumerate(text.split("\n")) if line.strip(_BLANK)] for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32()))], names=["doc_id", "places"])
 
 
 def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> DataFrame:
@@ -117,18 +88,25 @@ def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> Data
 
     Documents without such lines have no row.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    lines = stash(docs.mapInArrow(partial(_lines, shingle=shingle, least=least), "doc_id long, place int, id long, bands array<long>"), "lines")
-    texts = docs.mapInArrow(partial(_texts, least=least), "id long, text string")
-    comp = near_components(lines.select("id", "bands"), texts, partial(shingles, size=shingle), PERCENT)
-    own = lines.select("doc_id", "place", "id").join(comp, "id", "left").select("doc_id", "place", F.coalesce("comp", "id").alias("comp"))
-    own = stash(own, "placed")
-    first = own.groupBy("comp").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    judged = own.join(first.select("comp", "first"), "comp", "left")
-    drop = F.when(F.struct("doc_id", "place") != F.col("first"), F.col("place"))
-    return judged.groupBy("doc_id").agg(
-        F.countDistinct("place").alias("n_lines"), F.array_sort(F.collect_set(drop)).alias("dropped")
-    )
+    texts = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    every = texts.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("place", "text"))
+    every = every.withColumn("text", F.btrim("text", F.lit(_BLANK))).filter("text != ''")
+    # a place in the corpus as one number, in order of doc_id and place, so that its least is found by hashing
+    places = F.lit(_PLACES).cast("decimal(10,0)")
+    at = (F.col("doc_id").cast("decimal(19,0)") * places + F.col("place")).cast("decimal(30,0)")
+    lines = every.groupBy("text").agg(F.min(at).alias("at"))
+    lines = stash(lines.select(F.monotonically_increasing_id().alias("id"), "at", "text"), "lines")
+    text = lines.select("id", "text")
+    comp = near_components(text, BANDS, partial(_read, shingle=shingle, least=least), text, partial(_of_bytes, size=shingle), PERCENT)
+    comp = stash(lines.select("id", "at").join(comp, "id", "left"), "placed")
+    first = comp.filter("comp IS NULL").select("at").union(comp.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("at").alias("at")).select("at"))
+    place = F.pmod("at", places)
+    first = first.select(((F.col("at") - place) / places).cast("long").alias("doc_id"), place.cast("int").alias("place"))
+    kept = first.groupBy("doc_id").agg(F.collect_set("place").alias("kept"))
+    own = texts.mapInArrow(_places_of, "doc_id long, places array<int>")
+    own = own.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")).filter(F.size("places") > 0)
+    dropped = F.array_sort(F.array_except("places", F.coalesce("kept", F.array().cast("array<int>"))))
+    return own.join(kept, "doc_id", "left").select("doc_id", F.size("places").cast("long").alias("n_lines"), dropped.alias("dropped"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ full sets (of 64-bit shingle hashes), and graph.py for components.
 
 Defined results: null texts and texts without words have an empty set and stay
 alone; rows without doc_id stay alone too, with a null component; rows that
-share a doc_id are one document; extra columns are left out.
+share a doc_id are one document, linked with whatever one of their texts is
+linked with, and each has the size of its own set; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def shingles(text: bytes | None) -> np.ndarray:
-    """The sorted distinct hashes of the five-word shingles of a UTF-8 text."""
+def _hashes_of(text: bytes | None) -> np.ndarray:
+    """The hashes of the five-word shingles of a UTF-8 text, with repeats."""
     words = text.translate(_LOWER).split() if text else []
     if not words:
         return np.empty(0, np.uint64)
@@ -56,44 +57,57 @@ def shingles(text: bytes | None) -> np.ndarray:
     all_ = one[:n]
     for k in range(1, SHINGLE):
         all_ = all_ * _STEP + one[k : k + n]
-    return np.unique(mix(all_))
+    return mix(all_)
+
+
+def hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    each = [_hashes_of(t) for t in texts]
+    return np.concatenate(each), np.array([len(x) for x in each], np.int64)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for start in range(0, whole.num_rows, 512):
             batch = whole.slice(start, 512)
-            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            sets = [np.unique(_hashes_of(t)) for t in batch.column(1).to_pylist()]
             size = np.array([len(s) for s in sets], np.int64)
-            sketch = sketches(np.concatenate(sets), size, BANDS * ROWS)
-            bands = bands_of(sketch, ROWS)
+            bands = bands_of(sketches(np.concatenate(sets), size, BANDS * ROWS), ROWS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *batch.columns,
                     pa.array(size),
                     pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
-                    pa.array(list(bands), pa.list_(pa.int64())),
+                    pa.array([b.tobytes() for b in bands], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_key", "bands"],
+                names=["doc_id", "text", "n_shingles", "set_key", "bands"],
             )
 
 
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    bands = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
+    return batch.column("id").to_numpy(), bands.reshape(batch.num_rows, BANDS)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of docs."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    made = docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        _sketch, "doc_id long, n_shingles long, set_key binary, bands array<long>"
-    )
-    made = stash(made, "sketches")
-    linked = made.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stash(linked.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "classes")
-    nodes = linked.join(classes.select("id", "set_key"), "set_key").filter("doc_id = id").select("id", "bands")
-    nodes = stash(nodes, "nodes")
-    texts = docs.withColumnRenamed("doc_id", "id")
-    comp = near_components(nodes, texts, shingles, PERCENT)
-    of_class = classes.join(comp, "id", "left").select("set_key", F.coalesce("comp", "id").alias("component"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
+    made = docs.mapInArrow(_sketch, "doc_id long, text binary, n_shingles long, set_key binary, bands binary")
+    made = stash(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    linked = made.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key", "row")
+    # a class is known by the least of its rows
+    classes = stash(linked.groupBy("set_key").agg(F.min("row").alias("id"), F.min("doc_id").alias("first")), "classes")
+    nodes = stash(made.withColumnRenamed("row", "id").join(classes.select("id"), "id", "left_semi").select("id", "bands", "text"), "nodes")
+    # rows of one doc_id are one document, so their classes belong together
+    several = linked.groupBy("doc_id").agg(F.min("set_key").alias("set_key"), F.max("set_key").alias("other")).filter("set_key != other")
+    several = linked.join(several.select("doc_id", F.col("set_key").alias("one")), "doc_id").select("one", "set_key").distinct()
+    key = classes.select("id", "set_key")
+    more = several.join(key.withColumnsRenamed({"id": "a", "set_key": "one"}), "one").join(key.withColumnRenamed("id", "b"), "set_key").select("a", "b")
+    comp = near_components(nodes.select("id", "bands"), BANDS, _read, nodes.select("id", "text"), hashes, PERCENT, more)
+    both = classes.join(comp, "id", "left")
+    least = both.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("first").alias("least"))
+    of_class = both.join(least, "comp", "left").select("set_key", F.coalesce("least", "first").alias("component"))
     found = made.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return found.select(
         "doc_id", "n_shingles", own.alias("component_id"), (F.col("doc_id").isNull() | (own == F.col("doc_id"))).alias("kept")
     )

@@ -6,11 +6,13 @@ end for a set once all its bins are filled; from round t on, bin i - t takes
 all elements, so 2 t rounds always suffice.
 
 Equal bands of a sketch put sets into a common bucket. Emitting all pairs of a
-bucket is never needed: each member is first held against the least member of
-its buckets. Buckets whose other members are then still in more than one
-component are compared inside tasks, in blocks of bounded size, by sketch; only
-pairs that may reach the threshold are confirmed on their full sets, in the same
-task, and only links that join components leave it.
+bucket is never needed. Band keys travel packed, many to a row. Each member is
+first held against one of its bucket, its leader: a task's members against the
+task's first, and those against one of all. Buckets whose members are then still
+in more than one component are compared inside tasks, in blocks of bounded size,
+by sketches alone; texts follow for members that are alike to one of another
+component, their pairs are confirmed on full sets in the same task, and only
+links that join components leave it.
 """
 
 from __future__ import annotations
@@ -27,8 +29,14 @@ from .graph import components
 
 #: Members of a bucket that one task holds against as many others.
 BLOCK = 512
+#: Elements that are hashed at a time in the first rounds, and how many rounds those are.
+CACHED, FIRST = 100_000, 5
 #: Elements of sets that a task keeps at a time while it confirms the pairs of a block.
 HELD = 20_000_000
+#: Coordinates of the sketches that estimate similarity inside a bucket, those that pairs are first held against, and bytes of texts confirmed at a time.
+WIDTH, MARKS, SLICE_BYTES = 96, 64, 200_000
+#: UTF-8 texts to the hashes of their sets, with repeats, in one array, and how many each has.
+Hashes = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -40,14 +48,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
-    """One row of t values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled."""
-    rows = len(size)
-    done = np.full((rows, t), _EMPTY)
-    row = np.arange(rows)
+    """One row of t values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled.
+
+    Sets are taken some at a time for the first rounds, so that what is hashed stays in the
+    processor's cache; the few that then have an unfilled bin go through the other rounds together.
+    """
+    done, ends = np.full((len(size), t), _EMPTY), np.cumsum(size)
+    cut = np.r_[0, np.flatnonzero(np.diff(ends // CACHED)) + 1, len(size)].tolist()
+    for a, b in zip(cut, cut[1:]):
+        if b > a:
+            _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], done[a:b], 0, FIRST)
+    left = (done == _EMPTY).any(axis=1) & (size > 0)
+    if left.any():
+        rest = done[left]
+        _rounds(mix(flat[np.repeat(left, size)]), size[left], rest, FIRST, 2 * t)
+        done[left] = rest
+    return done
+
+
+def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, last: int) -> None:
+    """Rounds first to last over sets of mixed elements; done has a row of coordinates for each."""
+    rows, t = done.shape
     # only sets with an unfilled bin are carried on; out has a row for each
-    out, base = done, np.repeat(row * t, size)
-    for i in range(2 * t):
-        h = mix(flat + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
+    row, out, base = np.arange(rows), done, np.repeat(np.arange(rows) * t, size)
+    for i in range(first, last):
+        # elements are mixed already: a product with an odd number of the round, whose high half then reaches the low one
+        h = flat * np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        h ^= h >> np.uint64(32)
         if i < t:
             place = base + ((h >> np.uint64(32)) * np.uint64(t) >> np.uint64(32)).astype(np.int64)
         else:
@@ -56,15 +83,15 @@ def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
         open_ = (out == _EMPTY).any(axis=1)
         if open_.all():
             continue
-        done[row] = out
+        if out is not done:
+            done[row] = out
         stay = open_[base // t]
         if not stay.any():
-            break
+            return
         flat, row, out = flat[stay], row[open_], out[open_]
         base = (np.cumsum(open_) - 1)[base[stay] // t] * t
-    else:
+    if out is not done:
         done[row] = out
-    return done
 
 
 def bands_of(sketch: np.ndarray, rows: int) -> np.ndarray:
@@ -82,31 +109,67 @@ def bytes_of(sketch: np.ndarray) -> np.ndarray:
     return (mix(sketch) >> np.uint64(56)).astype(np.uint8)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets share percent or more of their union.
+def likely(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may reach the threshold by MARKS coordinates of their sketches. near has (id, text, sig)."""
+    least = lowest(percent, MARKS)
 
-    texts has (id, text), one row per id. The first join keeps rows of b
-    together with its text; the second adds the text of a, whose set is kept
-    while rows with the same a follow each other.
-    """
-    one = texts.select("id", F.col("text").cast("binary").alias("text"))
-    both = (
-        pairs.join(one.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
-        .join(one.withColumnsRenamed({"id": "a", "text": "text_a"}), "a")
-        .select("a", "b", "text_a", "text_b")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, MARKS) for c in ("sig_a", "sig_b"))
+            yield batch.select(["a", "b"]).filter(pa.array(estimate((x == y).mean(axis=1)) >= least))
+
+    few = near.select("id", F.substring("sig", 1, MARKS).alias("sig"))
+    return _with_both(pairs, few, "sig").mapInArrow(run, "a long, b long")
+
+
+def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets share percent or more of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, mine = None, None
         for batch in batches:
-            keep = []
-            for a, ta, tb in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-                if mine is None or a != last:
-                    last, mine = a, set_of(ta)
-                keep.append(reaches(mine, set_of(tb), percent))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            left, right = (batch.column(c).to_pylist() for c in ("text_a", "text_b"))
+            held = np.cumsum([len(x) + len(y) for x, y in zip(left, right)])
+            keep, start = [], 0
+            while start < batch.num_rows:
+                stop = min(start + 4096, max(start + 1, int(np.searchsorted(held, (held[start - 1] if start else 0) + SLICE_BYTES))))
+                keep.append(shared_enough(hashes(left[start:stop]), hashes(right[start:stop]), percent))
+                start = stop
+            yield batch.select(["a", "b"]).filter(pa.array(np.concatenate([*keep, np.empty(0, bool)])))
+
+    return _with_both(pairs, near, "text").mapInArrow(run, "a long, b long")
+
+
+def _with_both(pairs: DataFrame, given: DataFrame, column: str) -> DataFrame:
+    of = lambda side: given.select(F.col("id").alias(side), F.col(column).alias(f"{column}_{side}"))
+    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", f"{column}_a", f"{column}_b")
+
+
+def shared_enough(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
+    """For each of up to 4096 pairs of sets, given as (hashes, how many each has), whether they share percent or more of their union.
+
+    One sort puts equal hashes of a pair side by side: 12 bits of the pair, 51 of the hash, one of the side.
+    """
+    n = len(left[1])
+    both = [
+        np.repeat(np.arange(n, dtype=np.uint64) << np.uint64(52), size) | mix(flat) >> np.uint64(13) << np.uint64(1) | np.uint64(side)
+        for side, (flat, size) in enumerate((left, right))
+    ]
+    u = np.sort(np.concatenate(both))
+    u = u[np.r_[True, u[1:] != u[:-1]][: len(u)]]
+    total = np.bincount((u >> np.uint64(52)).astype(np.int64), minlength=n)
+    twice = u[1:][u[1:] >> np.uint64(1) == u[:-1] >> np.uint64(1)]
+    shared = np.bincount((twice >> np.uint64(52)).astype(np.int64), minlength=n)
+    return (shared * 100 >= (total - shared) * percent) & (total > 0)
+
+
+def estimate(equal: np.ndarray) -> np.ndarray:
+    """The similarity of two sets of whose coordinates' bytes this share is equal."""
+    return (equal - 1 / 256) / (1 - 1 / 256)
+
 
-    return both.mapInArrow(run, both.select("a", "b").schema)
+def lowest(percent: int, width: int) -> float:
+    """The least estimate by `width` coordinates of a pair at the threshold, but for one in 300,000."""
+    return percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / width) ** 0.5
 
 
 def reaches(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -118,7 +181,101 @@ def reaches(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return shared * 100 >= (small + large - shared) * percent
 
 
-def _linked(least: float, set_of: Callable[[bytes], np.ndarray], percent: int) -> Callable:
+def _by_block(
+    batches: Iterator[pa.RecordBatch], found: Callable[[pa.Table], pa.RecordBatch | None], together: Callable[[pa.Table], pa.RecordBatch | None] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """What found gives for the rows of each (key, i, j), or together for those of many small whole buckets; rows come sorted."""
+    held: pa.Table | None = None
+
+    def whole(rows: pa.Table, at: np.ndarray, cut: list[int]) -> Iterator[pa.RecordBatch | None]:
+        size, alone = np.diff(cut), (at[1:, cut[:-1]] == 0).all(axis=0)
+        small = alone & (size <= SMALL) if together else np.zeros(len(size), bool)
+        if small.any():
+            yield together(rows.take(np.flatnonzero(np.repeat(small, size))))
+        for k in np.flatnonzero(~small).tolist():
+            yield found(rows.slice(cut[k], cut[k + 1] - cut[k]))
+
+    def places(rows: pa.Table) -> np.ndarray:
+        return np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        if not rows.num_rows:
+            continue
+        at = places(rows)
+        cut = np.r_[0, np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1].tolist()
+        yield from (out for out in whole(rows, at, cut) if out is not None)
+        held = rows.slice(cut[-1])
+    if held is not None:
+        yield from (out for out in whole(held, places(held), [0, held.num_rows]) if out is not None)
+
+
+def _pairs(block: pa.Table, least: float) -> tuple[np.ndarray, ...]:
+    """Rows of a block that are alike by their sketches and of different components: left, right, the share of equal bytes."""
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
+    side, comps = block.column("side").to_numpy(), block.column("comp").to_numpy()
+    first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+    left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
+    equal = np.zeros((len(left), len(right)))
+    for k, i in enumerate(left):
+        equal[k] = (sig[i] == sig[right]).mean(axis=1)
+    alike = estimate(equal) >= least
+    alike &= comps[left][:, None] != comps[right][None, :]
+    if first == second:
+        alike = np.triu(alike, 1)
+    x, y = np.nonzero(alike)
+    return left[x], right[y], equal[x, y]
+
+
+#: Members of a block whose pairs are looked for together with those of other blocks, and pairs that a member of a larger one gives.
+SMALL, MOST = 32, 16
+_ALIKE = "key long, i int, j int, side int, id long, comp long, other long"
+
+
+def _alike(least: float) -> Callable:
+    """Pairs (id, other) of members that are alike and of different components.
+
+    A large block with more than MOST such pairs for each of its members gives those
+    members instead, without other.
+    """
+    kind = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("id", pa.int64()), ("comp", pa.int64()), ("other", pa.int64())])
+
+    def row_pairs(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(left), f.type) for f in kind]
+        return pa.RecordBatch.from_arrays([*none[:4], pa.array(ids[left]), none[5], pa.array(ids[right])], schema=kind)
+
+    def found(block: pa.Table) -> pa.RecordBatch | None:
+        left, right, _ = _pairs(block, least)
+        if not len(left):
+            return None
+        if len(left) <= MOST * block.num_rows:
+            return row_pairs(block.column("id").to_numpy(), left, right)
+        members = block.select(kind.names[:-1]).take(np.unique(np.r_[left, right])).combine_chunks().to_batches()[0]
+        return pa.RecordBatch.from_arrays([*members.columns, pa.nulls(members.num_rows, pa.int64())], schema=kind)
+
+    def together(rows: pa.Table) -> pa.RecordBatch | None:
+        """Pairs of many small blocks: each row is held against the next ones of its block."""
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+        ids, comps, key = (rows.column(c).to_numpy() for c in ("id", "comp", "key"))
+        left, right = [], []
+        at = np.arange(len(key))
+        for step in range(1, SMALL):
+            at = at[at + step < len(key)]
+            at = at[key[at] == key[at + step]]
+            if not len(at):
+                break
+            x = at[comps[at] != comps[at + step]]
+            x = x[estimate((sig[x] == sig[x + step]).mean(axis=1)) >= least]
+            left.append(x)
+            right.append(x + step)
+        left, right = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (left, right))
+        return row_pairs(ids, left, right) if len(left) else None
+
+    return lambda batches: _by_block(batches, found, together)
+
+
+def _linked(least: float, hashes: Hashes, percent: int) -> Callable:
     """Confirmed links between different components of a bucket block.
 
     Pairs whose sketches are alike enough are confirmed on full sets, the
@@ -126,127 +283,184 @@ def _linked(least: float, set_of: Callable[[bytes], np.ndarray], percent: int) -
     so a block gives fewer links than it has members.
     """
 
-    def pairs(ids: list, comps: np.ndarray, side: np.ndarray, first: int, second: int, sig: np.ndarray, texts: pa.ChunkedArray) -> list[tuple]:
-        left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
-        if not len(left) or not len(right):
-            return []
-        equal = np.stack([(sig[i] == sig[right]).mean(axis=1) for i in left])
-        alike = (equal - 1 / 256) / (1 - 1 / 256) >= least
-        alike &= comps[left][:, None] != comps[right][None, :]
-        if first == second:
-            alike = np.triu(alike, 1)
-        x, y = np.nonzero(alike)
-        order = np.argsort(-equal[x, y], kind="stable")
-        parent, sets, held, links = list(range(int(comps.max()) + 1)), {}, 0, []
+    def found(block: pa.Table) -> pa.RecordBatch | None:
+        left, right, equal = _pairs(block, least)
+        order = np.argsort(-equal, kind="stable")
+        ids, texts = block.column("id").to_pylist(), block.column("text")
+        comps = np.unique(block.column("comp").to_numpy(), return_inverse=True)[1].tolist()
+        parent, sets, held, links = list(range(len(comps))), {}, 0, []
 
         def root(c: int) -> int:
             while parent[c] != c:
                 parent[c] = c = parent[parent[c]]
             return c
 
-        for i, j in zip(left[x[order]].tolist(), right[y[order]].tolist()):
-            a, b = root(int(comps[i])), root(int(comps[j]))
+        for i, j in zip(left[order].tolist(), right[order].tolist()):
+            a, b = root(comps[i]), root(comps[j])
             if a == b:
                 continue
             if held > HELD:
                 sets, held = {}, 0
             for k in (i, j):
                 if k not in sets:
-                    sets[k] = set_of(texts[k].as_py())
+                    sets[k] = np.unique(hashes([texts[k].as_py()])[0])
                     held += len(sets[k])
             if reaches(sets[i], sets[j], percent):
                 parent[max(a, b)] = min(a, b)
                 links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-        return links
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"]) if links else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        kind = None
+    return lambda batches: _by_block(batches, found)
 
-        def blocks(rows: pa.Table, last: bool) -> Iterator[tuple[pa.Table, bool]]:
-            at = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
-            cut = np.r_[0, np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1, rows.num_rows].tolist()
-            for k, (x, y) in enumerate(zip(cut, cut[1:])):
-                yield rows.slice(x, y - x), last or k < len(cut) - 2
 
-        def found(block: pa.Table) -> list[tuple]:
-            sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
-            comps = np.unique(np.array([str(c) for c in block.column("comp").to_pylist()]), return_inverse=True)[1]
-            i, j = block.column("i")[0].as_py(), block.column("j")[0].as_py()
-            return pairs(block.column("id").to_pylist(), comps, block.column("side").to_numpy(), i, j, sig, block.column("text"))
+def signatures(texts: DataFrame, hashes: Hashes) -> DataFrame:
+    """(id, text, sig): sig has one byte of each of WIDTH coordinates."""
 
-        def emit(links: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], kind) for k in (0, 1)], names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):
+                batch = whole.slice(start, 512)
+                sig = bytes_of(sketches(*hashes(batch.column(1).to_pylist()), WIDTH))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "text", "sig"])
 
-        for batch in batches:
-            kind = batch.schema.field("id").type
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            held, links = None, []
-            if rows.num_rows:
-                for block, whole in blocks(rows, False):
-                    if whole:
-                        links += found(block)
-                    else:
-                        held = block
-            if links:
-                yield emit(links)
-        if held is not None and (links := found(held)):
-            yield emit(links)
+    return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, text binary, sig binary")
 
-    return run
 
+#: Band entries that a task holds at a time, and entries meant for one bucket of band keys.
+CHUNK, PER_BUCKET = 1_000_000, 32_000
+_MEMBER = "key long, id long, against long"
 
-#: Coordinates of the sketch that estimates similarity inside a bucket.
-WIDTH = 192
 
+def _dealt(read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buckets: int) -> Callable:
+    """Band entries of a task, packed by bucket: 31 bits of the key, and where the id lies above the chunk's least.
 
-def signatures(texts: DataFrame, set_of: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(id, text, sig): sig has one byte of each of WIDTH coordinates."""
+    Of entries with one key only the first goes to the key's bucket, with a mark; the
+    others are held against it here, so that a key that many sets share costs a
+    bucket no more than one entry for each chunk.
+    """
+    kind = pa.schema([("bucket", pa.int32()), ("base", pa.int64()), ("keys", pa.binary()), ("places", pa.binary()), ("members", pa.binary())])
+
+    def rows(ids: np.ndarray, bands: np.ndarray) -> Iterator[pa.RecordBatch]:
+        h = bands.view(np.uint64).ravel()
+        code = ((h & np.uint64(2**32 - 1)) % np.uint64(buckets) << np.uint64(31) | h >> np.uint64(33)).view(np.int64)
+        order = np.argsort(code, kind="stable")
+        code, own = code[order], ids[order // bands.shape[1]]
+        first = np.r_[True, code[1:] != code[:-1]]
+        at = np.flatnonzero(first)
+        size = np.diff(np.r_[at, len(code)])
+        rest = np.flatnonzero(~first)
+        base = int(ids.min())
+        place = own[at] - base
+        place = place.astype(np.uint16 if place.max() < 2**16 else np.uint32 if place.max() < 2**32 else np.int64)
+        word = ((code[at] & (2**31 - 1)) << 1 | (size > 1)).astype(np.uint32)
+        edge = np.searchsorted(code[at], np.arange(buckets + 1) << 31).tolist()
+        out = [(b, base, word[x:y].tobytes(), place[x:y].tobytes(), None) for b, (x, y) in enumerate(zip(edge, edge[1:])) if y > x]
+        leader = np.repeat(own[at], size)
+        found = np.stack([code[rest], own[rest], leader[rest]]) if len(rest) else np.empty((3, 0), np.int64)
+        for k in range(0, len(rest), PER_BUCKET):
+            out.append(((base + k) % buckets, base, None, None, found[:, k : k + PER_BUCKET].tobytes()))
+        for k in range(0, len(out), 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[k : k + 4096]), kind)], schema=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                sets = [set_of(t) for t in batch.column(1).to_pylist()]
-                sig = bytes_of(sketches(np.concatenate(sets), np.array([len(s) for s in sets], np.int64), WIDTH))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "text", "sig"])
+        held, n = [], 0
+        for batch in batches:
+            ids, bands = read(batch)
+            if len(ids):
+                held.append((ids, bands))
+                n += bands.size
+            if n >= CHUNK:
+                yield from rows(*(np.concatenate(x) for x in zip(*held)))
+                held, n = [], 0
+        if held:
+            yield from rows(*(np.concatenate(x) for x in zip(*held)))
 
-    kind = dict(texts.dtypes)["id"]
-    return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"id {kind}, text binary, sig binary")
+    return run
 
 
-def near_components(nodes: DataFrame, texts: DataFrame, set_of: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the keys that two entries or more share, from rows sorted by bucket."""
+
+    def emit(*columns: np.ndarray, against: np.ndarray | None = None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(against, pa.int64())], names=["key", "id", "against"])
+
+    def rows(bucket: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        word = np.concatenate([w for w, _ in held])
+        order = np.argsort(word >> 1, kind="stable")
+        word, own = word[order], np.concatenate([i for _, i in held])[order]
+        at = np.flatnonzero(np.r_[True, word[1:] >> 1 != word[:-1] >> 1])
+        size = np.diff(np.r_[at, len(word)])
+        shared = (size > 1) | np.add.reduceat(word & 1, at).astype(bool)
+        key = (word >> 1).astype(np.int64) | bucket << 31
+        if shared.any():
+            yield emit(key[at][shared], own[at][shared], against=np.full(shared.sum(), None))
+        rest = np.ones(len(word), bool)
+        rest[at] = False
+        if rest.any():
+            yield emit(key[rest], own[rest], against=np.repeat(own[at], size)[rest])
+
+    now, held = None, []
+    for batch in batches:
+        for bucket, base, keys, places, members in zip(*(c.to_pylist() for c in batch.columns)):
+            if members is not None:
+                key, own, leader = np.frombuffer(members, np.int64).reshape(3, -1)
+                yield emit(key, own, against=leader)
+                continue
+            if bucket != now and held:
+                yield from rows(now, held)
+                held = []
+            now, word = bucket, np.frombuffer(keys, np.uint32)
+            kind = {2: np.uint16, 4: np.uint32, 8: np.int64}[4 * len(places) // len(keys)]
+            held.append((word, np.frombuffer(places, kind).astype(np.int64) + base))
+    if held:
+        yield from rows(now, held)
+
+
+def near_components(
+    nodes: DataFrame, width: int, read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], texts: DataFrame,
+    hashes: Hashes, percent: int, more: DataFrame | None = None,
+) -> DataFrame:
     """(id, comp) of the nodes that have a link; comp is the least id reached.
 
-    nodes: (id, bands), stored, where rows with one id are equal; texts: (id,
-    text), where the rows of one id hold the same set.
+    nodes: stored, one row per set; read gives the ids (long) of a batch of them and
+    a row of `width` band keys for each. texts: (id, text), stored, one row per id.
+    more: further links (a, b).
     """
-    bands = nodes.select("id", F.explode("bands").alias("key"))
-    groups = bands.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("hi")).filter("leader < hi").drop("hi")
-    member = stash(bands.join(groups, "key").distinct(), "buckets")
-    near = texts.join(member.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    near = stash(near, "candidates")
-    pairs = member.filter("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = stash(verify(pairs, near, set_of, percent), "links")
-    comp = components(links)
-    least = percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / WIDTH) ** 0.5
-    comp = stash(comp, "components")
-    rest = member.filter("id != leader").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    open_ = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo != hi")
-    rest = stash(rest.join(open_.select("key", "m"), "key"), "open")
+    buckets = min(2**20, 1 << max(4, (nodes.count() * width // PER_BUCKET).bit_length()))
+    dealt = nodes.mapInArrow(_dealt(read, buckets), "bucket int, base long, keys binary, places binary, members binary")
+    member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets")
+    near = stash(signatures(texts.join(member.select("id").distinct(), "id", "left_semi"), hashes), "candidates")
+    pairs = member.filter("against IS NOT NULL").select(F.least("id", "against").alias("a"), F.greatest("id", "against").alias("b")).distinct()
+    links = confirm(likely(pairs, near, percent), near, hashes, percent)
+    links = stash(links if more is None else links.union(more), "links")
+    comp = stash(components(links), "components")
+    of = member.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+    sizes = of.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "comp"))
+    open_ = sizes.groupBy("key").agg(F.sum("n").alias("m"), F.count("*").alias("comps"), largest.alias("most")).filter("comps > 1 AND m > 2")
+    rest = stash(of.join(open_.select("key", "m", F.col("most.n").alias("most_n"), F.col("most.comp").alias("most")), "key"), "open")
     if rest.isEmpty():
         return comp
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    seen = near.join(rest.select("id").distinct(), "id", "left_semi")
-    dealt = (
-        rest.join(signatures(seen, set_of), "id")
-        .withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp", "sig", "text")
-        .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
+    least = lowest(percent, WIDTH)
+    # the members of the largest component, which need no holding against each other, take the first sides
+    own, whole, hashed = F.col("comp") == F.col("most"), F.col("m") <= BLOCK, F.xxhash64("id")
+    first, last = F.ceil(F.col("most_n") / BLOCK).cast("int"), F.ceil((F.col("m") - F.col("most_n")) / BLOCK).cast("int")
+    side = F.when(whole, 0).when(own, F.pmod(hashed, first)).otherwise(first + F.pmod(hashed, last)).cast("int")
+    met = F.when(whole, F.array(F.lit(0))).otherwise(F.sequence(F.when(own, first).otherwise(0), first + last - 1))
+    sides = (
+        rest.select("key", "id", "comp", side.alias("side"), F.explode(met).alias("other"))
+        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp")
     )
-    kind = dict(dealt.dtypes)["id"]
-    more = dealt.mapInArrow(_linked(least, set_of, percent), f"a {kind}, b {kind}")
-    return components(stash(links.union(more).distinct(), "links"))
+    alike = stash(_in_blocks(sides.join(near.select("id", "sig"), "id"), _alike(least), _ALIKE), "alike")
+    pairs = alike.filter("other IS NOT NULL").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    more = confirm(pairs, near, hashes, percent)
+    # texts of a block follow only for members that are alike to one of another component
+    dense = alike.filter("other IS NULL").drop("other")
+    if not dense.isEmpty():
+        more = more.union(_in_blocks(dense.join(near, "id"), _linked(least, hashes, percent), "a long, b long"))
+    more = stash(more.distinct(), "links")
+    return comp if more.isEmpty() else components(links.union(more))
+
+
+def _in_blocks(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, schema)

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from paperloom.llm import graph, line_dedup, similar
 
 
-def brute(rows):
+def brute(rows, size=12, least=24):
     """doc_id -> places to drop, from all pairs of lines."""
     lines = {}
     for doc_id, text in rows:
         for k, line in enumerate((text or "").split("\n")):
             if x := line.strip(" \t\n\v\f\r"):
                 lines[(doc_id, k)] = x
-    sets = {x: {x[i : i + 12] for i in range(len(x) - 11)} if len(x) >= 24 else None for x in lines.values()}
+    sets = {x: {x[i : i + size] for i in range(len(x) - size + 1)} if len(x) >= least else None for x in lines.values()}
     texts = sorted(sets)
     links = [
         (a, b)
@@ -91,3 +91,22 @@ def test_bands_miss_few_pairs_at_the_threshold():
     t = line_dedup.BANDS * line_dedup.ROWS
     a, b = (similar.bands_of(similar.sketches(half.ravel(), size, t), line_dedup.ROWS) for half in (x[:, : shared + own], np.c_[x[:, :shared], x[:, shared + own :]]))
     assert (~(a == b).any(axis=1)).sum() <= 20
+
+
+def test_short_lines_against_brute_force(spark):
+    """The query's own shingles; lines of 5 to 60 characters among them, shared ids, extra columns of clashing names."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7)))
+    pool = [" ".join(word() for _ in range(rng.randint(1, 10))) for _ in range(60)]
+    data = []
+    for doc_id in range(80):
+        lines = []
+        for _ in range(rng.randint(0, 5)):
+            line = rng.choice(pool)
+            at = rng.randrange(len(line))
+            lines.append(line[:at] + rng.choice(["", "#", line[at]]) + line[at + 1 :] if rng.random() < 0.5 else line)
+        data.append((doc_id - 40, "\n".join(lines)))
+    data.append((200, pool[0] * 4000 + "\n" + pool[0] * 4000 + "x"))
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in data], "doc_id long, text string, n_lines int, place int, at int")
+    got = {r.doc_id: r.dropped for r in line_dedup.dedup_lines(df.repartition(5)).filter(F.size("dropped") > 0).collect()}
+    assert got == brute(data, 5, 5)

@@ -93,3 +93,29 @@ def test_components(spark):
     got = {r.id: r.comp for r in graph.components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
     want = graph.union_find(links)
     assert got == {k: v for k, v in want.items() if k in got} and {k for k, v in want.items() if k != v} <= set(got)
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (2, a + " x"), (2, b), (3, b + " y"), (4, c), (5, d), (5, c + " z"), (6, d), (7, "lone words of its own here"), (2, b)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted({(r.doc_id, r.component_id) for r in got}) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 7)] and len(got) == len(rows)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(7)
+    long = [f"w{rng.randrange(10**7)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, edited(rng, long, 500)), (3, " ".join(long[:30_000]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
+def test_open_bucket_of_many(spark):
+    """More members of one bucket than a block holds, of many components, of which few are linked."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(300)]
+    rows = [(i, " ".join(passage + [f"q{rng.randrange(10**9)}" for _ in range(110)])) for i in range(1300)]
+    rows += [(2000 + i, edited(rng, rows[i][1].split(), 5)) for i in range(0, 1300, 13)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == i for i in range(1300)) and all(got[2000 + i] == i for i in range(0, 1300, 13))
