@@ -6,14 +6,20 @@ comments by element or class). The blocks that a page marks as its article, or
 else as its main part, or else all but furniture may hold its text.
 
 The token streams of a host's pages are concatenated and their suffixes sorted,
-by prefix doubling up to the length that counts; a run of RUN tokens that occurs
-in MIN_PAGES distinct pages of the host, however large, is boilerplate. Blocks
-that such runs cover go, and of other blocks the runs inside them; the unique
-rest stays. Tags are evidence beside it: copies of an article repeat too, so
-where runs cover MIN_COPY or more of the text that a page marks, the mark
-prevails and that text stays whole. No task holds a whole host: hosts are cut into groups of about GROUP
-pages, each group's suffix array counts its runs, and the counts are added up
-over the host by a hash of the run.
+by prefix doubling up to the length that counts, which gives the runs of RUN
+tokens that distinct pages share. Pages that mark no article or main part are
+judged by each other: a run on MIN_PAGES distinct ones of the host, however
+large, is boilerplate. Pages that mark their text need more, since quotations
+and copies of articles repeat too: a run on SHARE of all pages of the host, and
+MIN_PAGES at least, is boilerplate there, unless such runs make MIN_COPY or more
+of the marked text. Blocks that boilerplate covers go, and of other blocks the
+runs inside them; the unique rest stays.
+
+No task holds a whole host: pages of hosts over GROUP_BYTES of html are dealt to
+groups by their text. Each group's suffix array counts its runs, and the counts
+are added up over the host by a hash of the run; of runs of marked pages only
+those on half of SHARE of a group's pages are given on and count. Pages are
+parsed once more to be cut, so they are never stored in between.
 
 Defined results: a null or empty html has no text; pages whose url has no host
 form the host ''; equal streams count as one page; rows that share a page_id
@@ -23,20 +29,24 @@ are read one by one.
 from __future__ import annotations
 
 import html
+import json
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stash, table
 from .similar import mix
 
-RUN, GROUP, MIN_PAGES, MIN_COPY, BUCKETS = 8, 500, 3, 0.5, 256
+RUN, MIN_PAGES, SHARE, MIN_COPY, BUCKETS = 8, 3, 0.5, 0.5, 256
+#: Bytes of html of one group of a host's pages, rows of a broadcast table of hosts, and bytes of runs that tasks hold at once.
+GROUP_BYTES, MAX_HOSTS, MAX_RUNS = 16 << 20, 100_000, 32 << 20
 ARTICLE, MAIN, OTHER, FURNITURE = 0, 1, 2, 3
 
 _TOKEN = re.compile(
@@ -48,7 +58,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
+_HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)"
 #: Element names and words of class, id and role.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _BLOCKS = frozenset(
@@ -145,38 +155,37 @@ def page_blocks(page: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def host_of(url: str | None) -> str:
-    found = _HOST.match(url or "")
-    return found[1].lower() if found else ""
-
-
 def _best(blocks: list[tuple[str, int]]) -> int:
     """The role of the blocks that hold a page's text."""
     roles = {r for _, r in blocks}
     return ARTICLE if ARTICLE in roles else MAIN if MAIN in roles else OTHER
 
 
-def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([host_of(u) for u in batch.column(0).to_pylist()], pa.string())], names=["host"])
+def _digest(blocks: list[tuple[str, int]]) -> int:
+    """Of a page's tokens: equal pages meet in one group, where they count once."""
+    return xxhash.xxh3_64_intdigest(" ".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")) - 2**63
+
+
+def _packed(blocks: list[tuple[str, int]]) -> bytes:
+    return zlib.compress(json.dumps(blocks, ensure_ascii=False).encode(), 1)
 
 
-_BLOCKS_TYPE = pa.list_(pa.struct([("text", pa.string()), ("role", pa.int8())]))
+def _unpacked(packed: bytes) -> tuple[tuple[str, int], ...]:
+    return tuple((t, r) for t, r in json.loads(zlib.decompress(packed)))
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for start in range(0, whole.num_rows, 256):
-            batch = whole.slice(start, 256)
-            hosts = [host_of(u) for u in batch.column("url").to_pylist()]
-            pages = [page_blocks(page) for page in batch.column("html").to_pylist()]
-            # pages of equal tokens meet in one group, where they count once
-            digests = [xxhash.xxh3_64_intdigest(" ".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")) - 2**63 for blocks in pages]
-            blocks = pa.array([[{"text": t, "role": r} for t, r in blocks] for blocks in pages], _BLOCKS_TYPE)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), blocks],
-                names=["page_id", "url", "host", "digest", "blocks"],
-            )
+    """(host, salt, groups, page) of the pages with text."""
+    for batch in batches:
+        hosts, salts, all_groups, pages = [], [], [], []
+        for host, groups, page in zip(*(batch.column(c).to_pylist() for c in ("host", "groups", "html"))):
+            if blocks := page_blocks(page):
+                hosts.append(host)
+                salts.append(_digest(blocks) % groups)
+                all_groups.append(groups)
+                pages.append(_packed(blocks))
+        columns = [pa.array(hosts, pa.string()), pa.array(salts, pa.int32()), pa.array(all_groups, pa.int32()), pa.array(pages, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["host", "salt", "groups", "page"])
 
 
 def _classes(streams: list[list[int]], run: int) -> tuple[np.ndarray, ...]:
@@ -188,10 +197,11 @@ def _classes(streams: list[list[int]], run: int) -> tuple[np.ndarray, ...]:
     `run` tokens. Neighbours of equal rank share a substring of that length.
 
     Gives the text, each stream's size, the suffixes, where each class begins
-    among them, and in how many distinct streams it occurs.
+    among them, and the stream of each suffix where it is the first of its class
+    in that stream, else -1.
     """
     size = np.array([len(s) for s in streams], np.int64)
-    top = max((max(s, default=0) for s in streams), default=0) + 1
+    top = max((int(np.max(s, initial=0)) for s in streams), default=0) + 1
     text = np.concatenate([np.r_[np.array(s, np.int64), top + k] for k, s in enumerate(streams)])
     owner = np.repeat(np.arange(len(streams)), size + 1)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
@@ -209,12 +219,13 @@ def _classes(streams: list[list[int]], run: int) -> tuple[np.ndarray, ...]:
     of, at = rank[suffixes], owner[suffixes]
     first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     fresh = np.r_[True, (of[1:] != of[:-1]) | (at[1:] != at[:-1])]
-    return text, size, suffixes, first, np.add.reduceat(fresh.astype(np.int64), first)
+    return text, size, suffixes, first, np.where(fresh, at, -1)
 
 
 def repeated_tokens(streams: list[list[int]], run: int, least: int) -> list[np.ndarray]:
     """For each stream, which tokens lie in a substring of `run` tokens or more that occurs in `least` distinct streams."""
-    text, size, suffixes, first, pages = _classes(streams, run)
+    text, size, suffixes, first, of = _classes(streams, run)
+    pages = np.add.reduceat((of >= 0).astype(np.int64), first)
     starts = suffixes[np.repeat(pages >= least, np.diff(np.r_[first, len(suffixes)]))]
     hit = np.zeros(len(text), bool)
     hit[starts] = True
@@ -268,28 +279,97 @@ class _Words:
         return key, whole
 
 
-def _counts(pages: list[list[tuple[str, int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Each run of the pages, by its hash, and in how many distinct pages it occurs."""
-    words, streams, seen = _Words(), [], set()
+def _counts(pages: list[tuple[tuple[str, int], ...]]) -> tuple[np.ndarray, ...]:
+    """Each run of distinct pages by its hash, in how many of them and in how many without marks it occurs; and how many pages there are."""
+    words, streams, bare, seen = _Words(), [], [], set()
     for blocks in pages:
         ids = words.stream(blocks)[0]
         own = ids[ids >= 0].tobytes()
         if own and own not in seen:
             seen.add(own)
             streams.append(ids)
+            bare.append(_best(blocks) == OTHER)
     if not streams:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), 0
     alone, unique = len(words.hashes), []
     for ids in streams:
         gaps = np.flatnonzero(ids < 0)
         ids = ids.copy()
         ids[gaps] = alone + np.arange(len(gaps))
         alone += len(gaps)
-        unique.append(ids.tolist())
-    text, _, suffixes, first, pages_of = _classes(unique, RUN)
+        unique.append(ids)
+    text, _, suffixes, first, of = _classes(unique, RUN)
     key, whole = words.keys(np.where(text < len(words.hashes), text, -1))
     at = suffixes[first]
-    return key[at[whole[at]]], pages_of[whole[at]]
+    whole = whole[at]
+    all_, without = (np.add.reduceat(x.astype(np.int64), first)[whole] for x in (of >= 0, np.r_[bare, False][of]))
+    return key[at[whole]], all_, without, len(streams)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of each group that may be boilerplate, by bucket of their hash, from pages sorted by host and salt."""
+    kind = pa.schema([
+        ("host", pa.string()), ("salt", pa.int32()), ("bucket", pa.int32()), ("pages", pa.int64()),
+        ("keys", pa.binary()), ("counts", pa.binary()), ("bare_keys", pa.binary()), ("bare_counts", pa.binary()),
+    ])
+
+    def rows(host: str, salt: int, groups: int, held: dict) -> pa.RecordBatch:
+        keys, counts, bare, pages = _counts(list(held))
+        often = counts >= (max(MIN_PAGES, SHARE * pages) if groups == 1 else SHARE / 2 * pages)
+        some = bare >= (MIN_PAGES if groups == 1 else 1)
+        bucket = (keys >> np.uint64(40)).astype(np.int64) % min(groups, BUCKETS)
+        out = []
+        for b in range(min(groups, BUCKETS)):
+            # every group has a row in every bucket, so that each bucket knows of all pages
+            x, y = often & (bucket == b), some & (bucket == b)
+            packed = [keys[x].tobytes(), counts[x].astype(np.int32).tobytes(), keys[y].tobytes(), bare[y].astype(np.int32).tobytes()]
+            if groups > 1 or x.any() or y.any():
+                out.append((host, salt, b, pages, *packed))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)], schema=kind)
+
+    now, held = None, {}
+    for batch in batches:
+        for *key, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "groups", "page"))):
+            if key != now and held:
+                yield rows(*now, held)
+                held = {}
+            now = key
+            held[_unpacked(page)] = None
+    if held:
+        yield rows(*now, held)
+
+
+def _hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, salt, keys, bare_keys): each group's runs that are boilerplate on the whole host, from rows sorted by host and bucket."""
+
+    def judged(keys: list[bytes], counts: list[bytes], least: float) -> list[bytes]:
+        each = [np.frombuffer(k, np.uint64) for k in keys]
+        of = np.unique(np.concatenate(each), return_inverse=True)[1]
+        pages = np.bincount(of, np.concatenate([np.frombuffer(c, np.int32) for c in counts])) if len(of) else np.empty(0)
+        often = np.split(pages[of] >= least, np.cumsum([len(k) for k in each])[:-1])
+        return [k[o].tobytes() for k, o in zip(each, often)]
+
+    def rows(host: str, held: list[tuple]) -> pa.RecordBatch:
+        salts, pages, keys, counts, bare_keys, bare_counts = zip(*held)
+        found = judged(keys, counts, max(MIN_PAGES, SHARE * sum(pages))), judged(bare_keys, bare_counts, MIN_PAGES)
+        out = [x for x in zip(salts, *found) if x[1] or x[2]]
+        columns = [pa.array([host] * len(out), pa.string()), *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary())))]
+        return pa.RecordBatch.from_arrays(columns, names=["host", "salt", "keys", "bare_keys"])
+
+    now, held = None, []
+    for batch in batches:
+        for host, bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("host", "bucket", "salt", "pages", "keys", "counts", "bare_keys", "bare_counts"))):
+            if (host, bucket) != now and held:
+                yield rows(now[0], held)
+                held = []
+            now = (host, bucket)
+            held.append(tuple(row))
+    if held:
+        yield rows(now[0], held)
+
+
+def _sorted(*keys: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(b"".join(keys), np.uint64))
 
 
 def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
@@ -320,113 +400,73 @@ def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
     return "\n\n".join(kept)
 
 
-def _groups(page_id: pa.DataType, url: pa.DataType, least: int) -> Callable:
-    """Rows come sorted by host and salt. A host of one group is judged at once; of others the pages and counts of runs are given on."""
-    kind = pa.schema([
-        ("page_id", page_id), ("url", url), ("text", pa.string()), ("host", pa.string()), ("salt", pa.int32()), ("bucket", pa.int32()),
-        ("blocks", _BLOCKS_TYPE), ("keys", pa.binary()), ("counts", pa.binary()),
-    ])
-
-    def rows(held: dict) -> Iterator[pa.RecordBatch]:
-        host, salt, groups = held["key"]
-        keys, counts = _counts(list(held["pages"].values()))
-        if groups == 1:
-            hot, words = np.sort(keys[counts >= least]), _Words()
-            texts = {k: _text(blocks, words, hot) for k, blocks in held["pages"].items()}
-            out = [{"page_id": p, "url": u, "text": texts[k]} for p, u, k in held["rows"]]
-        else:
-            out = [{"page_id": p, "url": u, "host": host, "salt": salt, "blocks": [{"text": t, "role": r} for t, r in held["pages"][k]]} for p, u, k in held["rows"]]
-            bucket = (keys >> np.uint64(40)).astype(np.int64) % min(groups, BUCKETS)
-            for b in np.unique(bucket).tolist():
-                mine = bucket == b
-                out.append({"host": host, "salt": salt, "bucket": b, "keys": keys[mine].tobytes(), "counts": counts[mine].astype(np.int32).tobytes()})
-        for start in range(0, len(out), 256):
-            yield pa.RecordBatch.from_pylist(out[start : start + 256], kind)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            for page, link, host, salt, groups, blocks in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "salt", "groups", "blocks"))):
-                if held is None or held["key"] != (host, salt, groups):
-                    if held is not None:
-                        yield from rows(held)
-                    held = {"key": (host, salt, groups), "rows": [], "pages": {}}
-                found = tuple((b["text"], b["role"]) for b in blocks)
-                held["pages"].setdefault(found, found)
-                held["rows"].append((page, link, found))
-        if held is not None:
-            yield from rows(held)
-
-    return run
-
-
-def _hot(least: int) -> Callable:
-    """(host, salt, keys): the runs of each group that `least` pages of the whole host have, from rows sorted by host and bucket."""
-
-    def rows(host: str, held: list[tuple]) -> pa.RecordBatch:
-        keys = [np.frombuffer(k, np.uint64) for _, k, _ in held]
-        of = np.unique(np.concatenate(keys), return_inverse=True)[1]
-        pages = np.bincount(of, np.concatenate([np.frombuffer(c, np.int32) for _, _, c in held]))
-        often = np.split(pages[of] >= least, np.cumsum([len(k) for k in keys])[:-1])
-        out = [(salt, k[o].tobytes()) for (salt, _, _), k, o in zip(held, keys, often) if o.any()]
-        return pa.RecordBatch.from_arrays([pa.array([host] * len(out), pa.string()), pa.array([s for s, _ in out], pa.int32()), pa.array([k for _, k in out], pa.binary())], names=["host", "salt", "keys"])
+def _cut_by(runs: Broadcast) -> Callable:
+    """Texts of pages; runs holds, by host, the runs for marked pages and for others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        none = np.empty(0, np.uint64)
         for batch in batches:
-            for host, bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("host", "bucket", "salt", "keys", "counts"))):
-                if (host, bucket) != now and held:
-                    yield rows(now[0], held)
-                    held = []
-                now = (host, bucket)
-                held.append(tuple(row))
-        if held:
-            yield rows(now[0], held)
+            texts, words = [], _Words()
+            for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html"))):
+                blocks = page_blocks(page)
+                marked, bare = runs.value.get(host, (none, none))
+                texts.append(_text(blocks, words, bare if _best(blocks) == OTHER else marked))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of pages; the rows with the runs of a group come before its pages."""
-    now, hot, words, pages = None, [], _Words(), False
+    now, hot, words, marked, bare = None, [], _Words(), None, None
     for batch in batches:
         texts = []
-        for host, salt, keys, blocks in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "keys", "blocks"))):
+        for host, salt, keys, bare_keys, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "keys", "bare_keys", "html"))):
             if (host, salt) != now:
-                now, hot, words, pages = (host, salt), [], _Words(), False
+                now, hot, words, marked = (host, salt), [], _Words(), None
             if keys is not None:
-                hot.append(np.frombuffer(keys, np.uint64))
+                hot.append((keys, bare_keys))
                 texts.append(None)
                 continue
-            if not pages:
-                hot, pages = np.unique(np.concatenate([*hot, np.empty(0, np.uint64)])), True
-            texts.append(_text([(b["text"], b["role"]) for b in blocks], words, hot))
+            if marked is None:
+                marked, bare = _sorted(*(k for k, _ in hot)), _sorted(*(k for both in hot for k in both))
+            blocks = page_blocks(page)
+            texts.append(_text(blocks, words, bare if _best(blocks) == OTHER else marked))
         out = pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
         yield out.filter(pa.array([t is not None for t in texts], pa.bool_()))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
+def _salted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        salts = [_digest(page_blocks(page)) % groups for groups, page in zip(batch.column("groups").to_pylist(), batch.column("html").to_pylist())]
+        yield batch.drop_columns(["groups"]).append_column("salt", pa.array(salts, pa.int32()))
+
+
+def main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES, max_runs: int = MAX_RUNS) -> DataFrame:
     """(page_id, url, text) of pages with page_id, url and html."""
     kinds = dict(pages.select("page_id", "url").dtypes)
     out = f"page_id {kinds['page_id']}, url {kinds['url']}, text string"
-    array = "array<struct<text:string,role:tinyint>>"
-    # only hosts of several groups: at most one row for every GROUP pages
-    large = pages.select("url").mapInArrow(_hosts, "host string").groupBy("host").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP)
-    large = large.select("host", F.ceil(F.col("n") / GROUP).cast("int").alias("groups"))
-    parsed = pages.select("page_id", "url", "html").mapInArrow(_parse, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, digest long, blocks {array}")
-    dealt = parsed.join(F.broadcast(large), "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
-    dealt = dealt.withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("groups")).cast("int")).drop("digest")
-    arrow = to_arrow_schema(pages.select("page_id", "url").schema)
-    judged = dealt.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(
-        _groups(arrow.field(0).type, arrow.field(1).type, MIN_PAGES),
-        f"{out}, host string, salt int, bucket int, blocks {array}, keys binary, counts binary",
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1))
+    pages = pages.select("page_id", "url", "html", host.alias("host"))
+    groups = F.ceil(F.sum(F.octet_length("html")) / F.lit(group_bytes)).cast("int")
+    large = stash(pages.groupBy("host").agg(groups.alias("groups")).filter("groups > 1"), "hosts")
+    dealt = pages.join(F.broadcast(large) if large.count() <= MAX_HOSTS else large, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
+    parsed = dealt.select("host", "groups", "html").mapInArrow(_parse, "host string, salt int, groups int, page binary")
+    counted = parsed.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(
+        _groups, "host string, salt int, bucket int, pages long, keys binary, counts binary, bare_keys binary, bare_counts binary"
     )
-    judged = stash(judged, "pages")
-    runs = judged.filter("bucket IS NOT NULL").select("host", "bucket", "salt", "keys", "counts")
-    hot = runs.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_hot(MIN_PAGES), "host string, salt int, keys binary")
-    rest = judged.filter("blocks IS NOT NULL").select("page_id", "url", "host", "salt", "blocks")
-    both = rest.unionByName(hot, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("keys").asc_nulls_last())
-    return judged.filter("text IS NOT NULL").select("page_id", "url", "text").unionByName(both.mapInArrow(_cut, out))
+    hot = counted.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_hot, "host string, salt int, keys binary, bare_keys binary")
+    hot = stash(hot, "runs")
+    size = hot.agg(F.sum(F.octet_length("host") + F.octet_length("keys") + F.octet_length("bare_keys"))).first()[0] or 0
+    if size <= max_runs:
+        found: dict[str, list[tuple[bytes, bytes]]] = {}
+        for r in hot.drop("salt").collect():
+            found.setdefault(r.host, []).append((bytes(r.keys), bytes(r.bare_keys)))
+        runs = {h: (_sorted(*(k for k, _ in both)), _sorted(*(k for pair in both for k in pair))) for h, both in found.items()}
+        return pages.mapInArrow(_cut_by(pages.sparkSession.sparkContext.broadcast(runs)), out)
+    salted = dealt.mapInArrow(_salted, f"host string, page_id {kinds['page_id']}, url {kinds['url']}, html string, salt int")
+    both = salted.unionByName(hot, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("keys").asc_nulls_last())
+    return both.mapInArrow(_cut, out)
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,3 +103,86 @@ def test_repeats_inside_articles(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
     assert got == want
+
+
+def naive(pages):
+    """(page_id, text) of (page_id, host, html) by sets of word runs, from the rule as stated."""
+    out, run = [], html_text.RUN
+    for host in {h for _, h, _ in pages}:
+        own = [(p, html_text.page_blocks(page)) for p, h, page in pages if h == host]
+        best = {p: min([r for _, r in b if r != html_text.FURNITURE], default=html_text.OTHER) for p, b in own}
+        streams = {}
+        for p, blocks in own:
+            stream, before = [], None
+            for k, (text, role) in enumerate(blocks):
+                if best[p] != html_text.OTHER and before not in (None, role == best[p]):
+                    stream.append((None, -1))
+                before = role == best[p]
+                stream += [(w, k) for w in text.split()]
+            streams[p] = stream
+        places = lambda s: [i for i in range(len(s) - run + 1) if all(w for w, _ in s[i : i + run])]
+        distinct = {tuple(w for w, _ in s if w): p for p, s in streams.items() if s}
+        runs = {p: {tuple(w for w, _ in streams[p][i : i + run]) for i in places(streams[p])} for p in distinct.values()}
+        count = lambda r, some: sum(r in runs[p] for p in some)
+        bare = [p for p in runs if best[p] == html_text.OTHER]
+        every = set().union(*runs.values()) if runs else set()
+        often = {r for r in every if count(r, runs) >= max(3, len(runs) / 2)}
+        some = often | {r for r in every if count(r, bare) >= 3}
+        for p, blocks in own:
+            s, hot = streams[p], some if best[p] == html_text.OTHER else often
+            covered, inside = set(), set()
+            for i in places(s):
+                if tuple(w for w, _ in s[i : i + run]) in hot:
+                    covered |= set(range(i, i + run))
+                    inside |= set(range(i, i + run)) if len({k for _, k in s[i : i + run]}) == 1 else set()
+            mine = [i for i, (w, k) in enumerate(s) if w and blocks[k][1] == best[p]]
+            if best[p] != html_text.OTHER and 2 * len(covered & set(mine)) >= len(mine):
+                inside = covered = set()
+            left = [[w for i, (w, k) in enumerate(s) if k == n and i not in inside] for n, (_, r) in enumerate(blocks) if r == best[p] and any(k == n and i not in covered for i, (_, k) in enumerate(s))]
+            out.append((p, "\n\n".join(" ".join(x) for x in left)))
+    return sorted(out)
+
+
+def test_against_brute_force(spark):
+    """One and many groups, partitions, and both ways of bringing runs to pages."""
+    rng = random.Random(11)
+    own = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    common = [own(rng.randint(6, 20)) for _ in range(5)]
+    pages = []
+    for i in range(260):
+        host = rng.choice(["a.example", "b.example", "c.example", "c.example"])
+        blocks = []
+        for _ in range(rng.randint(0, 5)):
+            text = own(rng.randint(1, 25))
+            if rng.random() < (0.85 if host == "b.example" else 0.3):
+                at = rng.randint(0, len(text.split()))
+                words = text.split()
+                text = " ".join(words[:at] + [common[0] if rng.random() < 0.7 else rng.choice(common)] + words[at:])
+            blocks.append(text)
+        tag = rng.choice(["article", "main", "div"])
+        page = f"<nav>{common[1]}</nav><p>{common[2]}</p><{tag}>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</{tag}><footer>foot {host}</footer>"
+        pages.append((i, host, page))
+    pages += [(300 + i, h, p) for i, (_, h, p) in enumerate(pages[:30])]
+    want = naive(pages)
+    df = spark.createDataFrame([(i, f"http://{h.upper()}/{i}", p) for i, h, p in pages], "page_id long, url string, html string")
+    run = lambda n, **k: sorted((r.page_id, r.text) for r in html_text.main_text(df.repartition(n), **k).collect())
+    assert run(3) == want and any(t != "" for _, t in want)
+    grouped = run(1, group_bytes=9000)
+    assert run(7, group_bytes=9000) == grouped == run(5, group_bytes=9000, max_runs=0)
+    assert run(2, max_runs=0) == want
+    # pages without marks are judged alike however they are grouped
+    bare = {i for i, _, p in pages if "<article>" not in p and "<main>" not in p}
+    assert [x for x in grouped if x[0] in bare and x[1]] and sum(a != b for a, b in zip(grouped, want)) <= 0.2 * len(want)
+
+
+def test_articles_without_their_tags(spark):
+    """Menus, adverts and footers go and articles stay, also where nothing marks the article."""
+    rng = random.Random(12)
+    own = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+    rows, want = [], {}
+    for i in range(20):
+        text = own()
+        rows.append((i, "http://a.example/", f"<div>home news sport weather travel money culture shop</div><div>{text}</div><div>all of these words are on every page of this host</div>"))
+        want[i] = text
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.main_text(df).collect()} == want
