@@ -209,6 +209,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[c.alias(n) for n, c in counts.items()],
         F.sha2(spelled(base), 256).alias("base_sha256"),
         spelled(F.col("pii")).alias("spans"),
+        (F.size("pii") > 0).alias("has_pii"),
         F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
@@ -263,7 +264,7 @@ per AS (
   FROM good GROUP BY doc_id
 )
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in KINDS)},
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, spans IS NOT NULL AS has_pii, coalesce(scores, '') AS scores
 FROM d LEFT JOIN per USING (doc_id)
 """
 

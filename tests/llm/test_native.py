@@ -38,6 +38,7 @@ def test_pii_spans(spark):
     ]
     assert got[2].pii == got[3].pii == got[5].pii == []
     assert [(s.start, s.stop) for s in got[4].pii] == [(7 * i, 7 * i + 6) for i in range(3000)]
+    assert pii.find_pii(df.limit(0)).count() == 0
     clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
     assert clean[1].startswith("é <email><email>, <ip>.5 999.1.1.1 mail: <card>; <phone>. IBAN <iban>") and clean[2] == ""
 
@@ -63,3 +64,25 @@ def test_licenses(spark):
         (None, "Proprietary", "inherited", ""), ("top.txt", "Proprietary", "file", ""),
     }
     assert license_scan.scan_licenses(df.limit(0)).count() == 0 and Row
+
+
+def test_headers_and_licence_files(spark):
+    """Whole headers and texts, wrapped and in comments; versions, tags and copyright lines; columns of clashing names."""
+    gpl = "/*\n * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version {} of the License, or\n * (at your option) any later version.\n */\nint x;\n" + "x = x + 1;\n" * 200
+    apache = "# Copyright 2020 Some One. All rights reserved.\n#\n# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n" + "x += 1\n" * 200
+    bsd = "Copyright (c) 2020, Some One\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice.\n"
+    third = "3. Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.\n"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"
+    code = "\n" + "y = f(y)\n" * 100
+    want = {
+        "a1/x.c": (gpl.format(2), "GPL-2.0"), "a2/x.c": (gpl.format(3), "GPL-3.0"), "a3/x.c": (gpl.format(3).replace("GNU General", "GNU Lesser General"), "LGPL-3.0"),
+        "a4/x.c": (gpl.format(3).replace("GNU General", "GNU Affero General"), "AGPL-3.0"), "a5/x.py": (apache, "Apache-2.0"), "a6/COPYING": (bsd, "BSD-2-Clause"),
+        "a7/COPYING": (bsd + third, "BSD-3-Clause"), "a8/LICENSE": (isc, "ISC"), "a9/x.rs": ("// SPDX-License-Identifier: MIT" + code, "MIT"),
+        "b1/x.rs": ("// SPDX-License-Identifier: Apache-2.0" + code, "Apache-2.0"), "b2/x.c": ("/* SPDX-License-Identifier: GPL-2.0-only */" + code, "GPL-2.0"),
+        "b3/x.c": ("-- SPDX-License-Identifier: LGPL-3.0" + code, "LGPL-3.0"), "b4/x.c": ("// (c) Some One. All rights reserved." + code, "Proprietary"), "b5/x.c": (code, None),
+        "b6/x.txt": ("word " * 300_000 + "\nReleased under the MIT License.\n" + "Released under the Apache License, Version 2.0.\n", "MIT"),
+    }
+    rows = [(p, t, "u", "v", "w") for p, (t, _) in want.items()]
+    df = spark.createDataFrame(rows, "path string, text string, _own string, _near string, license_dir string")
+    out = license_scan.scan_licenses(df).collect()
+    assert {r.path: r.license for r in out} == {p: name for p, (_, name) in want.items()} and all((r._own, r._near) == ("u", "v") for r in out)
