@@ -16,8 +16,9 @@ document's significances on labelled rows held out from the counts gives the
 score.
 
 Labels of rows with crc32(doc_id as text) mod 5 = 0 are never read. The fit
-uses a sample of at most max_rows labelled rows (a hash of doc_id picks them)
-and a model of at most max_terms words and stems; scores read the text only.
+uses a sample of at most max_rows labelled rows (a hash of doc_id picks them).
+The model holds every word and stem that LEAST_DOCS documents of that sample
+have and that says enough, so the sample bounds it; scores read the text only.
 
 Defined results: null and empty texts score as texts without toxic words do;
 equal texts score alike; labels without a document, or null, are left out, and
@@ -111,12 +112,12 @@ def _scored(text: str | None, scores: _Scores) -> tuple[int, list[tuple[int, int
     return len(words), segments(at.tolist(), each[at].tolist(), DRIFT) if len(at) else [], each[at]
 
 
-def _features(n: int, found: list[tuple[int, int, float]], each: np.ndarray, model: Model) -> list[float]:
-    """Significance of the best segment, of all significant ones, and the evidence by length."""
+def _features(n: int, found: list[tuple[int, int, float]], model: Model) -> list[float]:
+    """Significance of the best segment, of all significant ones, and what all segments score by length."""
     nats = [model.scale * s - math.log(n) - model.log_k for _, _, s in found]
     best = max(nats, default=-6.0)
     high = sum(x for x in nats if x > 0)
-    return [1.0, max(-6.0, min(best, 20.0)), math.log1p(high), float(each.sum()) / math.sqrt(n + 10.0), float(bool(found))]
+    return [1.0, max(-6.0, min(best, 20.0)), math.log1p(high), sum(s for _, _, s in found) / math.sqrt(n + 10.0), float(bool(found))]
 
 
 def toxic_share(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
@@ -144,8 +145,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["token", "toxic", "n"])
 
 
-def log_odds(rows: DataFrame, max_terms: int) -> Model | None:
-    """The model's words and stems from (text, toxic); None without both classes."""
+def log_odds(rows: DataFrame) -> Model | None:
+    """The model's words and stems from (text, toxic); None without both classes.
+
+    What is collected is bounded by the sample: a term stands for LEAST_DOCS documents or more.
+    """
     counts = rows.mapInArrow(_count, "token string, toxic long, n long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     counts = stash(counts, "tokens")
     both = counts.filter("token = ''").first()
@@ -161,15 +165,15 @@ def log_odds(rows: DataFrame, max_terms: int) -> Model | None:
     stem = stem.withColumn("mean", smooth(F.col("st"), F.col("sn"), F.lit(rate)))
     bound: Column = F.lit(math.log(rate / (1 - rate)))
     score = lambda p: F.least(F.lit(MOST), logit(p) - bound)
-    stems = stem.filter(F.col("sn") >= LEAST_DOCS).select(F.concat(F.lit("^"), "stem").alias("token"), score(F.col("mean")).alias("s"), F.col("sn").alias("n"))
+    stems = stem.filter(F.col("sn") >= LEAST_DOCS).select(F.concat(F.lit("^"), "stem").alias("token"), score(F.col("mean")).alias("s"))
     words = tokens.filter(f"n >= {LEAST_DOCS} AND token NOT LIKE '^%'").withColumn("stem", F.expr(f"substring(token, 1, {STEM})"))
     words = words.join(stem.select("stem", "mean"), "stem", "left")
-    words = words.select("token", score(smooth(F.col("toxic"), F.col("n"), F.coalesce("mean", F.lit(rate)))).alias("s"), "n", "mean")
+    words = words.select("token", score(smooth(F.col("toxic"), F.col("n"), F.coalesce("mean", F.lit(rate)))).alias("s"), "mean")
     # a word that says less than the least is kept as nought where its stem would speak for it
     quiet = F.when(F.col("s") >= LEAST_SCORE, F.col("s")).otherwise(0.0)
     loud = (F.col("s") >= LEAST_SCORE) | (score(F.col("mean")) >= LEAST_SCORE)
-    words = words.filter(loud).select("token", quiet.alias("s"), "n")
-    kept = stems.filter(F.col("s") >= LEAST_SCORE).union(words).orderBy(F.desc(F.abs("s") * F.sqrt("n")), "token").limit(max_terms).collect()
+    words = words.filter(loud).select("token", quiet.alias("s"))
+    kept = stems.filter(F.col("s") >= LEAST_SCORE).select("token", "s").union(words).collect()
     return Model(
         {r.token: r.s for r in kept if not r.token.startswith("^")}, {r.token[1:]: r.s for r in kept if r.token.startswith("^")}, rate
     )
@@ -214,10 +218,10 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 n, found, each = _scored(text, scores)
                 value, count = np.unique(np.round(each, 1), return_counts=True)
-                out.append({"toxic": toxic, "n": n, "segments": [s for _, _, s in found], "value": value.tolist(), "count": count.tolist(), "sum": float(each.sum())})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("segments", pa.list_(pa.float64())), ("value", pa.list_(pa.float64())), ("count", pa.list_(pa.int64())), ("sum", pa.float64())]))
+                out.append({"toxic": toxic, "n": n, "segments": [s for _, _, s in found], "value": value.tolist(), "count": count.tolist()})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("toxic", pa.bool_()), ("n", pa.int64()), ("segments", pa.list_(pa.float64())), ("value", pa.list_(pa.float64())), ("count", pa.list_(pa.int64()))]))
 
-    made = rows.mapInArrow(run, "toxic boolean, n long, segments array<double>, value array<double>, count array<long>, sum double").collect()
+    made = rows.mapInArrow(run, "toxic boolean, n long, segments array<double>, value array<double>, count array<long>").collect()
     clean, bins = [r for r in made if not r.toxic and r.n], defaultdict(float)
     for r in clean:
         for v, c in zip(r.value, r["count"]):
@@ -228,15 +232,15 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
     model.scale = _karlin(float(sum(r.n for r in clean)), bins)
     best = [model.scale * max(r.segments) - math.log(r.n) for r in clean if r.segments]
     model.log_k = float(np.mean(best)) - 0.5772 if best else 0.0
-    x = np.array([_features(r.n, [(0, 0, s) for s in r.segments], np.array([r.sum]), model) for r in made])
+    x = np.array([_features(r.n, [(0, 0, s) for s in r.segments], model) for r in made])
     model.weights = _logistic(x, np.array([float(r.toxic) for r in made]))
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, max_terms: int = 50_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000) -> Model:
     """A model from labelled rows; three parts give the counts, the fourth the calibration."""
     rows = toxic_share(docs, labels, max_rows)
-    model = log_odds(rows.filter("part != 4").select("text", "toxic"), max_terms)
+    model = log_odds(rows.filter("part != 4").select("text", "toxic"))
     if model is None:
         seen = rows.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
         rate = min(max(seen, 1e-3), 1 - 1e-3)
@@ -248,8 +252,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs with score, and passages: the significant segments (start and stop word, nats)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own = ["score", "passages"]
-    docs = docs.drop(*own).withColumn("_text", F.col("text").cast("string"))
-    kept = [f for f in docs.schema.fields if f.name != "_text"]
+    docs = docs.drop(*own)
+    kept, place = docs.schema.fields, docs.columns.index("text")
     passage = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("nats", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,14 +261,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         scores, weights = _Scores(model), np.array(model.weights)
         for batch in batches:
             result, passages = [], []
-            for text in batch.column("_text").to_pylist():
-                n, found, each = _scored(text, scores)
-                x = float(weights @ _features(n, found, each, model))
+            for text in batch.column(place).cast(pa.string()).to_pylist():
+                n, found, _ = _scored(text, scores)
+                x = float(weights @ _features(n, found, model))
                 result.append(1 / (1 + math.exp(-max(-30.0, min(30.0, x)))))
                 nats = [(a, b + 1, model.scale * s - math.log(n) - model.log_k) for a, b, s in found]
                 passages.append([{"start": a, "stop": b, "nats": v} for a, b, v in nats if v > 0])
-            rest = batch.drop_columns(["_text"])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(result, pa.float64()), pa.array(passages, passage)], names=[*rest.schema.names, *own])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result, pa.float64()), pa.array(passages, passage)], names=[*batch.schema.names, *own])
 
     spelled = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "score double", "passages array<struct<start:int,stop:int,nats:double>>"])
     return docs.mapInArrow(run, spelled)

@@ -75,3 +75,24 @@ def test_one_class_and_empty(spark):
         got = toxicity.score(docs, toxicity.fit(docs, some)).collect()
         assert len(got) == 2 and all(r.score < 0.5 for r in got)
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, labels)).count() == 0
+
+
+def test_scores_by_hand(spark):
+    """Each document's score and passages from the model by the naive search for segments; extra columns stay."""
+    import math
+    import re
+
+    docs, labels, _ = tables(spark, 400)
+    model = toxicity.fit(docs, labels)
+    short = docs.filter("length(text) < 700 OR text IS NULL").selectExpr("*", "1 AS toxicity_text", "2 AS passages")
+    got = toxicity.score(short, model).collect()
+    assert len(got) > 100 and model.words
+    for r in got:
+        words = re.findall(r"[^\W\d_]+", (r.text or "").lower())
+        values = [model.words.get(w, model.stems.get(w[:6], 0.0) if len(w) >= 6 else 0.0) for w in words]
+        found = naive([v or -toxicity.DRIFT for v in values])
+        nats = [model.scale * s - math.log(len(words)) - model.log_k for _, _, s in found]
+        x = [1, max(-6.0, min(max(nats, default=-6.0), 20.0)), math.log1p(sum(v for v in nats if v > 0)), sum(s for _, _, s in found) / math.sqrt(len(words) + 10), bool(found)]
+        z = sum(a * b for a, b in zip(x, model.weights))
+        assert abs(r.score - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-6 and r.toxicity_text == 1
+        assert [(p.start, p.stop) for p in r.passages] == [(a, b + 1) for (a, b, _), v in zip(found, nats) if v > 0]
