@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
+import re
 import tempfile
 import uuid
 
@@ -41,17 +41,22 @@ def setting(spark: SparkSession, key: str) -> str | None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder of this application that driver and executors all see.
+    """A folder of this application that driver and executors all see, gone when the application's JVM ends.
 
-    It lies in spark.checkpoint.dir. Only where that is unset, as in local
-    tests, a temporary folder takes its place.
+    It lies in spark.checkpoint.dir. Only where that is unset and everything runs
+    in one process, as in tests, a temporary folder takes its place.
     """
     app = spark.sparkContext.applicationId
     if app not in _folders:
         root = setting(spark, "spark.checkpoint.dir")
+        if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = root.rstrip("/") if root else f"file://{tempfile.mkdtemp(prefix='paperloom-')}"
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/paperloom-{app}")
+        system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(where)
+        system.deleteOnExit(where)
         _folders[app] = f"{root}/paperloom-{app}"
-        atexit.register(remove, spark, _folders[app])
     return _folders[app]
 
 
@@ -59,15 +64,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder; one that is gone, or a session that has ended, is no error."""
-    if spark.sparkContext._jsc is None:
-        return
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 

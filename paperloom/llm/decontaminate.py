@@ -7,10 +7,11 @@ the words of each window are ordered by rarity, and documents meet windows only
 at prefix words. Bounds on the position (the window must fit before and after
 it) come next; a candidate is then confirmed word for word.
 
-The items are the stated query set. They are worked through in blocks of at
-most MAX_WINDOWS windows, so what is broadcast is bounded however many items
-there are; documents stream past each block in place, without a shuffle, so hot
-sources or passages cost no more than their own words.
+Frequencies are counted once for all windows. Up to MAX_WINDOWS windows go to
+the tasks and documents stream past them in place, without a shuffle, so hot
+sources or passages cost no more than their own words. More windows are joined
+with the words of documents on the prefix word, and what meets is confirmed on
+the document's words.
 
 Defined results: null and empty texts have no words, no hits and are clean;
 items without words or without an id match nothing; rows that share an item_id
@@ -23,22 +24,26 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lower_ascii, table
+from .common import lower_ascii, stash, table
 
 WINDOW = 13
 #: A document is contaminated if hits are this share of its words or more.
 MIN_PERCENT = 5
-MAX_WINDOWS = 100_000
+#: Windows, and distinct words, that are sent to every task; with more, tables are joined.
+MAX_WINDOWS, MAX_WORDS = 100_000, 1_000_000
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: UTF-8 bytes to themselves if part of a word, A-Z to a-z, the rest to blanks.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_SPANS = "array<struct<start:int,stop:int>>"
+_SPANS, _ROW = "array<struct<start:int,stop:int>>", "decontaminate_row"
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
+_FOUND = [T.StructField("n_words", T.LongType()), T.StructField("hit_spans", T.ArrayType(_SPAN)), T.StructField("items", T.ArrayType(T.StringType()))]
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -58,9 +63,15 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
     )
 
 
-def word_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
-    """In how many documents each word of a vocabulary occurs; all documents count."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def _doc_words() -> Column:
+    return F.regexp_extract_all(lower_ascii(F.coalesce("text", F.lit(""))), F.lit(ITEM_WORD), F.lit(0))
+
+
+def word_frequencies(docs: DataFrame, vocabulary: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """(word, n): in how many documents each word of a vocabulary (word), of distinct words, occurs; all documents count."""
+    if vocabulary.count() > max_words:
+        return docs.select(F.explode(F.array_distinct(_doc_words())).alias("word")).join(vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    shared = docs.sparkSession.sparkContext.broadcast({r.word.encode() for r in vocabulary.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: dict[bytes, int] = defaultdict(int)
@@ -68,21 +79,28 @@ def word_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int
             for text in batch.column(0).to_pylist():
                 for word in shared.value.intersection(words_of(text)):
                     count[word] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.binary()), pa.array(count.values(), pa.int64())], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in count], pa.string()), pa.array(count.values(), pa.int64())], names=["word", "n"])
+
+    partial = docs.select(F.col("text").cast("binary")).mapInArrow(run, "word string, n long")
+    return partial.groupBy("word").agg(F.sum("n").alias("n"))
+
 
-    partial = docs.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, n long")
-    return {bytes(r.word): r.n for r in partial.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+def prefixes(windows: DataFrame, df: DataFrame) -> DataFrame:
+    """(word, place, words, item): windows (item, words) by their rarest word and its place; ties go to the word that sorts first."""
+    each = windows.select("words").distinct().select("words", F.posexplode("words").alias("place", "word"))
+    rank = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")
+    rarest = each.join(df, "word", "left").groupBy("words").agg(F.min(rank).alias("m"))
+    return rarest.select("words", "m.word", "m.place").join(windows, "words").select("word", "place", "words", "item")
 
 
-def prefix_index(windows: list[tuple[str, list[str]]], df: dict[bytes, int]) -> dict[bytes, list]:
+def prefix_index(rows: list) -> dict[bytes, list]:
     """Rarest word to [(its place in the window, window, items)]."""
     items: dict[tuple, list[str]] = defaultdict(list)
-    for item, words in windows:
-        items[tuple(w.encode() for w in words)].append(item)
+    for r in rows:
+        items[(r.word, r.place, tuple(r.words))].append(r.item)
     index: dict[bytes, list] = defaultdict(list)
-    for words, names in items.items():
-        place = min(range(len(words)), key=lambda i: (df.get(words[i], 0), words[i], i))
-        index[words[place]].append((place, list(words), names))
+    for (word, place, words), names in items.items():
+        index[word.encode()].append((place, [w.encode() for w in words], names))
     return dict(index)
 
 
@@ -110,56 +128,68 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def scan_block(docs: DataFrame, index: dict[bytes, list]) -> DataFrame:
-    """docs, whose columns hit_spans and items grow by the matches of one block, with n_words."""
+def scan(docs: DataFrame, index: dict[bytes, list]) -> DataFrame:
+    """docs with n_words, hit_spans and items, by an index of windows that every task holds."""
     shared = docs.sparkSession.sparkContext.broadcast((index, set(index)))
-    schema = T.StructType(docs.schema.fields)
+    schema = T.StructType([*docs.schema.fields, *_FOUND])
+    column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, prefixes = shared.value
+        index, known = shared.value
         for batch in batches:
             n_words, all_spans, all_items = [], [], []
-            for text, spans, items in zip(*(batch.column(c).to_pylist() for c in ("_bytes", "hit_spans", "items"))):
+            for text in batch.column(column).cast(pa.binary()).to_pylist():
                 words = words_of(text)
+                seen = known.intersection(words)
+                spans, names = match(words, index, seen) if seen else ([], set())
                 n_words.append(len(words))
-                if seen := prefixes.intersection(words):
-                    found, names = match(words, index, seen)
-                    spans = [{"start": a, "stop": b} for a, b in merge([(s["start"], s["stop"]) for s in spans] + found)]
-                    items = sorted(names.union(items))
-                all_spans.append(spans)
-                all_items.append(items)
-            new = {"n_words": n_words, "hit_spans": all_spans, "items": all_items}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in batch.schema], schema=batch.schema
-            )
+                all_spans.append([{"start": a, "stop": b} for a, b in spans])
+                all_items.append(sorted(names))
+            new = [pa.array(n_words, pa.int64()), pa.array(all_spans, _ARROW_SPANS), pa.array(all_items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def join_windows(docs: DataFrame, index: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
+    """docs with n_words, hit_spans and items, by joins: of words with prefix words, and of what meets with the document again."""
+    rows = stash(docs.select(F.monotonically_increasing_id().alias(_ROW), F.struct(*[f"`{c}`" for c in docs.columns]).alias("doc")), "rows")
+    own = rows.select(_ROW, F.col("doc.text").alias("text")).select(_ROW, _doc_words().alias("w"))
+    spots = own.select(_ROW, F.size("w").alias("n"), F.posexplode("w").alias("p", "word"))
+    known = index.select("word").distinct()
+    if known.count() <= max_words:
+        spots = spots.join(F.broadcast(known), "word", "left_semi")
+    start = F.col("p") - F.col("place")
+    met = spots.join(index, "word").select(_ROW, "n", start.alias("start"), (start + F.size("words")).alias("stop"), "words", "item")
+    met = met.filter("start >= 0 AND stop <= n").join(own, _ROW)
+    hits = met.filter(F.slice("w", F.col("start") + 1, F.size("words")) == F.col("words"))
+    per = hits.groupBy(_ROW).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"), F.sort_array(F.collect_set("item")).alias("items"))
+    merged = F.aggregate("spans", F.array().cast(_SPANS), _with_span)
+    out = rows.join(per.select(_ROW, merged.alias("hit_spans"), "items"), _ROW, "left")
+    none = {"hit_spans": F.array().cast(_SPANS), "items": F.array().cast("array<string>")}
+    n_words = F.size(F.regexp_extract_all(lower_ascii(F.coalesce("doc.text", F.lit(""))), F.lit(ITEM_WORD), F.lit(0))).cast("long")
+    return out.select(*[F.col(f"doc.`{c}`") for c in docs.columns], n_words.alias("n_words"), *[F.coalesce(c, n).alias(c) for c, n in none.items()])
+
+
+def _with_span(spans: Column, x: Column) -> Column:
+    last = F.element_at(spans, -1)
+    longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+    apart = (F.size(spans) == 0) | (x["start"] > F.coalesce(F.try_element_at(spans, F.lit(-1))["stop"], F.lit(-1)))
+    return F.when(apart, F.concat(spans, F.array(x))).otherwise(F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(longer)))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_windows: int = MAX_WINDOWS, max_words: int = MAX_WORDS) -> DataFrame:
     """docs with n_words, n_hit, hit_spans (in words), items (sorted as strings) and contaminated added."""
-    own = ["n_words", "n_hit", "hit_spans", "items", "contaminated", "_bytes"]
-    docs = docs.drop(*own)
-    windows = item_windows(items.select("item_id", "text"), window)
-    blocks = max(1, -(-windows.count() // max_windows))
-    out = docs.withColumns(
-        {
-            "_bytes": F.col("text").cast("binary"),
-            "n_words": F.lit(0).cast("long"),
-            "hit_spans": F.array().cast(_SPANS),
-            "items": F.array().cast("array<string>"),
-        }
-    )
-    for k in range(blocks):
-        block = [(r.item, r.words) for r in windows.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == k).collect()]
-        vocabulary = {w.encode() for _, words in block for w in words}
-        out = scan_block(out, prefix_index(block, word_frequencies(docs, vocabulary)))
+    docs = docs.drop("n_words", "n_hit", "hit_spans", "items", "contaminated")
+    windows = stash(item_windows(items.select("item_id", "text"), window), "windows")
+    vocabulary = windows.select(F.explode("words").alias("word")).distinct()
+    index = stash(prefixes(windows, word_frequencies(docs.select("text"), vocabulary, max_words)), "prefixes")
+    if index.count() <= max_windows:
+        out = scan(docs, prefix_index(index.collect()))
+    else:
+        out = join_windows(docs, index, max_words)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    return (
-        out.drop("_bytes")
-        .withColumn("n_hit", hit)
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * MIN_PERCENT))
-    )
+    return out.withColumn("n_hit", hit).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * MIN_PERCENT))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
