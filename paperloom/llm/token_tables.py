@@ -17,7 +17,9 @@ folder through its file system, never to a local one.
 The tokenizer runs on distinct chunks between single blanks: byte-level
 pre-tokenisation never joins what such a blank separates, so a chunk has the
 same ids alone and in its text. Texts where a blank touches other white space,
-or that hold a special token, go to the tokenizer whole.
+or that hold a special token, go to the tokenizer whole; chunks tell of either.
+Of the chunks that a task knows, the less frequent half goes when there are too
+many.
 
 Defined results: null and empty texts have only the end id. A null doc_id has
 the empty key and sorts first; rows that share a doc_id keep an entry each.
@@ -52,7 +54,6 @@ BLANK = "Ġ"
 _FOOTER = struct.Struct("<QQQQQQBB6x8s")
 BLOCK_BYTES, BLOOM_BITS, BLOOM_HASHES = 256 * 1024, 10, 7
 CACHE_CHUNKS, JOINED, SLICE_CHARS = 150_000, 1000, 2_000_000
-_TIGHT = re.compile(r" \s|\s |^ | $")
 
 
 class _Places(dict):
@@ -69,9 +70,9 @@ class _Places(dict):
 
 
 class Tokens:
-    """A tokenizers file, with a bounded cache of chunks."""
+    """A tokenizers file, with a bounded cache of chunks. end: an id that is put after each text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -81,11 +82,14 @@ class Tokens:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.width = 2 if self.library.get_vocab_size() <= 65536 else 4
-        self.clear()
-
-    def clear(self) -> None:
         self.places = _Places()
-        self.flat, self.size = np.empty(0, np.uint32), np.empty(0, np.int64)
+        # what stands after each text is a chunk too, under a name that none of a text can have
+        self.end = [] if end is None else ["  "]
+        self.flat, self.size = np.array([end] * len(self.end), np.uint32), np.ones(len(self.end), np.int64)
+        self.odd, self.seen = np.zeros(len(self.end), bool), np.zeros(len(self.end), np.int64)
+        for name in self.end:
+            self.places[name]
+        self.places.new = []
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -104,50 +108,89 @@ class Tokens:
         parted = self.whole(chunks)
         return np.concatenate([np.array(i, np.uint32) for i in parted]), np.array([len(i) for i in parted])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+    def learn(self) -> None:
+        """The ids of the chunks that are new, and whether a text with them has to go whole.
+
+        A text's first chunk has a line end and a blank before it; one that ends its text in white space, a blank after it.
+        """
+        new, self.places.new = self.places.new, []
+        alone, joined, odd = [], [], np.zeros(len(new), bool)
+        for k, name in enumerate(new):
+            first, last = name.startswith("\n "), name.endswith(" ") and name != "\n "
+            chunk = name[2 * first : len(name) - last]
+            if not chunk or (not first and chunk[0].isspace()) or (not last and chunk[-1].isspace()) or (self.special and self.special.search(chunk)):
+                odd[k] = True
+            elif first or last:
+                alone.append((k, chunk if first else " " + chunk))
+            else:
+                joined.append((k, " " + chunk))
+        parted = self.whole([c for _, c in alone])
+        flat, of_joined = self.chunks([c for _, c in joined])
+        size, own = np.zeros(len(new), np.int64), np.zeros(len(new), bool)
+        size[[k for k, _ in alone]], size[[k for k, _ in joined]] = [len(i) for i in parted], of_joined
+        own[[k for k, _ in alone]] = True
+        both, of_alone = np.empty(int(size.sum()), np.uint32), np.repeat(own, size)
+        both[of_alone] = np.concatenate([np.empty(0, np.uint32), *[np.array(i, np.uint32) for i in parted]])
+        both[~of_alone] = flat
+        self.flat, self.size, self.odd = np.concatenate([self.flat, both]), np.r_[self.size, size], np.r_[self.odd, odd]
+        self.seen = np.r_[self.seen, np.zeros(len(new), np.int64)]
+
+    def forget(self) -> None:
+        """Keeps the more frequent half of the chunks, and the end."""
+        order = np.argsort(-self.seen[len(self.end) :], kind="stable")[: CACHE_CHUNKS // 2] + len(self.end)
+        keep = np.r_[np.arange(len(self.end)), np.sort(order)]
+        names, start = list(self.places), np.cumsum(self.size) - self.size
+        size = self.size[keep]
+        self.flat = self.flat[np.repeat(start[keep] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        self.size, self.odd, self.seen = size, self.odd[keep], self.seen[keep] // 2
+        self.places = _Places()
+        for k in keep.tolist():
+            self.places[names[k]]
+        self.places.new = []
+
+    def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with its end, in one array, and where each begins; one place more than texts."""
         if len(self.places) > CACHE_CHUNKS:
-            self.clear()
-        places, at, ends, odd = self.places, [], [], []
+            self.forget()
+        chunks: list[str] = []
+        ends = np.empty(len(texts), np.int64)
         for k, text in enumerate(texts):
-            if not text:
-                pass
-            elif _TIGHT.search(text) or (self.special and self.special.search(text)):
-                odd.append(k)
-            else:
-                head, *rest = text.split(" ")
-                at.append(places["\n " + head])
-                at.extend(map(places.__getitem__, rest))
-            ends.append(len(at))
-        if places.new:
-            # a first chunk is kept under a name that no later chunk can have
-            first = np.array([c.startswith("\n ") for c in places.new])
-            size = np.empty(len(first), np.int64)
-            heads = self.whole([c[2:] for c in places.new if c.startswith("\n ")])
-            size[first] = [len(i) for i in heads]
-            flat, size[~first] = self.chunks([" " + c for c in places.new if not c.startswith("\n ")])
-            both = np.empty(int(size.sum()), np.uint32)
-            of_first = np.repeat(first, size)
-            both[of_first] = np.concatenate([np.empty(0, np.uint32), *[np.array(i, np.uint32) for i in heads]])
-            both[~of_first] = flat
-            self.flat, self.size = np.concatenate([self.flat, both]), np.r_[self.size, size]
-            places.new = []
-        at = np.array(at, np.int64)
+            if text:
+                parts = text.split(" ")
+                parts[0] = "\n " + parts[0]
+                if text[-1].isspace():
+                    parts[-1] += " "
+                chunks += parts
+            chunks += self.end
+            ends[k] = len(chunks)
+        at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
+        if self.places.new:
+            self.learn()
+        self.seen += np.bincount(at, minlength=len(self.seen))
         size, start = self.size[at], (np.cumsum(self.size) - self.size)[at]
-        before = np.cumsum(size) - size
-        flat = self.flat[np.repeat(start - before, size) + np.arange(int(size.sum()))]
-        cut = np.r_[0, np.r_[0, np.cumsum(size)][ends]].astype(np.int64)
-        out = [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        for k, ids in zip(odd, self.whole([texts[k] for k in odd])):
-            out[k] = np.array(ids, np.uint32)
-        return out
+        after = np.r_[0, np.cumsum(size)]
+        flat = self.flat[np.repeat(start - after[:-1], size) + np.arange(after[-1])]
+        cut, odd = np.r_[0, after[ends]], np.r_[0, np.cumsum(self.odd[at])]
+        whole = np.flatnonzero(odd[ends] > odd[np.r_[0, ends[:-1]][: len(ends)]]).tolist()
+        if not whole:
+            return flat, cut
+        tail = self.flat[: len(self.end)]
+        each = [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        for k, ids in zip(whole, self.whole([texts[k] for k in whole])):
+            each[k] = np.concatenate([np.array(ids, np.uint32), tail])
+        return np.concatenate(each), np.r_[0, np.cumsum([len(x) for x in each])]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        flat, cut = self.flat_ids(texts)
+        return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
-def tokens(path: str) -> Tokens:
+def tokens(path: str, end: int | None = None) -> Tokens:
     # a task has one core; the library's own threads would only take memory and time from others
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokens(path)
+    return Tokens(path, end)
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -237,11 +280,16 @@ class ShardWriter:
         self._put(_FOOTER.pack(index_at, len(index), bloom_at, len(packed), self.n_docs, self.n_ids, self.width, BLOOM_HASHES, MAGIC))
 
 
+def file_system(uri: str) -> tuple[FileSystem, str]:
+    """The file system of a URI and the path in it; Hadoop's names for S3 are known too."""
+    return FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 class ShardReader:
     """Reads a shard by its footer: all entries in order, or those of one key."""
 
     def __init__(self, uri: str):
-        system, path = FileSystem.from_uri(uri)
+        system, path = file_system(uri)
         self.file = system.open_input_file(path)
         end = self.file.size()
         foot = self.file.read_at(_FOOTER.size, end - _FOOTER.size)
@@ -300,8 +348,7 @@ def write_tables(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
     shard, path, n_docs, n_ids and the first and last doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, system = tokens(tokenizer), None
-        tail = np.array([] if end_id is None else [end_id], np.uint32)
+        code, system = tokens(tokenizer, end_id), None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             start = 0
@@ -309,7 +356,7 @@ def write_tables(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
                 if system is None:
                     shard = TaskContext.get().partitionId()
                     path = f"{folder}/shard-{shard:06d}.sst"
-                    system, place = FileSystem.from_uri(path)
+                    system, place = file_system(path)
                     system.create_dir(place.rpartition("/")[0], recursive=True)
                     partial = f"{place}.{uuid.uuid4().hex}.part"
                     stream = system.open_output_stream(partial)
@@ -319,7 +366,7 @@ def write_tables(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
                     held += len(texts[stop])
                     stop += 1
                 for doc_id, own in zip(ids[start:stop], code.encode(texts[start:stop])):
-                    writer.add(key_of(doc_id), np.concatenate([own, tail]))
+                    writer.add(key_of(doc_id), own)
                 last, start = ids[stop - 1], stop
         if system is not None:
             writer.close()
