@@ -1,9 +1,14 @@
+import hashlib
 import random
+import re
 
+import sentencepiece as sentencepiece_library
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paperloom.llm import decontaminate
+import test_line_dedup
+import test_near_dedup
+from paperloom.llm import decontaminate, quality_rules, sentencepiece
 
 KIND = "doc_id long, text string, lang string, _note string"
 
@@ -74,3 +79,64 @@ def test_run(spark, tmp_path):
     nulls = sum(r.doc_id is None for r in quality)
     assert nulls and sum(r.doc_id is None for r in got) == nulls - dirty
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def quality_by_hand(text):
+    """The text without failing lines, or None where the document goes; the rules as stated in quality_rules."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    three = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    hit = {i + k for i, w in enumerate(three) for k in range(3) if three.count(w) > 1}
+    if len(words) < 50 or 100 * len(hit) > 50 * len(words):
+        return None
+    good, lost = [], 0
+    for line in text.split("\n"):
+        chars, own = re.sub(r"[\x20\x09-\x0D]+", "", line), re.findall(r"[^\x20\x09-\x0D]+", line)
+        symbols, marks = len(re.findall(r"[#*$%&|<>]", line)), len(re.findall(quality_rules.SEPARATOR, line))
+        bad = symbols * 100 > len(chars) * 10 or (not re.search(quality_rules.TERMINAL, line) and len(own) < 3)
+        bad = bad or (marks >= 2 and marks * 100 >= len(own) * 25) or (re.search(quality_rules.BOILERPLATE, line) and len(own) <= 25)
+        if chars and bad:
+            lost += len(chars)
+        else:
+            good.append(line)
+    return None if lost * 100 > sum(map(len, words)) * 40 else "\n".join(good)
+
+
+def by_hand(docs, items):
+    """doc_id -> (ids_sha256, decoded_sha256) of what run() keeps of documents with distinct ids."""
+    docs = {d: t for d, text in docs.items() if (t := quality_by_hand(text)) is not None}
+    drop = test_line_dedup.brute(sorted(docs.items()), 5, 5)
+    for d, places in drop.items():
+        lines = docs[d].split("\n")
+        if len(places) < sum(bool(x.strip()) for x in lines):
+            docs[d] = "\n".join(x for i, x in enumerate(lines) if i not in places)
+        else:
+            del docs[d]
+    docs = {d: docs[d] for d, (_, least) in test_near_dedup.brute(sorted(docs.items())).items() if d == least}
+    fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t))
+    windows = {tuple(w[i : i + 13]) for w in map(fold, items) if w for i in range(max(1, len(w) - 12))}
+    out, library = {}, sentencepiece_library.SentencePieceProcessor(model_file=sentencepiece.model_path())
+    for d, text in docs.items():
+        w = fold(text)
+        hit = {i + k for n in {len(x) for x in windows} for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in windows for k in range(n)}
+        if not (hit and 20 * len(hit) >= len(w)):
+            ids = library.encode(text)
+            out[d] = tuple(hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids)))
+    return out
+
+
+def test_run_against_brute_force(spark, tmp_path):
+    """Real documents and items, with clashing extra columns."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect() if len(r.text) < 6000}
+    some = docs.filter(F.length("text") < 6000)
+    clash = {c: F.lit("x") for c in ("_w", "_judged", "_h", "_bytes", "kept", "n_words", "items", "n_lines", "dropped", "_row", "_id", "component_id")}
+    some.withColumns(clash).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = by_hand(rows, [r.text for r in items.collect()])
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, str(tmp_path))
+        assert out.dtypes == frame.dtypes and out.filter(" AND ".join(f"`{c}` = 'x'" for c in clash)).count() == out.count() > 0
+    got = {r.doc_id: (r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == want and 20 < len(want) < len(rows)
