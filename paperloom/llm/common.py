@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -64,12 +65,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+def stash(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
     This cuts lineage: later steps, retries and lost executors read the files
-    and never repeat the work.
+    and never repeat the work. tidy first lets Spark drop the shuffle files behind
+    earlier tables: it does when the driver finds them unused, and a driver with
+    little garbage of its own seldom looks.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    if tidy:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

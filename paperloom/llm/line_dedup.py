@@ -95,9 +95,9 @@ def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> Data
     places = F.lit(_PLACES).cast("decimal(10,0)")
     at = (F.col("doc_id").cast("decimal(19,0)") * places + F.col("place")).cast("decimal(30,0)")
     lines = every.groupBy("text").agg(F.min(at).alias("at"))
-    lines = stash(lines.select(F.monotonically_increasing_id().alias("id"), "at", "text"), "lines")
+    lines = stash(lines.select(F.monotonically_increasing_id().alias("id"), "at", "text"), "lines", tidy=True)
     text = lines.select("id", "text")
-    comp = near_components(text, BANDS, partial(_read, shingle=shingle, least=least), text, partial(_of_bytes, size=shingle), PERCENT)
+    comp = near_components(text, BANDS, ROWS, partial(_read, shingle=shingle, least=least), text, partial(_of_bytes, size=shingle), PERCENT)
     comp = stash(lines.select("id", "at").join(comp, "id", "left"), "placed")
     first = comp.filter("comp IS NULL").select("at").union(comp.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("at").alias("at")).select("at"))
     place = F.pmod("at", places)

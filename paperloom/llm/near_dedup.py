@@ -102,7 +102,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = linked.join(several.select("doc_id", F.col("set_key").alias("one")), "doc_id").select("one", "set_key").distinct()
     key = classes.select("id", "set_key")
     more = several.join(key.withColumnsRenamed({"id": "a", "set_key": "one"}), "one").join(key.withColumnRenamed("id", "b"), "set_key").select("a", "b")
-    comp = near_components(nodes.select("id", "bands"), BANDS, _read, nodes.select("id", "text"), hashes, PERCENT, more)
+    comp = near_components(nodes.select("id", "bands"), BANDS, ROWS, _read, nodes.select("id", "text"), hashes, PERCENT, more)
     both = classes.join(comp, "id", "left")
     least = both.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("first").alias("least"))
     of_class = both.join(least, "comp", "left").select("set_key", F.coalesce("least", "first").alias("component"))

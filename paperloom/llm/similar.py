@@ -33,11 +33,13 @@ BLOCK = 512
 CACHED, FIRST = 100_000, 5
 #: Elements of sets that a task keeps at a time while it confirms the pairs of a block.
 HELD = 20_000_000
-#: Coordinates of the sketches that estimate similarity inside a bucket, those that pairs are first held against, and bytes of texts confirmed at a time.
-WIDTH, MARKS, SLICE_BYTES = 96, 64, 200_000
+#: Coordinates that pairs are first held against, and bytes of texts confirmed at a time.
+MARKS, SLICE_BYTES = 64, 200_000
+#: Bits of a band key that tell the band.
+BAND_BITS = 7
 #: UTF-8 texts to the hashes of their sets, with repeats, in one array, and how many each has.
 Hashes = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
-_EMPTY = np.uint64(2**64 - 1)
+_EMPTY = np.uint32(2**32 - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,7 +50,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
-    """One row of t values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled.
+    """One row of t 32-bit values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled.
 
     Sets are taken some at a time for the first rounds, so that what is hashed stays in the
     processor's cache; the few that then have an unfilled bin go through the other rounds together.
@@ -67,29 +69,36 @@ def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
 
 
 def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, last: int) -> None:
-    """Rounds first to last over sets of mixed elements; done has a row of coordinates for each."""
+    """Rounds first to last over sets of mixed elements; done has a row of coordinates for each.
+
+    Each half of an element is mixed already: its product with an odd number of the
+    round gives the bin, that of the other half the value.
+    """
     rows, t = done.shape
+    halves = flat.view(np.uint32).reshape(-1, 2)
+    x, y = halves[:, 0].copy(), halves[:, 1].copy()
     # only sets with an unfilled bin are carried on; out has a row for each
-    row, out, base = np.arange(rows), done, np.repeat(np.arange(rows) * t, size)
+    row, out, base = np.arange(rows), done, np.repeat(np.arange(rows, dtype=np.uint32) * np.uint32(t), size)
     for i in range(first, last):
-        # elements are mixed already: a product with an odd number of the round, whose high half then reaches the low one
-        h = flat * np.uint64((2 * i + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        h ^= h >> np.uint64(32)
+        odd = np.array([(2 * i + 1) * 0x9E3779B1 % 2**32, (2 * i + 1) * 0x85EBCA6B % 2**32], np.uint32)
         if i < t:
-            place = base + ((h >> np.uint64(32)) * np.uint64(t) >> np.uint64(32)).astype(np.int64)
+            place = (x * odd[0] >> np.uint32(16)) * np.uint32(t) >> np.uint32(16)
         else:
-            place = base + (i - t)
-        np.minimum.at(out.reshape(-1), place, (np.uint64(i) << np.uint64(48)) | (h & np.uint64(2**48 - 1)))
+            place = np.uint32(i - t)
+        place = (base + place).astype(np.intp)
+        bins = out.reshape(-1)
+        free = np.flatnonzero(bins[place] == _EMPTY)
+        np.minimum.at(bins, place[free], (y[free] ^ x[free]) * odd[1] if i >= t else y[free] * odd[1])
         open_ = (out == _EMPTY).any(axis=1)
         if open_.all():
             continue
         if out is not done:
             done[row] = out
-        stay = open_[base // t]
+        stay = np.repeat(open_, size)
         if not stay.any():
             return
-        flat, row, out = flat[stay], row[open_], out[open_]
-        base = (np.cumsum(open_) - 1)[base[stay] // t] * t
+        x, y, row, out, size = x[stay], y[stay], row[open_], out[open_], size[open_]
+        base = np.repeat(np.arange(len(size), dtype=np.uint32) * np.uint32(t), size)
     if out is not done:
         done[row] = out
 
@@ -100,13 +109,13 @@ def bands_of(sketch: np.ndarray, rows: int) -> np.ndarray:
     cut = sketch.reshape(n, t // rows, rows)
     key = np.broadcast_to(np.arange(1, t // rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), cut.shape[:2])
     for k in range(rows):
-        key = mix(key ^ cut[:, :, k])
+        key = mix(key ^ cut[:, :, k].astype(np.uint64))
     return key.view(np.int64)
 
 
 def bytes_of(sketch: np.ndarray) -> np.ndarray:
     """One byte of each coordinate, to estimate the similarity of two sets."""
-    return (mix(sketch) >> np.uint64(56)).astype(np.uint8)
+    return (mix(sketch.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
 
 
 def likely(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
@@ -168,8 +177,8 @@ def estimate(equal: np.ndarray) -> np.ndarray:
 
 
 def lowest(percent: int, width: int) -> float:
-    """The least estimate by `width` coordinates of a pair at the threshold, but for one in 300,000."""
-    return percent / 100 - 4.5 * (percent / 100 * (1 - percent / 100) / width) ** 0.5
+    """The least estimate by `width` coordinates of a pair at the threshold, but for one in 30,000."""
+    return percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / width) ** 0.5
 
 
 def reaches(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -211,21 +220,36 @@ def _by_block(
         yield from (out for out in whole(held, places(held), [0, held.num_rows]) if out is not None)
 
 
-def _pairs(block: pa.Table, least: float) -> tuple[np.ndarray, ...]:
-    """Rows of a block that are alike by their sketches and of different components: left, right, the share of equal bytes."""
+def _equal(sig: np.ndarray, x: np.ndarray, y: np.ndarray, band: np.ndarray | int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The estimates of pairs of rows, and whether it is on a bucket of this band to look at the pair.
+
+    A pair shares many bands, and the first of them looks. Bands are told by a byte
+    of each coordinate and one of the key: one that is not shared seems so about
+    once in a million times.
+    """
+    bands = sig.shape[1] // (rows + 1)
+    same = sig[x] == sig[y]
+    values = same[:, : bands * rows]
+    shared = values.reshape(len(same), bands, rows).all(axis=2) & same[:, bands * rows :]
+    before = shared & (np.arange(bands) < np.asarray(band).reshape(-1, 1))
+    return estimate(values.mean(axis=1)), ~before.any(axis=1)
+
+
+def _pairs(block: pa.Table, least: float, rows: int) -> tuple[np.ndarray, ...]:
+    """Rows of a block that are alike by their sketches and of different components: left, right, the estimate."""
     sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
     side, comps = block.column("side").to_numpy(), block.column("comp").to_numpy()
     first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+    band = block.column("key")[0].as_py() & (2**BAND_BITS - 1)
     left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
-    equal = np.zeros((len(left), len(right)))
-    for k, i in enumerate(left):
-        equal[k] = (sig[i] == sig[right]).mean(axis=1)
-    alike = estimate(equal) >= least
-    alike &= comps[left][:, None] != comps[right][None, :]
-    if first == second:
-        alike = np.triu(alike, 1)
-    x, y = np.nonzero(alike)
-    return left[x], right[y], equal[x, y]
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for k, i in enumerate(left.tolist()):
+        others = right[k + 1 :] if first == second else right
+        others = others[comps[others] != comps[i]]
+        about, mine = _equal(sig, np.full(len(others), i), others, band, rows)
+        others, about = others[mine & (about >= least)], about[mine & (about >= least)]
+        out.append((np.full(len(others), i), others, about))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 #: Members of a block whose pairs are looked for together with those of other blocks, and pairs that a member of a larger one gives.
@@ -233,7 +257,7 @@ SMALL, MOST = 32, 16
 _ALIKE = "key long, i int, j int, side int, id long, comp long, other long"
 
 
-def _alike(least: float) -> Callable:
+def _alike(least: float, band_rows: int) -> Callable:
     """Pairs (id, other) of members that are alike and of different components.
 
     A large block with more than MOST such pairs for each of its members gives those
@@ -246,7 +270,7 @@ def _alike(least: float) -> Callable:
         return pa.RecordBatch.from_arrays([*none[:4], pa.array(ids[left]), none[5], pa.array(ids[right])], schema=kind)
 
     def found(block: pa.Table) -> pa.RecordBatch | None:
-        left, right, _ = _pairs(block, least)
+        left, right, _ = _pairs(block, least, band_rows)
         if not len(left):
             return None
         if len(left) <= MOST * block.num_rows:
@@ -266,7 +290,8 @@ def _alike(least: float) -> Callable:
             if not len(at):
                 break
             x = at[comps[at] != comps[at + step]]
-            x = x[estimate((sig[x] == sig[x + step]).mean(axis=1)) >= least]
+            about, mine = _equal(sig, x, x + step, key[x] & (2**BAND_BITS - 1), band_rows)
+            x = x[mine & (about >= least)]
             left.append(x)
             right.append(x + step)
         left, right = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (left, right))
@@ -275,7 +300,7 @@ def _alike(least: float) -> Callable:
     return lambda batches: _by_block(batches, found, together)
 
 
-def _linked(least: float, hashes: Hashes, percent: int) -> Callable:
+def _linked(least: float, band_rows: int, hashes: Hashes, percent: int) -> Callable:
     """Confirmed links between different components of a bucket block.
 
     Pairs whose sketches are alike enough are confirmed on full sets, the
@@ -284,7 +309,7 @@ def _linked(least: float, hashes: Hashes, percent: int) -> Callable:
     """
 
     def found(block: pa.Table) -> pa.RecordBatch | None:
-        left, right, equal = _pairs(block, least)
+        left, right, equal = _pairs(block, least, band_rows)
         order = np.argsort(-equal, kind="stable")
         ids, texts = block.column("id").to_pylist(), block.column("text")
         comps = np.unique(block.column("comp").to_numpy(), return_inverse=True)[1].tolist()
@@ -313,14 +338,15 @@ def _linked(least: float, hashes: Hashes, percent: int) -> Callable:
     return lambda batches: _by_block(batches, found)
 
 
-def signatures(texts: DataFrame, hashes: Hashes) -> DataFrame:
-    """(id, text, sig): sig has one byte of each of WIDTH coordinates."""
+def signatures(texts: DataFrame, hashes: Hashes, t: int, rows: int) -> DataFrame:
+    """(id, text, sig): sig has one byte of each of t coordinates, those that the bands are made of, and one of each band key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                sig = bytes_of(sketches(*hashes(batch.column(1).to_pylist()), WIDTH))
+                sketch = sketches(*hashes(batch.column(1).to_pylist()), t)
+                sig = np.concatenate([bytes_of(sketch), (bands_of(sketch, rows) & 255).astype(np.uint8)], axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "text", "sig"])
 
     return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, text binary, sig binary")
@@ -342,8 +368,9 @@ def _dealt(read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buck
 
     def rows(ids: np.ndarray, bands: np.ndarray) -> Iterator[pa.RecordBatch]:
         h = bands.view(np.uint64).ravel()
-        code = ((h & np.uint64(2**32 - 1)) % np.uint64(buckets) << np.uint64(31) | h >> np.uint64(33)).view(np.int64)
-        order = np.argsort(code, kind="stable")
+        band = np.tile(np.arange(bands.shape[1], dtype=np.uint64), len(bands))
+        code = ((h & np.uint64(2**32 - 1)) % np.uint64(buckets) << np.uint64(31) | h >> np.uint64(33 + BAND_BITS) << np.uint64(BAND_BITS) | band).view(np.int64)
+        order = np.argsort(code)
         code, own = code[order], ids[order // bands.shape[1]]
         first = np.r_[True, code[1:] != code[:-1]]
         at = np.flatnonzero(first)
@@ -417,19 +444,19 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_components(
-    nodes: DataFrame, width: int, read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], texts: DataFrame,
+    nodes: DataFrame, width: int, rows: int, read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], texts: DataFrame,
     hashes: Hashes, percent: int, more: DataFrame | None = None,
 ) -> DataFrame:
     """(id, comp) of the nodes that have a link; comp is the least id reached.
 
     nodes: stored, one row per set; read gives the ids (long) of a batch of them and
-    a row of `width` band keys for each. texts: (id, text), stored, one row per id.
+    a row of `width` band keys of `rows` coordinates for each. texts: (id, text), stored, one row per id.
     more: further links (a, b).
     """
     buckets = min(2**20, 1 << max(4, (nodes.count() * width // PER_BUCKET).bit_length()))
     dealt = nodes.mapInArrow(_dealt(read, buckets), "bucket int, base long, keys binary, places binary, members binary")
-    member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets")
-    near = stash(signatures(texts.join(member.select("id").distinct(), "id", "left_semi"), hashes), "candidates")
+    member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets", tidy=True)
+    near = stash(signatures(texts.join(member.select("id").distinct(), "id", "left_semi"), hashes, width * rows, rows), "candidates", tidy=True)
     pairs = member.filter("against IS NOT NULL").select(F.least("id", "against").alias("a"), F.greatest("id", "against").alias("b")).distinct()
     links = confirm(likely(pairs, near, percent), near, hashes, percent)
     links = stash(links if more is None else links.union(more), "links")
@@ -441,7 +468,7 @@ def near_components(
     rest = stash(of.join(open_.select("key", "m", F.col("most.n").alias("most_n"), F.col("most.comp").alias("most")), "key"), "open")
     if rest.isEmpty():
         return comp
-    least = lowest(percent, WIDTH)
+    least = lowest(percent, width * rows)
     # the members of the largest component, which need no holding against each other, take the first sides
     own, whole, hashed = F.col("comp") == F.col("most"), F.col("m") <= BLOCK, F.xxhash64("id")
     first, last = F.ceil(F.col("most_n") / BLOCK).cast("int"), F.ceil((F.col("m") - F.col("most_n")) / BLOCK).cast("int")
@@ -451,13 +478,13 @@ def near_components(
         rest.select("key", "id", "comp", side.alias("side"), F.explode(met).alias("other"))
         .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp")
     )
-    alike = stash(_in_blocks(sides.join(near.select("id", "sig"), "id"), _alike(least), _ALIKE), "alike")
+    alike = stash(_in_blocks(sides.join(near.select("id", "sig"), "id"), _alike(least, rows), _ALIKE), "alike")
     pairs = alike.filter("other IS NOT NULL").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     more = confirm(pairs, near, hashes, percent)
     # texts of a block follow only for members that are alike to one of another component
     dense = alike.filter("other IS NULL").drop("other")
     if not dense.isEmpty():
-        more = more.union(_in_blocks(dense.join(near, "id"), _linked(least, hashes, percent), "a long, b long"))
+        more = more.union(_in_blocks(dense.join(near, "id"), _linked(least, rows, hashes, percent), "a long, b long"))
     more = stash(more.distinct(), "links")
     return comp if more.isEmpty() else components(links.union(more))
 
