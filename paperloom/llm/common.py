@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _folders: dict[str, str] = {}
+_local = threading.local()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +68,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What make gives, stashed; the tables that make itself has stashed are deleted then."""
+    made: list[str] = []
+    _local.made = [*getattr(_local, "made", []), made]
+    try:
+        out = stash(make(), label)
+    finally:
+        _local.made = _local.made[:-1]
+    spark = out.sparkSession
+    for path in made[:-1]:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return out
+
+
 def stash(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
@@ -78,4 +96,6 @@ def stash(df: DataFrame, label: str, tidy: bool = False) -> DataFrame:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
     df.write.option("compression", "zstd").parquet(path)
+    for made in getattr(_local, "made", []):
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)

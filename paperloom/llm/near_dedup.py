@@ -96,13 +96,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = made.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key", "row")
     # a class is known by the least of its rows
     classes = stash(linked.groupBy("set_key").agg(F.min("row").alias("id"), F.min("doc_id").alias("first")), "classes")
-    nodes = stash(made.withColumnRenamed("row", "id").join(classes.select("id"), "id", "left_semi").select("id", "bands", "text"), "nodes")
+    nodes = stash(made.withColumnRenamed("row", "id").join(classes.select("id"), "id", "left_semi").select("id", "bands"), "nodes")
     # rows of one doc_id are one document, so their classes belong together
     several = linked.groupBy("doc_id").agg(F.min("set_key").alias("set_key"), F.max("set_key").alias("other")).filter("set_key != other")
     several = linked.join(several.select("doc_id", F.col("set_key").alias("one")), "doc_id").select("one", "set_key").distinct()
     key = classes.select("id", "set_key")
     more = several.join(key.withColumnsRenamed({"id": "a", "set_key": "one"}), "one").join(key.withColumnRenamed("id", "b"), "set_key").select("a", "b")
-    comp = near_components(nodes.select("id", "bands"), BANDS, ROWS, _read, nodes.select("id", "text"), hashes, PERCENT, more)
+    comp = near_components(nodes, BANDS, ROWS, _read, made.select(F.col("row").alias("id"), "text"), hashes, PERCENT, more)
     both = classes.join(comp, "id", "left")
     least = both.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("first").alias("least"))
     of_class = both.join(least, "comp", "left").select("set_key", F.coalesce("least", "first").alias("component"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import settled, stash
 from .graph import components
 
 #: Members of a bucket that one task holds against as many others.
@@ -353,7 +353,7 @@ def signatures(texts: DataFrame, hashes: Hashes, t: int, rows: int) -> DataFrame
 
 
 #: Band entries that a task holds at a time, and entries meant for one bucket of band keys.
-CHUNK, PER_BUCKET = 1_000_000, 32_000
+CHUNK, PER_BUCKET = 500_000, 32_000
 _MEMBER = "key long, id long, against long"
 
 
@@ -453,6 +453,12 @@ def near_components(
     a row of `width` band keys of `rows` coordinates for each. texts: (id, text), stored, one row per id.
     more: further links (a, b).
     """
+    return settled(lambda: _near_components(nodes, width, rows, read, texts, hashes, percent, more), "components")
+
+
+def _near_components(
+    nodes: DataFrame, width: int, rows: int, read: Callable, texts: DataFrame, hashes: Hashes, percent: int, more: DataFrame | None
+) -> DataFrame:
     buckets = min(2**20, 1 << max(4, (nodes.count() * width // PER_BUCKET).bit_length()))
     dealt = nodes.mapInArrow(_dealt(read, buckets), "bucket int, base long, keys binary, places binary, members binary")
     member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets", tidy=True)
