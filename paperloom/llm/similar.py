@@ -32,7 +32,7 @@ BLOCK = 512
 #: Elements that are hashed at a time in the first rounds, and how many rounds those are.
 CACHED, FIRST = 100_000, 5
 #: Elements of sets that a task keeps at a time while it confirms the pairs of a block.
-HELD = 20_000_000
+HELD = 2_000_000
 #: Coordinates that pairs are first held against, and bytes of texts confirmed at a time.
 MARKS, SLICE_BYTES = 64, 200_000
 #: Bits of a band key that tell the band.
