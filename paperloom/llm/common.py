@@ -40,6 +40,11 @@ def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
     return held.select(*rest, *[F.col(f"_row.`{c}`").alias(c) for c in columns])
 
 
+def broadcast_if(df: DataFrame, most: int) -> DataFrame:
+    """df, a stored table, marked for broadcast if it has no more than so many rows; as it is otherwise."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def setting(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
 

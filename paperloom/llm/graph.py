@@ -46,10 +46,13 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in links], kind.field(i).type) for i in (0, 1)], schema=kind)
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, comp) for every node of links (a, b); comp is the least node that it reaches."""
+def components(links: DataFrame, max_rounds: int = 60, native: bool = False) -> DataFrame:
+    """(id, comp) for every node of links (a, b); comp is the least node that it reaches.
+
+    native leaves the local union-find out, so that only DataFrame functions run; the rounds are the same.
+    """
     e = links.select("a", "b").filter(F.col("a") != F.col("b"))
-    e = stash(e.mapInArrow(_forest, e.schema), "forest")
+    e = stash(e.distinct() if native else e.mapInArrow(_forest, e.schema), "forest")
     state = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
