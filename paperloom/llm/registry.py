@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, license_scan, line_dedup, near_dedup, pii, quality_rules, sentencepiece, token_tables, toxicity, url_filters, vector_codes
+from . import decontaminate, html_text, license_scan, line_dedup, near_dedup, pii, quality_rules, sentencepiece, source_audit, token_tables, toxicity, url_filters, vector_codes
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_html_text": html_text.op10_html_text,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_source_audit": source_audit.op12_source_audit,
     "op13_url_filters": url_filters.op13_url_filters,
 }
 
@@ -25,5 +26,6 @@ SQL = {
     "op4_pii": pii.SQL,
     "op6_decontaminate": decontaminate.SQL,
     "op11_vector_codes": vector_codes.SQL,
+    "op12_source_audit": source_audit.SQL,
     "op13_url_filters": url_filters.SQL,
 }
