@@ -17,9 +17,11 @@ AUTO, LAYER, VISION = "auto", "pypdf", "vlm"
 MODES = (AUTO, LAYER, VISION)
 BEGIN_LINE = "\n" + "=" * 20 + " BEGIN TEXT " + "=" * 20 + "\n\n"
 END_LINE = "\n" + "=" * 21 + " END TEXT " + "=" * 21 + "\n"
-FOOTER = rf"(?imdU)^[{WS_CLASS}]*---[{WS_CLASS}]*PAGE[{WS_CLASS}]+(\d+)[{WS_CLASS}]*---[{WS_CLASS}]*$"
+FOOTER_LINE = rf"^[{WS_CLASS}]*---[{WS_CLASS}]*PAGE[{WS_CLASS}]+(\d+)[{WS_CLASS}]*---[{WS_CLASS}]*$"
+FOOTER = "(?imdU)" + FOOTER_LINE
 _MARK = rf"^[={WS_CLASS}]*{{0}}[{WS_CLASS}]+TEXT[{WS_CLASS}]*[={WS_CLASS}]*$"
-BODY = rf"(?imdsU)(?>{_MARK.format('BEGIN')})(.*?){_MARK.format('END')}"
+BEGIN_MARK, END_MARK = _MARK.format("BEGIN"), _MARK.format("END")
+BODY = rf"(?imdsU)(?>{BEGIN_MARK})(.*?){END_MARK}"
 SOURCE_LINE = rf"(?imdU)^[{WS_CLASS}]*SOURCE[{WS_CLASS}]+PDF:[{WS_CLASS}]*(.+)[{WS_CLASS}]*$"
 COLLECTION_NAME = r"[A-Za-z][A-Za-z0-9_$#]*"
 

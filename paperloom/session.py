@@ -9,8 +9,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.chunkBase64String.enabled": "false",
-    # page images are large; few of them make an Arrow batch
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # conditions on pages and documents reach the page source
+    "spark.sql.python.filterPushdown.enabled": "true",
+    # page images are large: a batch ends at so many bytes, however few rows that is
+    "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
 }
 
 

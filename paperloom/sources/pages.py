@@ -101,10 +101,10 @@ def pypdf_reader(content: bytes, wanted=None) -> Iterator[tuple[int, str | None,
             text = pages[i].extract_text()
         except Exception:  # noqa: BLE001
             text = ""
-        yield i, text, _has_image(pages[i])
+        yield i, text, has_image(pages[i])
 
 
-def _has_image(page) -> bool:
+def has_image(page) -> bool:
     """Whether any of a page's objects is an image; one that can't be read is passed over."""
     try:
         objects = page["/Resources"]["/XObject"].get_object()
