@@ -2,6 +2,12 @@
 
 A vector column is an array of floats tagged vector=true in its metadata, with
 its declared dimension and format where they are known.
+
+A collection is partitioned by a bucket of its rows' source, so that deleting or
+replacing a document reads and rewrites the buckets of its source and leaves the
+files of all others as they are. What is to be written is stored in the run's
+folder first; the table changes by one job that swaps the touched partitions
+when it commits. One writer at a time changes a collection.
 """
 
 from __future__ import annotations
@@ -10,20 +16,28 @@ import hashlib
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.functions.text import json_text
 from paperloom.model import COLLECTION_NAME
+from paperloom.storage import stored
 
 #: () -> texts -> vectors; the outer call runs once per task
 EmbedderFactory = Callable[[], Callable[[list[str]], list[list[float]]]]
 
 
+#: Fixed value: what stands for a table's missing comment.
+NO_COMMENT = "(no table comment)"
+#: Partitions of a collection.
+BUCKETS = 64
+
+
 def safe_name(name: str) -> str:
     """A collection's name, stripped and in upper case; an error unless it is a letter and then letters, digits, _, $ or #."""
     name = (name or "").strip().upper()
@@ -47,7 +61,7 @@ def is_vector(field: T.StructField) -> bool:
 
 def list_collections(spark: SparkSession) -> DataFrame:
     """(name) of the tables of the current schema that have a vector column, in order. Reads the catalog, no data."""
-    tables = [t.name for t in spark.catalog.listTables() if not t.isTemporary]
+    tables = [t.name for t in spark.catalog.listTables() if not t.isTemporary and re.fullmatch(COLLECTION_NAME, t.name)]
     names = sorted({t.upper() for t in tables if any(map(is_vector, spark.table(f"`{t}`").schema.fields))})
     return spark.createDataFrame([(n,) for n in names], "name STRING")
 
@@ -104,21 +118,92 @@ def without_documents(collection: DataFrame, names: DataFrame) -> DataFrame:
     return found.join(names, found["source"] == names["_gone"], "left_anti").select(*collection.columns)
 
 
-def delete_documents(spark: SparkSession, name: str, documents: list[str]) -> int:
-    """Deletes the rows of some documents in one step; returns how many rows are left.
+def bucket_of(source: Column) -> Column:
+    """The partition of a source's rows; rows without a source have one too."""
+    return F.pmod(F.xxhash64(F.coalesce(source, F.lit(""))), F.lit(BUCKETS)).cast("int")
 
-    What stays is written whole to a new table, which then takes the old one's
-    name; run one delete on a collection at a time.
-    """
-    safe, new = safe_name(name), _new_name(name)
-    gone = spark.createDataFrame([(d,) for d in documents], "document STRING")
-    without_documents(spark.table(_quoted(safe)), gone).write.saveAsTable(f"`{new}`")
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """rows with their bucket, dealt out so that each bucket is few files, and a large one several."""
+    return rows.withColumn("bucket", bucket_of(json_text(F.col("metadata"), "$.source"))).hint("rebalance", "bucket")
+
+
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """rows, whose number is known once they are written as they are; a plan may drop what lies below a join."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+def is_bucketed(spark: SparkSession, name: str) -> bool:
+    return "bucket" in [c.name for c in spark.catalog.listColumns(_quoted(name)) if c.isPartition]
+
+
+def delete_documents(spark: SparkSession, name: str, documents: list[str]) -> int:
+    """Deletes the rows of some documents in one step; returns how many there were."""
+    return _without(spark, name, spark.createDataFrame([(d,) for d in documents], "document STRING"), None)
+
+
+def _without(spark: SparkSession, name: str, names: DataFrame, added: DataFrame | None) -> int:
+    """Takes the rows of the documents names (document) out, and puts the stored rows added in; returns how many it took out."""
+    safe = safe_name(name)
+    if not is_bucketed(spark, safe):
+        return _rewritten(spark, safe, names, added)
+    table = spark.table(_quoted(safe))
+    touched = sorted(r.bucket for r in names.select(bucket_of(F.col("document")).alias("bucket")).distinct().collect())
+    if not touched:
+        return 0
+    old = table.filter(F.col("bucket").isin(touched))
+    kept = stored(without_documents(old, names), "kept-rows")
+    # both counts read file footers only
+    removed = old.count() - kept.count()
+    rows = kept if added is None else kept.unionByName(added, allowMissingColumns=True)
+    full = {r.bucket for r in rows.select("bucket").distinct().collect()}
+    if full:
+        with _dynamic(spark):
+            rows.select(*table.columns).hint("rebalance", "bucket").write.mode("overwrite").insertInto(_quoted(safe))
+    for bucket in set(touched) - full:
+        _drop_bucket(spark, safe, bucket)
+    spark.catalog.refreshTable(_quoted(safe))
+    return removed
+
+
+@contextmanager
+def _dynamic(spark: SparkSession) -> Iterator[None]:
+    """In here, an overwrite replaces the partitions that it has rows for, and no others. insertInto takes this from the session only."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _drop_bucket(spark: SparkSession, safe: str, bucket: int) -> None:
+    """A bucket whose last row goes has nothing to overwrite it with."""
+    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
+        spark.sql(f"ALTER TABLE {_quoted(safe)} DROP IF EXISTS PARTITION (bucket={bucket})")
+        return
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(safe)}").filter("col_name = 'Location'").first().data_type
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{where}/bucket={bucket}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _rewritten(spark: SparkSession, safe: str, names: DataFrame, added: DataFrame | None) -> int:
+    """The same for a table without buckets: what stays is written whole to a new table, which then takes the old one's name."""
+    new = _new_name(safe)
+    old = spark.table(_quoted(safe))
+    kept = stored(without_documents(old, names), "kept-rows")
+    removed = old.count() - kept.count()
+    rows = kept if added is None else kept.unionByName(added.drop("bucket"), allowMissingColumns=True)
+    rows.write.saveAsTable(f"`{new}`")
     _swap(spark, safe, new)
-    return spark.table(_quoted(safe)).count()
+    return removed
 
 
 def _new_name(name: str) -> str:
-    return f"{safe_name(name)}_{uuid.uuid4().hex[:8]}"
+    """A name that no collection can have."""
+    return f"_{safe_name(name)}_{uuid.uuid4().hex[:8]}"
 
 
 def _swap(spark: SparkSession, safe: str, new: str) -> None:
@@ -138,11 +223,12 @@ def _swap(spark: SparkSession, safe: str, new: str) -> None:
 def drop_collection(spark: SparkSession, name: str) -> None:
     """Drops a collection; one that is missing is an error."""
     spark.sql(f"DROP TABLE {_quoted(name)}")
+    spark.sql(f"DROP TABLE IF EXISTS `{_ledger(name)}`")
 
 
 def table_comment(spark: SparkSession, name: str) -> str:
-    """A table's comment, or the empty string if it has none or is missing."""
-    quoted = "`" + (name or "").upper().replace("`", "``") + "`"
+    """A table's comment, or the empty string if it has none or is missing. The name is stripped and in upper case."""
+    quoted = "`" + (name or "").strip().upper().replace("`", "``") + "`"
     if quoted == "``" or not spark.catalog.tableExists(quoted):
         return ""
     return spark.catalog.getTable(quoted).description or ""
@@ -154,7 +240,8 @@ def set_table_comment(spark: SparkSession, name: str, comment: str) -> None:
 
 
 def describe_table(spark: SparkSession, name: str) -> str:
-    return table_comment(spark, name) or "(no comment)"
+    """What is printed of a table: its comment, or that it has none."""
+    return table_comment(spark, name) or NO_COMMENT
 
 
 def hash_embedder(dimension: int = 64) -> EmbedderFactory:
@@ -190,37 +277,61 @@ def embed(chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = N
     )
 
 
+def _ledger(name: str) -> str:
+    """The table of a collection's named batches: (batch, done)."""
+    return f"_{safe_name(name)}_BATCHES"
+
+
+def _begun(spark: SparkSession, name: str, batch: str) -> bool | None:
+    """Whether a batch is done; None if it was never begun."""
+    if not spark.catalog.tableExists(f"`{_ledger(name)}`"):
+        return None
+    spark.catalog.refreshTable(f"`{_ledger(name)}`")
+    return spark.table(f"`{_ledger(name)}`").filter(F.col("batch") == batch).agg(F.max("done")).first()[0]
+
+
+def _note(spark: SparkSession, name: str, batch: str, done: bool) -> None:
+    spark.createDataFrame([(batch, done)], "batch STRING, done BOOLEAN").coalesce(1).write.mode("append").saveAsTable(f"`{_ledger(name)}`")
+
+
 def load(
     spark: SparkSession, name: str, chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = None, replace: bool = False, batch: str | None = None
 ) -> int:
     """Adds chunks to a collection and makes it if need be; returns how many it added. Without chunks nothing happens.
 
-    Chunks are embedded once, into a table of their own. Chunks loaded twice are
-    there twice, unless replace leaves out the rows of the sources that are
-    loaded: the new table is then written whole, and takes the old one's place.
-    A batch, known by its name, is added once only, however often it is loaded.
+    Chunks are embedded once, into the run's folder, and counted as they are
+    written. Chunks loaded twice are there twice, unless replace takes out the
+    rows of the sources that are loaded: their buckets are then rewritten, no
+    others. A batch, known by its name, is added once only, however often it is
+    loaded: a small table notes it before and after. Only where a run broke off
+    in between is the collection itself asked whether the batch is there.
     """
-    safe, new = safe_name(name), _new_name(name)
+    safe = safe_name(name)
     there = spark.catalog.tableExists(_quoted(safe))
-    if batch and there and not spark.table(_quoted(safe)).filter(F.col("batch") == batch).isEmpty():
+    begun = _begun(spark, safe, batch) if batch else None
+    if there:
+        spark.catalog.refreshTable(_quoted(safe))
+    if begun or (begun is False and there and not spark.table(_quoted(safe)).filter(F.col("batch") == batch).isEmpty()):
+        if not begun:
+            _note(spark, safe, batch, True)
         return 0
-    made = embed(chunks, factory, dimension)
-    (made.withColumn("batch", F.lit(batch)) if batch else made).write.saveAsTable(f"`{new}`")
-    added = spark.table(f"`{new}`")
-    count = added.count()
+    made, seen = _counted(_bucketed(embed(chunks, factory, dimension).withColumn("batch", F.lit(batch).cast("string"))))
+    made = stored(made, "embedded")
+    count = seen.get["n"]
     if not count:
-        spark.sql(f"DROP TABLE `{new}`")
-    elif not there:
-        spark.sql(f"ALTER TABLE `{new}` RENAME TO {_quoted(safe)}")
+        return 0
+    if batch:
+        _note(spark, safe, batch, False)
+    if not there:
+        made.write.partitionBy("bucket").saveAsTable(_quoted(safe))
     elif replace:
-        whole = _new_name(name)
-        named = sources(added).select(F.col("source").alias("document"))
-        without_documents(spark.table(_quoted(safe)), named).unionByName(added, allowMissingColumns=True).write.saveAsTable(f"`{whole}`")
-        spark.sql(f"DROP TABLE `{new}`")
-        _swap(spark, safe, whole)
+        _without(spark, safe, sources(made).select(F.col("source").alias("document")).distinct(), made)
     else:
-        added.write.mode("append").saveAsTable(_quoted(safe))
-        spark.sql(f"DROP TABLE `{new}`")
+        own = spark.table(_quoted(safe)).columns
+        added = made.select(*[c for c in made.columns if c in own])
+        (added.write.partitionBy("bucket") if is_bucketed(spark, safe) else added.write).mode("append").saveAsTable(_quoted(safe))
+    if batch:
+        _note(spark, safe, batch, True)
     return count
 
 

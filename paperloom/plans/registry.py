@@ -240,11 +240,48 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TRIM = f"trim({{}}, '{WS}')"
+
+
+def _split_sql(pages: str, size: int, overlap: int) -> str:
+    """CTEs that end in chunks (source, pos, page_label, start, chunk): pages (source, pos, page_label, text) cut at one separator after the other.
+
+    Each level cuts what is still too long. Runs of short pieces are packed by a
+    recursive query that follows, from the start of a chunk, where it ends and where the next one starts.
+    """
+    steps = [f"s0 AS MATERIALIZED (SELECT source, pos, page_label, 0::BIGINT AS pt, text AS t FROM ({pages}) WHERE text != '')"]
+    separators = ("chr(10) || chr(10)", "chr(10)", "' '", "''")
+    for level, sep in enumerate(separators):
+        last = level + 1 == len(separators)
+        has = "true" if last else f"contains(t, {sep})"
+        steps.append(f"""p{level} AS MATERIALIZED (
+          SELECT source, pos, page_label, {level} AS level, pt AS seg, pt + (sum(length(piece)) OVER (PARTITION BY source, pos, pt ORDER BY i) - length(piece))::BIGINT AS pt, length(piece) AS n, piece FROM (
+            SELECT source, pos, page_label, pt, i, CASE WHEN i > 1 THEN {sep} ELSE '' END || parts[i] AS piece
+            FROM (SELECT *, string_split(t, {sep}) AS parts FROM s{level} WHERE {has}) x, LATERAL (SELECT unnest(generate_series(1, len(parts))) AS i)) y
+          WHERE piece != '')""")
+        if not last:
+            steps.append(f"""s{level + 1} AS MATERIALIZED (SELECT source, pos, page_label, pt, t FROM s{level} WHERE NOT {has}
+              UNION ALL SELECT source, pos, page_label, pt, piece FROM p{level} WHERE n >= {size})""")
+    every = " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(len(separators)))
+    return ", ".join(steps) + f""",
+      q AS MATERIALIZED (SELECT *, pt + n AS fin, count(*) FILTER (WHERE n >= {size}) OVER (PARTITION BY source, pos, level, seg ORDER BY pt) AS run FROM ({every})),
+      b AS MATERIALIZED (SELECT source, pos, page_label, level, seg, run, pt, fin, max(fin) OVER w AS goal, max(fin) OVER r AS stop, min(pt) OVER r AS start FROM q WHERE n < {size}
+        WINDOW r AS (PARTITION BY source, pos, level, seg, run), w AS (PARTITION BY source, pos, level, seg, run ORDER BY fin RANGE BETWEEN CURRENT ROW AND ({size} - n) FOLLOWING)),
+      m AS (SELECT b.*, greatest(b.goal - {overlap}, x.fin - {size}) AS least FROM b LEFT JOIN b x ON b.source = x.source AND b.pos = x.pos AND b.level = x.level AND b.seg = x.seg AND b.run = x.run AND x.pt = b.goal),
+      f AS MATERIALIZED (SELECT m.source, m.pos, m.page_label, m.level, m.seg, m.run, m.start, m.pt, m.goal, CASE WHEN m.goal < m.stop THEN n.pt END AS next
+        FROM m ASOF LEFT JOIN b n ON m.source = n.source AND m.pos = n.pos AND m.level = n.level AND m.seg = n.seg AND m.run = n.run AND m.least <= n.pt),
+      c AS (SELECT * FROM f WHERE pt = start
+        UNION ALL SELECT f.* FROM c JOIN f ON f.source = c.source AND f.pos = c.pos AND f.level = c.level AND f.seg = c.seg AND f.run = c.run AND f.pt = c.next),
+      chunks AS (SELECT source, pos, page_label, pt AS start, {_TRIM.format("substr(text, pt + 1, goal - pt)")} AS chunk FROM c JOIN (SELECT source, pos, text FROM ({pages})) USING (source, pos)
+        UNION ALL SELECT source, pos, page_label, pt, {_TRIM.format("piece")} FROM p3 WHERE n >= {size})"""
+
+
 _SPACE = f"[{WS}]"
 _TURNS = "SELECT 'talks/' || conv_id || '.pdf' AS doc, conv_id || '.pdf' AS name, turn + 1 AS page_no, coalesce(text, '') AS t FROM conversations"
 _BLOCKS = f"SELECT doc, name, string_agg(rtrim(t, '{WS}') || chr(10) || chr(10) || '--- PAGE ' || page_no || ' ---' || chr(10) || chr(10), '' ORDER BY page_no) AS blocks, count(*) AS n FROM ({_TURNS}) GROUP BY doc, name"
 _HEADER = f"'SOURCE PDF: ' || name || chr(10) || 'DPI: {CONFIG.dpi}' || chr(10) || 'MODEL_ID: {CONFIG.model_id}' || chr(10) || 'TEXT_MODE: {LAYER}' || chr(10) || 'INPUT_PDF_TYPE: None' || chr(10) || 'DESCRIBE_FIGURES: False' || chr(10)"
 _PAGED = f"SELECT 'set' || (doc_id // {PER}) || '.pdf' AS doc, doc_id % {PER} AS page_idx, coalesce(text, '') AS text, doc_id FROM documents"
+_SQUEEZED = f"SELECT doc AS source, page_idx AS pos, (page_idx + 1)::VARCHAR AS page_label, regexp_replace(text, '[ \t]{{2,}}', ' ', 'g') AS text FROM ({_PAGED})"
+_HEADED = "'---' || chr(10) || 'source_file: ' || source || chr(10) || '---' || chr(10) || chr(10) || chunk"
 _SAMPLED = f"""
   SELECT * FROM (SELECT *, greatest(1, n // least(10, n)) AS stride FROM (SELECT *, count(*) OVER (PARTITION BY doc) AS n FROM ({_PAGED})))
   WHERE page_idx % stride = 0 AND page_idx // stride < 10"""
@@ -292,6 +329,14 @@ SQL = {
     "figures_append": f"""
       SELECT doc_id, sha256(CASE WHEN f IS NULL THEN t ELSE rtrim(t, '{WS}') || chr(10) || chr(10) || '[FIGURES]' || chr(10) || f || chr(10) END) AS text_sha256
       FROM (SELECT doc_id, coalesce(text, '') AS t, CASE doc_id % 4 WHEN 2 THEN 'NONE.' WHEN 3 THEN '- (pos: top) figure ' || doc_id END AS f FROM documents)""",
+    "chunk_pages": f"""
+      WITH RECURSIVE {_split_sql(_SQUEEZED, 1500, 100)}
+      SELECT source AS source_name, page_label, (row_number() OVER (PARTITION BY source ORDER BY pos, start) - 1)::INT AS chunk_index,
+        '{{"source":"' || source || '","page_label":"' || page_label || '","extraction":"ocr"}}' AS metadata, length({_HEADED})::INT AS n_chars, sha256({_HEADED}) AS text_sha256
+      FROM chunks WHERE chunk != ''""",
+    "embed_chunks": f"""
+      WITH RECURSIVE {_split_sql(_SQUEEZED, 1500, 100)}
+      SELECT '{{"source":"' || source || '","page_label":"' || page_label || '","extraction":"ocr"}}' AS metadata, sha256({_HEADED}) AS text_sha256, 64 AS n_dimensions FROM chunks WHERE chunk != ''""",
     "chunk_whole_pages": f"""
       SELECT doc AS source_name, (page_idx + 1)::VARCHAR AS page_label, (row_number() OVER (PARTITION BY doc ORDER BY page_idx) - 1)::INT AS chunk_index,
         '{{"source":"' || doc || '","page_label":"' || (page_idx + 1) || '","extraction":"ocr"}}' AS metadata,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom.model import ClassifyConfig, ExtractConfig, MIXED, SCANNED_PDF, TEXT_PDF
+from paperloom.functions import splitter
 from paperloom.operators import chunk, classify, extract, stats
 from paperloom.sources import pages, sinks
 from paperloom.streaming import ingest
@@ -131,6 +132,27 @@ def test_chunks(spark):
     assert chunk.stored_documents(spark.createDataFrame(got)).columns == ["page_content", "metadata"]
 
 
+def test_numbers_of_chunks(spark, monkeypatch):
+    """Across blocks of pages; texts are never sorted, nor is a source numbered in one task."""
+    monkeypatch.setattr(chunk, "BLOCK", 7)
+    rows = [(s, i, i, "w " * ((i * 7) % 5) * 20) for s in ("hot", "hot", None) for i in range(30)] + [("few", i, i, "x") for i in (100, 3, 20)]
+    rows = list(dict.fromkeys(rows))
+    pages = spark.createDataFrame(rows, "source string, pos int, page_num long, page_text string").repartition(4)
+    for most in (500_000, 0):
+        monkeypatch.setattr(chunk, "MAX_PAGES", most)
+        got = {}
+        made = chunk.chunk_pages(pages, size=30, overlap=0, header=False)
+        for r in made.collect():
+            got.setdefault(r.source_name, []).append((r.chunk_index, int(r.page_label)))
+        for source, found in got.items():
+            places = [page for _, page in sorted(found)]
+            assert [i for i, _ in sorted(found)] == list(range(len(found))) and places == sorted(places)
+        assert {s: len(f) for s, f in got.items()} == {s: sum(len(splitter.split_texts([r[3]], 30)[0]) for r in rows if r[0] == s) for s in got}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Window [" in line or "Sort [source" in line]
+    assert sorts and not any("pieces" in x or "text" in x for x in sorts)
+
+
 def test_stats(spark):
     assert tuple(stats.length_stats(spark.createDataFrame([("a",), ("aa",), ("aaaaaa",)], "text string")).first()) == (3, 2, 4)
     with pytest.raises(Exception, match="no texts"):

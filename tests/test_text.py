@@ -53,19 +53,77 @@ def test_json_scalar(spark):
     assert [r[0] for r in spark.createDataFrame(rows, "j string").select(T.json_text(F.col("j"), "$.source")).collect()] == ["a", None, None, "5", None, None, None]
 
 
+def recursive_split(text, size, overlap, separators=splitter.SEPARATORS):
+    """The same chunks by recursion, one text at a time, not stripped."""
+    at = next((i for i, s in enumerate(separators) if not s or s in text), len(separators) - 1)
+    separator, finer = separators[at], separators[at + 1 :]
+    head, *rest = text.split(separator) if separator else (None, *text)
+    pieces = [p for p in (head, *(separator + r for r in rest)) if p]
+    out, small = [], []
+
+    def pack():
+        window = []
+        for piece in small:
+            if window and sum(map(len, window)) + len(piece) > size:
+                out.append("".join(window))
+                while window and (sum(map(len, window)) > overlap or sum(map(len, window)) + len(piece) > size):
+                    window.pop(0)
+            window.append(piece)
+        out.append("".join(window))
+        small.clear()
+
+    for piece in pieces:
+        if len(piece) < size:
+            small.append(piece)
+        else:
+            pack()
+            out.extend(recursive_split(piece, size, overlap, finer) if finer else [piece])
+    pack()
+    return out
+
+
+PIECES = st.lists(st.sampled_from(["a", "bb", "é", " ", "  ", "\n", "\n\n", "\n\n\n", "x" * 9, "日", "😀", "\t"]), max_size=60).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=5), st.integers(1, 30), st.integers(0, 30))
+def test_batch_split_equals_recursion(texts, size, overlap):
+    overlap = min(overlap, size)
+    want = [[c.strip() for c in recursive_split(t, size, overlap) if c.strip()] for t in texts]
+    assert splitter.split_texts(texts, size, overlap) == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab \n", max_size=200), st.integers(1, 30))
 def test_split_keeps_all_text(text, size):
-    pieces = splitter.split_text(text, size)
+    (pieces,) = splitter.split_texts([text], size)
     assert "".join("".join(pieces).split()) == "".join(text.split())
     assert all(len(p) <= size for p in pieces)
 
 
 def test_split_overlap():
-    assert splitter.split_text("aa bb cc dd", 6, 3) == ["aa bb", "bb cc", "cc dd"]
-    assert splitter.split_text("x" * 5, 5) == ["x" * 5] and splitter.split_text("", 5) == []
+    assert splitter.split_texts(["aa bb cc dd"], 6, 3) == [["aa bb", "bb cc", "cc dd"]]
+    assert splitter.split_texts(["x" * 5, ""], 5) == [["x" * 5], []] and splitter.split_texts([], 5) == []
     with pytest.raises(ValueError):
-        splitter.split_text("x", 5, 6)
+        splitter.split_texts(["x"], 5, 6)
+
+
+def test_split_sql_on_odd_texts():
+    """The SQL that holds against chunk_pages, with small chunks and overlaps."""
+    import random
+
+    import duckdb
+
+    from paperloom.plans import registry
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(["a", "bb", "é", " ", "  ", "\n", "\n\n", "\n\n\n", "x" * 9, "日", "😀"], k=rng.randint(0, 50))) for _ in range(300)]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE t (source VARCHAR, pos INT, page_label VARCHAR, text VARCHAR)")
+    duck.executemany("INSERT INTO t VALUES (?, ?, ?, ?)", [("s", i, str(i), t) for i, t in enumerate(texts)])
+    for size, overlap in ((7, 3), (20, 20), (5, 0)):
+        got = duck.execute(f"WITH RECURSIVE {registry._split_sql('SELECT * FROM t', size, overlap)} SELECT pos, chunk FROM chunks WHERE chunk != '' ORDER BY pos, start").fetchall()
+        assert got == [(i, c) for i, cs in enumerate(splitter.split_texts(texts, size, overlap)) for c in cs]
 
 
 def test_prompts():
