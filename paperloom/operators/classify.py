@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import collapse as collapsed
 from paperloom.model import MIXED, SCANNED_PDF, TEXT_PDF, ClassifyConfig
+from paperloom.storage import stored
 
 
 #: Documents whose page counts are broadcast; with more they are joined.
@@ -21,6 +23,7 @@ def sample_pages(pages: DataFrame, cfg: ClassifyConfig = ClassifyConfig()) -> Da
     what is done with the result is done for sampled pages only.
     """
     counts = pages.filter("doc IS NOT NULL").groupBy("doc").agg(F.count("*").alias("_n"))
+    counts = stored(counts, "page-counts")
     counts = F.broadcast(counts) if counts.count() <= MAX_DOCS else counts
     stride = F.greatest(F.lit(1), F.floor(F.col("_n") / F.least(F.lit(cfg.sample_pages), F.col("_n"))))
     place = F.col("page_idx") / stride
@@ -70,14 +73,16 @@ def classify_files(files: DataFrame, signals: Callable[[DataFrame], DataFrame],
     """(doc, digest, label, reason) of files (path, content). What is in cache (digest, label, reason) is not read again.
 
     signals makes the signals of files, as page_signals does. The result's digest, label and reason are the next cache.
+    Files are hashed once and their digests stored; bytes are read again for new files only.
     """
-    known = files.select("path", "content", F.sha2("content", 256).alias("digest"))
+    digests = stored(files.select("path", F.sha2("content", 256).alias("digest")), "digests")
     cached = None if cache is None else cache.select("digest", "label", "reason").dropDuplicates(["digest"])
-    new = known if cached is None else known.join(cached.select("digest"), "digest", "left_anti")
-    made = classify(signals(new), cfg).join(new.select(F.col("path").alias("doc"), "digest"), "doc").select("doc", "digest", "label", "reason")
+    new = digests if cached is None else digests.join(cached.select("digest"), "digest", "left_anti")
+    labels = classify(signals(files if cached is None else files.join(new.select("path"), "path", "left_semi")), cfg)
+    made = labels.join(new.withColumnRenamed("path", "doc"), "doc").select("doc", "digest", "label", "reason")
     if cached is None:
         return made
-    return made.unionByName(known.select(F.col("path").alias("doc"), "digest").join(cached, "digest").select("doc", "digest", "label", "reason"))
+    return made.unionByName(digests.withColumnRenamed("path", "doc").join(cached, "digest").select("doc", "digest", "label", "reason"))
 
 
 def report_lines(labels: DataFrame, verbose: bool = False, mixed_as_scanned: bool = False) -> DataFrame:

@@ -8,7 +8,8 @@ a Python function inside a conditional would run for every row.
 from __future__ import annotations
 
 import io
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,13 +18,25 @@ from pyspark.sql import functions as F
 from paperloom.functions import prompts
 from paperloom.functions import text as T
 from paperloom.model import AUTO, LAYER, VISION, ExtractConfig
-from paperloom.sources import sinks
+from paperloom.operators.answers import ModelFactory, answered
+from paperloom.storage import new_folder, stored
 
-#: () -> (image, prompt) -> answer; the outer call runs once per task
-ModelFactory = Callable[[], Callable[[bytes, str], str]]
 BLANK_ROUTE, LAYER_ROUTE, MODEL_ROUTE = "blank", "layer", "model"
 
 
+@dataclass(frozen=True)
+class Imaging:
+    """How page images are read: as pictures with PIL's interface, and as arrays of grey levels. None takes PIL."""
+
+    open_image: Callable[[bytes], object] | None = None
+    grey: Callable[[bytes], object] | None = None
+
+
+def needs_images(cfg: ExtractConfig) -> bool:
+    """Whether a run reads page images at all."""
+    return cfg.save_images or cfg.describe_figures or cfg.mode != LAYER
+
+
 def needs_model(cfg: ExtractConfig, mode: str | None) -> bool:
     """Whether a run may call the model; with per-document modes it may."""
     return cfg.describe_figures or mode != LAYER
@@ -118,58 +131,57 @@ def routes(pages: DataFrame, cfg: ExtractConfig = ExtractConfig()) -> DataFrame:
     return pages.withColumn("route", F.when(blank, BLANK_ROUTE).when(layer, LAYER_ROUTE).otherwise(MODEL_ROUTE))
 
 
-def call_model(frame: DataFrame, factory: ModelFactory, prompt: str, out: str) -> DataFrame:
-    """frame with the model's stripped answer for its image column; a page without an image is an error."""
-
-    @F.pandas_udf("string")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = factory()
-        for images in batches:
-            if images.isna().any():
-                raise RuntimeError("the model needs the image of the page")
-            yield images.map(lambda image: str(model(image, prompt)).strip())
-
-    return frame.withColumn(out, ask.asNondeterministic()(F.col("image")))
+def with_blank_ratio(pages: DataFrame, cfg: ExtractConfig, imaging: Imaging) -> DataFrame:
+    """pages with the nonwhite_ratio of their image, where it can matter; null elsewhere."""
+    label = F.lit(cfg.pdf_type) if cfg.pdf_type or "label" not in pages.columns else F.col("label")
+    may_call = F.lit(cfg.describe_figures) | (T.effective_mode(F.lit(cfg.mode), label) != LAYER)
+    return pages.withColumn("nonwhite_ratio", nonwhite_ratio(F.when(may_call, F.col("image")), cfg, imaging.grey))
 
 
-def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory | None = None, folder: str | None = None) -> DataFrame:
-    """(doc, page_no, mode, page_text) of routed pages that have an image column.
+def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory | None = None, folder: str | None = None, imaging: Imaging | None = None) -> DataFrame:
+    """(doc, page_no, mode, page_text) of pages that have an image column if the model may be called.
 
-    Pages for the model are dealt out by page, so that a long document is no
-    single task. With a folder, which driver and executors share, the routed
-    pages are written there once for all branches and so are the model's
-    answers: later use and tasks that run again neither read pages anew nor ask
-    twice. Without one, store the result before using it twice.
+    Pages are routed and written to a folder, which driver and executors share,
+    once for all branches; nothing reads them anew. Answers go to the ledger in
+    the folder: a second run with the same folder asks only what is not there.
+    Without a folder one of this run is taken. With imaging, images are tested
+    for being blank and prepared for the model; without, they are taken as they
+    are, and pages may have a nonwhite_ratio already.
     """
+    spark = pages.sparkSession
+    folder = folder or new_folder(spark, "extract")
     if "route" not in pages.columns:
+        if "nonwhite_ratio" not in pages.columns:
+            usable = imaging is not None and "image" in pages.columns
+            pages = with_blank_ratio(pages, cfg, imaging) if usable else pages.withColumn("nonwhite_ratio", F.lit(None).cast("double"))
         pages = routes(pages, cfg)
-    if folder:
-        pages = sinks.kept(pages, f"{folder}/routed")
+    pages = stored(pages, "routed", folder)
+    prepare = (lambda image: prepared_image(image, cfg, imaging.open_image)) if imaging else None
+
+    def ask(frame: DataFrame, prompt: str, out: str) -> DataFrame:
+        return answered(frame, factory, prompt, cfg.model_id, f"{folder}/ledger", out, prepare)
+
     blank = pages.filter(F.col("route") == BLANK_ROUTE).withColumn("page_text", F.lit(cfg.blank_placeholder))
     layer = pages.filter(F.col("route") == LAYER_ROUTE).withColumn("page_text", F.coalesce("text", F.lit("")))
-    asked = pages.filter(F.col("route") == MODEL_ROUTE)
+    model = pages.filter(F.col("route") == MODEL_ROUTE)
     if factory is None:
         if needs_model(cfg, cfg.mode if cfg.mode != AUTO else None):
-            asked = asked.withColumn("page_text", F.raise_error(F.lit("this page needs a model and none is given")).cast("string"))
+            model = model.withColumn("page_text", F.raise_error(F.lit("this page needs a model and none is given")).cast("string"))
         else:
-            asked = asked.withColumn("page_text", F.lit(""))
+            model = model.withColumn("page_text", F.lit(""))
     else:
-        asked = call_model(asked.repartition("doc", "page_no"), factory, prompts.text_prompt(cfg.extra_prompt), "page_text")
-        if folder:
-            asked = sinks.kept(asked, f"{folder}/answers")
-    filled = layer.unionByName(asked)
+        model = ask(model, prompts.text_prompt(cfg.extra_prompt), "page_text")
+    filled = layer.unionByName(model)
     if cfg.describe_figures:
         if factory is None:
             raise ValueError("figures need a model")
-        filled = call_model(filled.repartition("doc", "page_no"), factory, prompts.figures_prompt(), "_figures")
-        if folder:
-            filled = sinks.kept(filled, f"{folder}/figures")
+        filled = ask(filled, prompts.figures_prompt(), "_figures")
         filled = filled.withColumn("page_text", T.with_figures(F.col("page_text"), F.col("_figures"))).drop("_figures")
     return filled.unionByName(blank).select("doc", "page_no", "mode", "page_text")
 
 
-def assemble(texts: DataFrame, cfg: ExtractConfig, label: Column | None = None) -> DataFrame:
-    """(doc, value): the artefact of each document of (doc, page_no, mode, page_text), pages in order.
+def assemble(texts: DataFrame, cfg: ExtractConfig, label: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+    """(doc, value), and label if it is to be kept: the artefact of each document of (doc, page_no, mode, page_text), pages in order.
 
     Lines up one document's text at a time, as the artefact itself does.
     """
@@ -185,7 +197,7 @@ def assemble(texts: DataFrame, cfg: ExtractConfig, label: Column | None = None)
     head = T.artefact_header(
         T.base_name(F.col("doc")), F.lit(cfg.dpi), F.lit(cfg.model_id), F.col("mode"), F.col("label"), F.lit(cfg.describe_figures)
     )
-    return whole.select("doc", T.artefact(head, F.col("blocks"), F.col("pages")).alias("value"))
+    return whole.select("doc", *(keep or []), T.artefact(head, F.col("blocks"), F.col("pages")).alias("value"))
 
 
 def stub_model(image: bytes, prompt: str) -> str:

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
 from paperloom.model import BEGIN_LINE, END_LINE, LAYER, MIXED, SCANNED_PDF, TEXT_PDF, WS, ClassifyConfig, ExtractConfig
-from paperloom.operators import chunk, classify, collection, extract, stats
+from paperloom.operators import answers, chunk, classify, collection, convert, extract, stats
+from paperloom.sources import file_sink, page_source
+from paperloom.storage import new_folder
 
 #: Rows of documents that make one document of pages.
 PER = 40
@@ -108,6 +110,47 @@ def extract_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc", "mode", _sha(F.col("page_text")).alias("page_sha256"))
 
 
+def answers_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a page image, asked of the model once for equal ones, and then all again from the ledger."""
+    ledger = f"{new_folder(spark, 'ledger')}/answers"
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("image"))
+    first = answers.answered(docs, lambda: extract.stub_model, "text", CONFIG.model_id, ledger, "answer")
+    again = answers.answered(first.withColumnRenamed("answer", "first_answer"), lambda: _no_model, "text", CONFIG.model_id, ledger, "answer")
+    return again.select("doc_id", _sha(F.col("answer")).alias("answer_sha256"), (F.col("answer") == F.col("first_answer")).alias("same"))
+
+
+def _no_model(image: bytes, prompt: str) -> str:
+    raise RuntimeError("asked again")
+
+
+def _artefact_files(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of one text file for each conversation."""
+    path = new_folder(spark, "artefact-files")
+    file_sink.write_artefact_files(_artefacts(spark, sf_dir), path)
+    return path
+
+
+READER = {"reader": "paperloom.sources.page_source:ArtefactReader", "pattern": "*.txt"}
+
+
+def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as files, all or none, and their pages read by ranges."""
+    pages = page_source.scan(spark, _artefact_files(spark, sf_dir), task_bytes=4096, **READER)
+    return pages.select(T.base_name(F.col("doc")).alias("file"), "page_no", "text")
+
+
+def document_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to artefacts in one call: scanned, routed, joined and written."""
+    made = convert.convert_folder(spark, _artefact_files(spark, sf_dir), out=new_folder(spark, "converted"), cfg=CONFIG, **READER)
+    return made.select(T.base_name(F.col("doc")).alias("file"), _sha(F.col("value")).alias("value_sha256"))
+
+
+def folder_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, classified from sampled pages."""
+    made = convert.classify_folder(spark, _artefact_files(spark, sf_dir), **READER)
+    return made.select(T.base_name(F.col("doc")).alias("file"), "label", "reason")
+
+
 def page_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _paged(spark, sf_dir).select("doc", (F.col("page_idx") + 1).alias("page_no"), "text", "doc_id")
     texts = pages.select("doc", "page_no", F.length("text").alias("n_chars"))
@@ -225,7 +268,7 @@ def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align,
+        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align, answers_ledger, page_scan, document_run, folder_classes,
         figures_append, chunk_pages, chunk_whole_pages, chunk_conservation, embed_chunks, chunk_length_stats, inspect_collection, list_documents, inspect_totals,
         analyze_collection, delete_documents, json_path, basename, mask_secret, model_provider, normalize_ws, data_url, token_stream,
     )
@@ -277,6 +320,7 @@ def _split_sql(pages: str, size: int, overlap: int) -> str:
 
 _SPACE = f"[{WS}]"
 _TURNS = "SELECT 'talks/' || conv_id || '.pdf' AS doc, conv_id || '.pdf' AS name, turn + 1 AS page_no, coalesce(text, '') AS t FROM conversations"
+_FILES = f"SELECT name || '-' || left(sha256(doc), 12) || '.txt' AS file, page_no, t FROM ({_TURNS})"
 _BLOCKS = f"SELECT doc, name, string_agg(rtrim(t, '{WS}') || chr(10) || chr(10) || '--- PAGE ' || page_no || ' ---' || chr(10) || chr(10), '' ORDER BY page_no) AS blocks, count(*) AS n FROM ({_TURNS}) GROUP BY doc, name"
 _HEADER = f"'SOURCE PDF: ' || name || chr(10) || 'DPI: {CONFIG.dpi}' || chr(10) || 'MODEL_ID: {CONFIG.model_id}' || chr(10) || 'TEXT_MODE: {LAYER}' || chr(10) || 'INPUT_PDF_TYPE: None' || chr(10) || 'DESCRIBE_FIGURES: False' || chr(10)"
 _PAGED = f"SELECT 'set' || (doc_id // {PER}) || '.pdf' AS doc, doc_id % {PER} AS page_idx, coalesce(text, '') AS text, doc_id FROM documents"
@@ -322,6 +366,18 @@ SQL = {
       SELECT doc, mode, sha256(CASE WHEN route = 'blank' THEN '{CONFIG.blank_placeholder}' WHEN n % 2 = 1 THEN t
         ELSE rtrim(t, '{WS}') || chr(10) || chr(10) || '[FIGURES]' || chr(10) || '- figure of ' || n || ' bytes' || chr(10) END) AS page_sha256
       FROM (SELECT doc, mode, route, strlen(text) AS n, CASE route WHEN 'layer' THEN text ELSE {_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || text')} END AS t FROM ({_ROUTED_FIGURES}))""",
+    "answers_ledger": f"SELECT doc_id, sha256({_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || coalesce(text, ' + chr(39) * 2 + ')')}) AS answer_sha256, true AS same FROM documents",
+    "page_scan": f"SELECT file, row_number() OVER (PARTITION BY file ORDER BY page_no)::INT AS page_no, {_TRIM.format('replace(t, chr(13) || chr(10), chr(10))')} AS text FROM ({_FILES})",
+    "document_run": f"""
+      SELECT file, sha256({_HEADER.replace("name", "file")} || '{BEGIN_LINE}' || string_agg(rtrim({_TRIM.format("replace(t, chr(13) || chr(10), chr(10))")}, '{WS}') || chr(10) || chr(10) || '--- PAGE ' || k || ' ---' || chr(10) || chr(10), '' ORDER BY k)
+        || '{END_LINE}' || 'TOTAL PAGES: ' || count(*) || chr(10)) AS value_sha256
+      FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY page_no) AS k FROM ({_FILES})) GROUP BY file""",
+    "folder_classes": f"""
+      SELECT file, CASE WHEN chars >= {_C.strong_text_chars} OR chars >= {_C.min_text_chars_doc} OR text_pages > 0 THEN '{TEXT_PDF}' ELSE '{MIXED}' END AS label,
+        printf('text_chars=%d, text_pages=%d, image_ratio=0.00', chars, text_pages) AS reason
+      FROM (SELECT file, sum(len)::BIGINT AS chars, count(*) FILTER (WHERE len >= {_C.min_text_chars_page}) AS text_pages
+        FROM (SELECT *, length(trim(regexp_replace(t, '{_SPACE}+', ' ', 'g'))) AS len, row_number() OVER (PARTITION BY file ORDER BY page_no) - 1 AS k, count(*) OVER (PARTITION BY file) AS n FROM ({_FILES}))
+        WHERE k % greatest(1, n // least({_C.sample_pages}, n)) = 0 AND k // greatest(1, n // least({_C.sample_pages}, n)) < {_C.sample_pages} GROUP BY file)""",
     "page_align": f"""
       SELECT a.doc, a.page_no, a.n_chars, b.width
       FROM (SELECT doc, page_idx + 1 AS page_no, length(text)::INT AS n_chars FROM ({_PAGED})) a

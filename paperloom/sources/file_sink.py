@@ -16,6 +16,7 @@ replaced one by one.
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -99,12 +100,20 @@ class FileWriter(DataSourceArrowWriter):
         self._clear(system, root)
 
     def abort(self, messages: list[Staged | None]) -> None:
-        self._clear(*self._place())
-
-    def _clear(self, system, root: str) -> None:
+        """Clears what was staged, again while tasks that are being ended still write."""
+        for _ in range(10):
+            self._clear(*self._place())
+            time.sleep(0.3)
+            if not self._there(*self._place()):
+                break
+
+    def _there(self, system, root: str) -> bool:
         from pyarrow.fs import FileType
 
-        if system.get_file_info(f"{root}/{self.run}").type != FileType.NotFound:
+        return system.get_file_info(f"{root}/{self.run}").type != FileType.NotFound
+
+    def _clear(self, system, root: str) -> None:
+        if self._there(system, root):
             system.delete_dir(f"{root}/{self.run}")
 
 

@@ -11,8 +11,7 @@ and a reader that seeks reads its own pages only.
 
 Conditions on page_no and doc go to the source: files that are not wanted are
 not opened, and a task none of whose pages can be wanted is not planned. Needs
-spark.sql.python.filterPushdown.enabled (session.SETTINGS); without it Spark
-filters what the source reads.
+spark.sql.python.filterPushdown.enabled, which scan turns on.
 """
 
 from __future__ import annotations
@@ -213,7 +212,8 @@ def plugged(name: str) -> PageReader:
 
 
 def scan(spark: SparkSession, path: str, reader: str, **options: str | int | bool) -> DataFrame:
-    """Pages of the files below path: texts, or with what="images" images."""
+    """Pages of the files below path: texts, or with what="images" images. Turns the session's pushdown to Python sources on, without which the source can't be read."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(DocumentPages)
     return spark.read.format("document_pages").options(path=path, reader=reader, **options).load()
 

@@ -9,18 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
-def kept(df: DataFrame, path: str) -> DataFrame:
-    """df written to a path and read back, so that what follows, and tasks that run again, don't do the work anew."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_artefacts(artefacts: DataFrame, path: str) -> None:
     """Each document's artefact as one row of (doc, value), replaced as a whole."""
     artefacts.select("doc", "value").write.mode("overwrite").parquet(path)
 
 
-def write_page_images(images: DataFrame, folder: str, whole_path: bool = False) -> DataFrame:
+def write_page_images(images: DataFrame, folder: str, whole_path: bool = True) -> DataFrame:
     """Writes image bytes as <folder>/<document>/page_0001.png through the folder's file system; returns (doc, page_no, file).
 
     <document> is the base name of doc; with whole_path a digest of the path stands before it, so that documents

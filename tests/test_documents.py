@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paperloom.model import ClassifyConfig, ExtractConfig, MIXED, SCANNED_PDF, TEXT_PDF
 from paperloom.functions import splitter
-from paperloom.operators import chunk, classify, extract, stats
+from paperloom.operators import answers, chunk, classify, extract, stats
 from paperloom.sources import pages, sinks
 from paperloom.streaming import ingest
 
@@ -51,7 +51,7 @@ def test_page_readers(spark, tmp_path):
     found = {r.doc.rpartition("/")[2]: (r.label, r.reason) for r in classify.classify(pages.page_signals(files, count, reader)).collect()}
     assert found["b.pdf"] == (MIXED, "read_error=KeyError") and found["e.pdf"][1] == "zero_pages" and found["a.pdf"][1].startswith("text_chars=12")
     images = pages.page_images(files, lambda c, dpi, most: [(0, 1, 1, c)])
-    out = sinks.write_page_images(images, f"file://{tmp_path}/img").collect()
+    out = sinks.write_page_images(images, f"file://{tmp_path}/img", whole_path=False).collect()
     assert [r.file.endswith("page_0001.png") for r in out] == [True] * 3 and (tmp_path / "img" / "b.pdf" / "page_0001.png").read_bytes() == b"bad"
     asked = spark.sparkContext.accumulator(0)
 
@@ -71,7 +71,7 @@ def test_page_readers(spark, tmp_path):
 
 def test_images_of_one_base_name(spark, tmp_path):
     images = spark.createDataFrame([("a/x.pdf", 1, b"1"), ("b/x.pdf", 1, b"2")], "doc string, page_no int, image binary")
-    out = sinks.write_page_images(images, f"file://{tmp_path}/img", whole_path=True).collect()
+    out = sinks.write_page_images(images, f"file://{tmp_path}/img").collect()
     assert sorted(open(r.file, "rb").read() for r in out) == [b"1", b"2"] and all(r.file.endswith("/x.pdf/page_0001.png") for r in out)
 
 
@@ -236,12 +236,83 @@ def test_figures_and_stored_answers(spark, tmp_path):
 
         return model
 
-    done = extract.extract_pages(_pages(spark), ExtractConfig(describe_figures=True), factory, folder=f"file://{tmp_path}/run")
+    cfg = ExtractConfig(describe_figures=True)
+    done = extract.extract_pages(_pages(spark), cfg, factory, folder=f"file://{tmp_path}/run")
     got = {(r.doc, r.page_no): r.page_text for r in done.collect()}
     assert done.count() == 7 and asked.value == 2 + 5
+    again = extract.extract_pages(_pages(spark), cfg, factory, folder=f"file://{tmp_path}/run")
+    assert {(r.doc, r.page_no): r.page_text for r in again.collect()} == got and asked.value == 2 + 5
     assert got[("s.pdf", 1)] == "[vlm] s.pdf1\n\n[FIGURES]\n- figure of 6 bytes\n" and got[("s.pdf", 2)] == "[BLANK PAGE SKIPPED]"
-    plan = extract.extract_pages(_pages(spark), ExtractConfig(), factory)._jdf.queryExecution().toString()
-    assert "REPARTITION_BY_COL" in plan or "RepartitionByExpression" in plan
+
+
+def test_questions_are_asked_once(spark, tmp_path, monkeypatch):
+    """Equal images are one question; a run that breaks off leaves its answers; the next asks the rest."""
+    asked, fail = spark.sparkContext.accumulator(0), {"at": b"q30"}
+
+    def factory(at=None):
+        def model(image, prompt):
+            if at is not None and image == at:
+                raise OSError("no answer")
+            asked.add(1)
+            return f" {prompt}:{image.decode()} "
+
+        return model
+
+    rows = [(i, f"q{i % 40}".encode()) for i in range(100)]
+    frame = spark.createDataFrame(rows, "n int, image binary").repartition(3)
+    ledger = f"file://{tmp_path}/ledger"
+    ask = lambda make, prompt="p", of=frame: answers.answered(of, make, prompt, "m", ledger, "answer", run=8)
+    with pytest.raises(Exception, match="no answer"):
+        ask(lambda: factory(fail["at"]))
+    before = asked.value
+    kept = answers.read_ledger(spark, ledger).count()
+    got = {r.n: r.answer for r in ask(factory).collect()}
+    assert got == {i: f"p:q{i % 40}" for i in range(100)} and asked.value == before + 40 - kept and 0 < kept < 40
+    assert ask(factory).count() == 100 and asked.value == before + 40 - kept
+    assert ask(factory, "other").filter("answer LIKE 'other:%'").count() == 100 and asked.value == before + 80 - kept
+    with pytest.raises(Exception, match="needs the image"):
+        ask(factory, of=spark.createDataFrame([(1, None)], "n int, image binary"))
+    assert ask(factory, of=frame.limit(0)).count() == 0
+    # two jobs may have asked the same; an image is prepared for questions only
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger)
+    assert answers.answered(frame, lambda: None, "p", "m", ledger, "answer", prepare=lambda image: F.raise_error(F.lit("prepared")).cast("binary")).count() == 100
+
+
+def test_folder_to_artefacts(spark, tmp_path):
+    """Files to artefacts in one call: classes, blank pages, prepared images, figures, saved images, page limit."""
+    import numpy as np
+
+    from paperloom.operators import convert
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "t.pdf").write_text("\n".join(["long text " * 12] * 3 + ["short!"]))
+    (folder / "s.pdf").write_text("\n".join(["scan!", "blank!", "scan!"]))
+
+    class Picture:
+        mode, size = "RGB", (10, 10)
+
+        def __init__(self, data):
+            self.data = data
+
+        def save(self, out, format, quality):
+            out.write(b"prepared " + self.data)
+
+    imaging = extract.Imaging(Picture, lambda data: np.full((10, 10), 255 if data.startswith(b"blank") else 0))
+    reader, out = "fake_pages:LineReader", f"file://{tmp_path}/out"
+    spark.sparkContext.addPyFile(str(__import__("pathlib").Path(__file__).parent / "fake_pages.py"))
+    cfg = ExtractConfig(describe_figures=True, save_images=True, images_dir=f"file://{tmp_path}/img", max_pages=3)
+    made = convert.convert_folder(spark, f"file://{folder}", reader, out, cfg, lambda: extract.stub_model, imaging, folder=f"file://{tmp_path}/run")
+    rows = {r.doc.rpartition("/")[2]: r for r in made.collect()}
+    assert rows["t.pdf"].label == TEXT_PDF and rows["s.pdf"].label == SCANNED_PDF
+    assert "TEXT_MODE: pypdf\nINPUT_PDF_TYPE: TEXT_PDF\nDESCRIBE_FIGURES: True\n" in rows["t.pdf"].value and rows["t.pdf"].value.endswith("TOTAL PAGES: 3\n") and "short" not in rows["t.pdf"].value
+    scan = rows["s.pdf"].value
+    assert "TEXT_MODE: vlm" in scan and "[vlm] prepared scan!\n\n[FIGURES]\n- figure of 14 bytes\n\n--- PAGE 1 ---" in scan.replace("\n\n\n", "\n\n") and f"{cfg.blank_placeholder}\n\n--- PAGE 2 ---" in scan
+    files = sorted(f.name for f in (tmp_path / "out").iterdir())
+    assert len(files) == 2 and {(tmp_path / "out" / f).read_text() for f in files} == {r.value for r in rows.values()}
+    assert sorted(f.name for f in (tmp_path / "img").rglob("*.png")) == [f"page_000{i}.png" for i in (1, 1, 2, 2, 3, 3)]
+    plain = convert.convert_folder(spark, f"file://{folder}", reader, f"{out}2", ExtractConfig(mode="pypdf"))
+    assert {r.doc[-5:]: r.label for r in plain.collect()} == {"t.pdf": None, "s.pdf": None} and not extract.needs_images(ExtractConfig(mode="pypdf"))
 
 
 def test_page_sampling_leaves_texts_in_place(spark):
