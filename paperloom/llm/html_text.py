@@ -9,17 +9,21 @@ The token streams of a host's pages are concatenated and their suffixes sorted,
 by prefix doubling up to the length that counts, which gives the runs of RUN
 tokens that distinct pages share. Pages that mark no article or main part are
 judged by each other: a run on MIN_PAGES distinct ones of the host, however
-large, is boilerplate. Pages that mark their text need more, since quotations
-and copies of articles repeat too: a run on SHARE of all pages of the host, and
-MIN_PAGES at least, is boilerplate there, unless such runs make MIN_COPY or more
-of the marked text. Blocks that boilerplate covers go, and of other blocks the
-runs inside them; the unique rest stays.
+large, is boilerplate. If one stretch of such runs is COPY_WORDS long and makes
+MIN_COPY of a page's words, the page is a copy of others and that stretch its
+text: it stays. Pages that mark their text need more, since quotations and
+copies of articles repeat too: a run on SHARE of all pages of the host, and on
+MIN_MARKED at least, is boilerplate there, unless such runs make MIN_COPY or
+more of the marked text. Blocks that boilerplate covers go, and of other blocks
+the runs inside them; the unique rest stays.
 
 No task holds a whole host: pages of hosts over GROUP_BYTES of html are dealt to
 groups by their text. Each group's suffix array counts its runs, and the counts
-are added up over the host by a hash of the run; of runs of marked pages only
-those on half of SHARE of a group's pages are given on and count. Pages are
-parsed once more to be cut, so they are never stored in between.
+are added up over the host by a hash of the run. Runs of marked pages are counted
+in two steps: a run on SHARE of a host's pages is on SHARE of the pages of some
+group, so groups first name those, and then all groups count what any has named.
+So counts are those of the whole host however it is dealt. Pages are parsed once
+more to be cut, so they are never stored in between.
 
 Defined results: a null or empty html has no text; pages whose url has no host
 form the host ''; equal streams count as one page; rows that share a page_id
@@ -44,7 +48,7 @@ from pyspark.sql import functions as F
 from .common import stash, table
 from .similar import mix
 
-RUN, MIN_PAGES, SHARE, MIN_COPY, BUCKETS = 8, 3, 0.5, 0.5, 256
+RUN, MIN_PAGES, MIN_MARKED, SHARE, MIN_COPY, COPY_WORDS, BUCKETS = 8, 3, 20, 0.5, 0.5, 60, 256
 #: Bytes of html of one group of a host's pages, rows of a broadcast table of hosts, and bytes of runs that tasks hold at once.
 GROUP_BYTES, MAX_HOSTS, MAX_RUNS = 16 << 20, 100_000, 32 << 20
 ARTICLE, MAIN, OTHER, FURNITURE = 0, 1, 2, 3
@@ -306,16 +310,40 @@ def _counts(pages: list[tuple[tuple[str, int], ...]]) -> tuple[np.ndarray, ...]:
     return key[at[whole]], all_, without, len(streams)
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int, int], list, list[int]]]:
+    """Each group (host, salt, groups) with its distinct pages and the keys named for it, from rows sorted by group."""
+    now, pages, named = None, {}, []
+    for batch in batches:
+        for *key, page, keys in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "groups", "page", "named"))):
+            if key != now:
+                if pages:
+                    yield tuple(now), list(pages), named
+                now, pages, named = key, {}, []
+            if page is None:
+                named += keys
+            else:
+                pages[_unpacked(page)] = None
+    if pages:
+        yield tuple(now), list(pages), named
+
+
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, key): the runs on SHARE of a group's pages."""
+    for (host, _, _), held, _ in _each(batches):
+        keys, counts, _, pages = _counts(held)
+        often = keys[counts >= SHARE * pages].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([host] * len(often), pa.string()), pa.array(often)], names=["host", "key"])
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of each group that may be boilerplate, by bucket of their hash, from pages sorted by host and salt."""
+    """The runs of each group that may be boilerplate, by bucket of their hash."""
     kind = pa.schema([
         ("host", pa.string()), ("salt", pa.int32()), ("bucket", pa.int32()), ("pages", pa.int64()),
         ("keys", pa.binary()), ("counts", pa.binary()), ("bare_keys", pa.binary()), ("bare_counts", pa.binary()),
     ])
-
-    def rows(host: str, salt: int, groups: int, held: dict) -> pa.RecordBatch:
-        keys, counts, bare, pages = _counts(list(held))
-        often = counts >= (max(MIN_PAGES, SHARE * pages) if groups == 1 else SHARE / 2 * pages)
+    for (host, salt, groups), held, named in _each(batches):
+        keys, counts, bare, pages = _counts(held)
+        often = counts >= max(MIN_MARKED, SHARE * pages) if groups == 1 else np.isin(keys, np.array(named, np.int64).astype(np.uint64))
         some = bare >= (MIN_PAGES if groups == 1 else 1)
         bucket = (keys >> np.uint64(40)).astype(np.int64) % min(groups, BUCKETS)
         out = []
@@ -325,18 +353,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed = [keys[x].tobytes(), counts[x].astype(np.int32).tobytes(), keys[y].tobytes(), bare[y].astype(np.int32).tobytes()]
             if groups > 1 or x.any() or y.any():
                 out.append((host, salt, b, pages, *packed))
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)], schema=kind)
-
-    now, held = None, {}
-    for batch in batches:
-        for *key, page in zip(*(batch.column(c).to_pylist() for c in ("host", "salt", "groups", "page"))):
-            if key != now and held:
-                yield rows(*now, held)
-                held = {}
-            now = key
-            held[_unpacked(page)] = None
-    if held:
-        yield rows(*now, held)
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)], schema=kind)
 
 
 def _hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +368,7 @@ def _hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(host: str, held: list[tuple]) -> pa.RecordBatch:
         salts, pages, keys, counts, bare_keys, bare_counts = zip(*held)
-        found = judged(keys, counts, max(MIN_PAGES, SHARE * sum(pages))), judged(bare_keys, bare_counts, MIN_PAGES)
+        found = judged(keys, counts, max(MIN_MARKED, SHARE * sum(pages))), judged(bare_keys, bare_counts, MIN_PAGES)
         out = [x for x in zip(salts, *found) if x[1] or x[2]]
         columns = [pa.array([host] * len(out), pa.string()), *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary())))]
         return pa.RecordBatch.from_arrays(columns, names=["host", "salt", "keys", "bare_keys"])
@@ -376,7 +393,8 @@ def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
     """The page's text without the runs in hot, which is sorted.
 
     A block that such runs cover goes; of others the runs inside it go. Marked
-    text that is mostly such runs is a copy and stays.
+    text that is mostly such runs is a copy and stays; so does a stretch of them
+    that is most of an unmarked page.
     """
     best = _best(blocks)
     if not len(hot):
@@ -389,6 +407,12 @@ def _text(blocks: list[tuple[str, int]], words: _Words, hot: np.ndarray) -> str:
     role_of = np.array([*(r for _, r in blocks), -1], np.int64)[of]
     if best != OTHER and covered[role_of == best].mean() >= MIN_COPY:
         return "\n\n".join(t for t, r in blocks if r == best)
+    if best == OTHER:
+        edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
+        sizes = edges[1::2] - edges[::2]
+        if len(sizes) and sizes.max() >= max(COPY_WORDS, MIN_COPY * (role_of == best).sum()):
+            stretch = slice(edges[2 * sizes.argmax()], edges[2 * sizes.argmax() + 1])
+            covered[stretch] = inside[stretch] = False
     kept = []
     for k, (text, role) in enumerate(blocks):
         if role == best:
@@ -452,7 +476,17 @@ def main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES, max_runs: int =
     large = stash(pages.groupBy("host").agg(groups.alias("groups")).filter("groups > 1"), "hosts")
     dealt = pages.join(F.broadcast(large) if large.count() <= MAX_HOSTS else large, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
     parsed = dealt.select("host", "groups", "html").mapInArrow(_parse, "host string, salt int, groups int, page binary")
-    counted = parsed.repartition("host", "salt").sortWithinPartitions("host", "salt").mapInArrow(
+    dealt_out = lambda df: df.repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("page").asc_nulls_first())
+    named = F.lit(None).cast("array<long>")
+    if not large.isEmpty():
+        names = dealt_out(parsed.filter("groups > 1").withColumn("named", named)).mapInArrow(_names, "host string, key long")
+        names = names.distinct().groupBy("host").agg(F.collect_list("key").alias("named")).join(large, "host")
+        salt = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt")
+        names = stash(names.select("host", salt, "groups", F.lit(None).cast("binary").alias("page"), "named"), "named")
+        rows = parsed.withColumn("named", named).unionByName(names)
+    else:
+        rows = parsed.withColumn("named", named)
+    counted = dealt_out(rows).mapInArrow(
         _groups, "host string, salt int, bucket int, pages long, keys binary, counts binary, bare_keys binary, bare_counts binary"
     )
     hot = counted.repartition("host", "bucket").sortWithinPartitions("host", "bucket").mapInArrow(_hot, "host string, salt int, keys binary, bare_keys binary")
