@@ -35,9 +35,16 @@ def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
     projections that make it and spell each of them out at every use.
     """
     rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
-    held = df.select(*rest, F.explode(F.array(row)).alias("_row"))
-    return held.select(*rest, *[F.col(f"_row.`{c}`").alias(c) for c in columns])
+    row, own = F.struct(*[F.col(f"`{c}`") for c in columns]), unused(df, "computed")
+    held = df.select(*rest, F.explode(F.array(row)).alias(own))
+    return held.select(*rest, *[F.col(f"{own}.`{c}`").alias(c) for c in columns])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A name that starts as no column of df does, for columns that go again."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name
 
 
 def broadcast_if(df: DataFrame, most: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import stash, table, unused
 from .similar import bands_of, near_components, sketches
 
 #: Characters of a shingle, percent of the union, and characters of the shortest line that is sketched.
@@ -81,7 +81,7 @@ def _places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32()))], names=["doc_id", "places"])
 
 
-def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> DataFrame:
+def duplicate_lines(docs: DataFrame, shingle: int = SHINGLE, least: int = MIN_FUZZY) -> DataFrame:
     """(doc_id, n_lines, dropped): lines with a word, and the places (from 0, in order) of those to drop.
 
     Lines of `least` characters or more, which is `shingle` at least, are compared by shingles, others by equality.
@@ -111,9 +111,10 @@ def duplicate_lines(docs: DataFrame, shingle: int = 12, least: int = 24) -> Data
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs without the lines to drop, with n_lines and dropped added; rows keep their other columns."""
-    found = duplicate_lines(docs, SHINGLE, MIN_FUZZY).withColumnRenamed("doc_id", "_doc_id")
-    docs = docs.drop("n_lines", "dropped", "_doc_id")
-    both = docs.join(found, docs["doc_id"] == found["_doc_id"], "left").drop("_doc_id")
+    own = unused(docs, "line_doc_id")
+    found = duplicate_lines(docs).withColumnRenamed("doc_id", own)
+    docs = docs.drop("n_lines", "dropped")
+    both = docs.join(found, docs["doc_id"] == found[own], "left").drop(own)
     none = F.array().cast("array<int>")
     both = both.withColumns({"n_lines": F.coalesce("n_lines", F.lit(0).cast("long")), "dropped": F.coalesce("dropped", none)})
     left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("dropped", i))
@@ -122,7 +123,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = duplicate_lines(docs, SHINGLE, MIN_FUZZY)
+    found = duplicate_lines(docs)
     return docs.select("doc_id").join(found, "doc_id", "left").select(
         "doc_id",
         F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),

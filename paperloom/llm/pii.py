@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import computed_once, table
+from .common import computed_once, table, unused
 
 _LOCAL, _HOST = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
 
@@ -156,13 +156,14 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     Each step is a column of its own, so that no lambda computes one again.
     """
     t, every = F.coalesce(F.col(text), F.lit("")), range(len(KINDS))
-    own = [f"_pii_{x}{i}" for i in every for x in "mqnes"]
-    docs = docs.drop("pii", *own)
-    docs = docs.withColumns({f"_pii_{x}{i}": c for i in every for x, c in cut_at(t, KINDS[i]).items()})
-    long = {i: F.transform(f"_pii_m{i}", _length_with(f"_pii_q{i}")) for i in every}
-    docs = docs.withColumns({f"_pii_n{i}": long[i] for i in every})
-    docs = docs.withColumns({f"_pii_e{i}": running_sum(F.col(f"_pii_n{i}")) for i in every})
-    spans = {f"_pii_s{i}": spans_of(i, KINDS[i], *[F.col(f"_pii_{x}{i}") for x in "mqe"]) for i in every}
+    docs = docs.drop("pii")
+    at = unused(docs, "pii_part_")
+    own = [f"{at}{x}{i}" for i in every for x in "mqnes"]
+    docs = docs.withColumns({f"{at}{x}{i}": c for i in every for x, c in cut_at(t, KINDS[i]).items()})
+    long = {i: F.transform(f"{at}m{i}", _length_with(f"{at}q{i}")) for i in every}
+    docs = docs.withColumns({f"{at}n{i}": long[i] for i in every})
+    docs = docs.withColumns({f"{at}e{i}": running_sum(F.col(f"{at}n{i}")) for i in every})
+    spans = {f"{at}s{i}": spans_of(i, KINDS[i], *[F.col(f"{at}{x}{i}") for x in "mqe"]) for i in every}
     docs = docs.withColumns(spans)
     return computed_once(docs.withColumn("pii", F.sort_array(F.concat(*spans))).drop(*own), ["pii"])
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, computed_once, table
+from .common import WORD, computed_once, table, unused
 
 SYMBOLS = r"#*$%&|<>"
 #: A lone mark between blanks that menus put between their entries.
@@ -87,23 +87,24 @@ def repeated_words(frame: DataFrame, words: str, out: str) -> DataFrame:
             lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
         ),
     )
-    frame = frame.withColumn("_h", hashes)
+    h, sorted_, places = (unused(frame, x) for x in ("hashes", "sorted", "places"))
+    frame = frame.withColumn(h, hashes)
     paired = F.when(
-        F.size(F.array_distinct("_h")) < F.size("_h"),
-        F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("p")))),
+        F.size(F.array_distinct(h)) < F.size(h),
+        F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p")))),
     )
-    frame = frame.withColumn("_s", paired)
-    s = F.col("_s")
+    frame = frame.withColumn(sorted_, paired)
+    s = F.col(sorted_)
     twice = F.filter(
         s,
         lambda x, i: F.coalesce(F.get(s, i - 1)["h"] == x["h"], F.lit(False))
         | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False)),
     )
-    frame = frame.withColumn("_p", F.sort_array(F.transform(twice, lambda x: x["p"])))
-    p = F.col("_p")
+    frame = frame.withColumn(places, F.sort_array(F.transform(twice, lambda x: x["p"])))
+    p = F.col(places)
     gaps = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
     covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
-    return frame.withColumn(out, F.coalesce(covered, F.lit(0).cast("long"))).drop("_h", "_s", "_p")
+    return frame.withColumn(out, F.coalesce(covered, F.lit(0).cast("long"))).drop(h, sorted_, places)
 
 
 def quality_rules(docs: DataFrame, cfg: QualityConfig = QualityConfig(), text: str = "text") -> DataFrame:
@@ -112,18 +113,19 @@ def quality_rules(docs: DataFrame, cfg: QualityConfig = QualityConfig(), text: s
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "lost_chars", "base_failed", "kept", "clean_text"]
     docs = docs.drop(*[c for c in added if c != text])
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumns({"_w": word_array(t), "_lines": F.split(t, "\n", -1)})
-    out = repeated_words(out, "_w", "n_repeat_words").withColumn("n_words", F.size("_w").cast("long")).drop("_w")
-    filled = F.filter("_lines", lambda x: x.rlike(WORD))
+    words, lines, judged = (unused(docs, x) for x in ("words", "lines", "judged"))
+    out = docs.withColumns({words: word_array(t), lines: F.split(t, "\n", -1)})
+    out = repeated_words(out, words, "n_repeat_words").withColumn("n_words", F.size(words).cast("long")).drop(words)
+    filled = F.filter(lines, lambda x: x.rlike(WORD))
     out = out.withColumns(
         {
             "word_chars": non_blank(t).cast("long"),
             "n_symbols": F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long"),
             "n_dup_lines": (F.size(filled) - F.size(F.array_distinct(filled))).cast("long"),
-            "_judged": F.transform("_lines", lambda x: F.struct(x.alias("line"), line_fails(x, cfg).alias("bad"))),
+            judged: F.transform(lines, lambda x: F.struct(x.alias("line"), line_fails(x, cfg).alias("bad"))),
         }
-    ).drop("_lines")
-    bad = F.filter("_judged", lambda x: x["bad"])
+    ).drop(lines)
+    bad = F.filter(judged, lambda x: x["bad"])
     out = out.withColumns(
         {
             "n_failed_lines": F.size(bad).cast("long"),
@@ -134,8 +136,8 @@ def quality_rules(docs: DataFrame, cfg: QualityConfig = QualityConfig(), text: s
     )
     lost = F.col("lost_chars") * 100 > F.col("word_chars") * cfg.max_lost_percent
     out = computed_once(out.withColumn("kept", ~F.col("base_failed") & ~lost), added[:-1])
-    good = F.filter("_judged", lambda x: ~x["bad"])
-    return out.withColumn("clean_text", F.array_join(F.transform(good, lambda x: x["line"]), "\n")).drop("_judged")
+    good = F.filter(judged, lambda x: ~x["bad"])
+    return out.withColumn("clean_text", F.array_join(F.transform(good, lambda x: x["line"]), "\n")).drop(judged)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

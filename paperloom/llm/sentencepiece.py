@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import table, unused
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -283,16 +283,16 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", de
     that every executor can open, as part of its Python installation.
     """
     carried = [c for c in docs.columns if c not in (ids, decoded)]
-    named = {"_text": F.coalesce(F.col(text), F.lit(""))}
-    docs = docs.select(*carried).withColumns(named)
-    fields = [f for f in docs.schema.fields if f.name != "_text"]
+    held = unused(docs, "coded_text")
+    docs = docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text), F.lit("")).alias(held))
+    fields = [f for f in docs.schema.fields if f.name != held]
     added = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(model)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            rest = batch.drop_columns(["_text"])
+            texts = batch.column(held).to_pylist()
+            rest = batch.drop_columns([held])
             for part in slices(texts):
                 flat, ends = code.encode(texts[part])
                 columns = [pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat, pa.int32()))]
@@ -327,14 +327,15 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """docs with n_tokens, ids_sha256 and decoded_sha256 in place of the texts."""
-    coded = encode(docs, model, decoded="decoded")
-    carried = [c for c in docs.columns if c not in ("text", "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")]
+    """docs with n_tokens, ids_sha256 and decoded_sha256 in place of the texts; other columns stay, ids and decoded among them."""
+    carried = [c for c in docs.columns if c not in ("text", "n_tokens", "ids_sha256", "decoded_sha256")]
+    ids, decoded = unused(docs, "coded_ids"), unused(docs, "coded_back")
+    coded = encode(docs, model, ids=ids, decoded=decoded)
     return coded.select(
-        *carried,
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        *[F.col(f"`{c}`") for c in carried],
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col(decoded), 256).alias("decoded_sha256"),
     )
 
 
