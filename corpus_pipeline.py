@@ -61,15 +61,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, and every row without doc_id.
 
-    Each row is judged by its own text: further rows of a doc_id get ids past all others here.
+    Each row is judged by its own text: further rows of a doc_id get ids past all others here. Where ids are so
+    great that none are left, all rows get new ones in the same order.
     """
     rows = common.stash(_apart(docs).withColumn("_row", F.monotonically_increasing_id()), "rows")
     own = F.col("doc_id").cast("long")
     shared = rows.filter("doc_id IS NOT NULL").groupBy(own.alias("_shared")).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     shared = shared.filter("_n > 1").drop("_n")
-    top = rows.agg(F.max(own)).first()[0] or 0
-    first = F.col("_first").isNull() | (F.col("_row") == F.col("_first"))
-    rows = rows.join(shared, own == F.col("_shared"), "left").withColumn("_id", F.when(first, own).otherwise(F.lit(top) + 1 + F.col("_row")))
+    most = rows.agg(F.max(own), F.max("_row")).first()
+    top, last = most[0] or 0, most[1] or 0
+    again = F.col("_first").isNotNull() & (F.col("_row") != F.col("_first"))
+    rows = rows.join(shared, own == F.col("_shared"), "left")
+    if top + 1 + last < 2**63:
+        rows = rows.withColumn("_id", F.when(again, F.lit(top) + 1 + F.col("_row")).otherwise(own))
+    else:
+        places = rows.filter("doc_id IS NOT NULL").select("_row", own.alias("_own"), again.alias("_again"))
+        places = places.repartitionByRange("_again", "_own", "_row").sortWithinPartitions("_again", "_own", "_row")
+        places = common.stash(places.select(F.col("_row").alias("_placed"), F.monotonically_increasing_id().alias("_id")), "places")
+        rows = rows.join(places, F.col("_row") == F.col("_placed"), "left").drop("_placed")
     judged = near_dedup.near_duplicates(rows.select(F.col("_id").alias("doc_id"), "text"))
     kept = judged.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
     return _as_documents(rows.join(kept, "_id", "left_semi").unionByName(rows.filter("doc_id IS NULL")), docs.columns)
