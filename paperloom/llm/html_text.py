@@ -475,11 +475,12 @@ def main_text(pages: DataFrame, group_bytes: int = GROUP_BYTES, max_runs: int =
     groups = F.ceil(F.sum(F.octet_length("html")) / F.lit(group_bytes)).cast("int")
     large = stash(pages.groupBy("host").agg(groups.alias("groups")).filter("groups > 1"), "hosts")
     dealt = pages.join(F.broadcast(large) if large.count() <= MAX_HOSTS else large, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1)))
-    parsed = dealt.select("host", "groups", "html").mapInArrow(_parse, "host string, salt int, groups int, page binary")
+    parse = lambda df: df.select("host", "groups", "html").mapInArrow(_parse, "host string, salt int, groups int, page binary")
+    parsed = parse(dealt)
     dealt_out = lambda df: df.repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("page").asc_nulls_first())
     named = F.lit(None).cast("array<long>")
     if not large.isEmpty():
-        names = dealt_out(parsed.filter("groups > 1").withColumn("named", named)).mapInArrow(_names, "host string, key long")
+        names = dealt_out(parse(dealt.filter("groups > 1")).withColumn("named", named)).mapInArrow(_names, "host string, key long")
         names = names.distinct().groupBy("host").agg(F.collect_list("key").alias("named")).join(large, "host")
         salt = F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt")
         names = stash(names.select("host", salt, "groups", F.lit(None).cast("binary").alias("page"), "named"), "named")
