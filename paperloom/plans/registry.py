@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import text as T
 from paperloom.model import BEGIN_LINE, END_LINE, LAYER, MIXED, SCANNED_PDF, TEXT_PDF, WS, ClassifyConfig, ExtractConfig
 from paperloom.operators import answers, chunk, classify, collection, convert, extract, stats
-from paperloom.sources import file_sink, page_source
+from paperloom.sources import artefact_source, file_sink, page_source
 from paperloom.storage import new_folder
 
 #: Rows of documents that make one document of pages.
@@ -151,6 +151,15 @@ def folder_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(T.base_name(F.col("doc")).alias("file"), "label", "reason")
 
 
+def artefact_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents joined to large artefacts, written as files and read back by ranges of bytes."""
+    pages = _paged(spark, sf_dir).select("doc", (F.col("page_idx") + 1).alias("page_no"), F.lit(LAYER).alias("mode"), F.coalesce("text", F.lit("")).alias("page_text"))
+    path = new_folder(spark, "artefact-files")
+    file_sink.write_artefact_files(extract.assemble(pages, CONFIG), path)
+    made = artefact_source.artefact_pages(spark, path, split_bytes=65536)
+    return made.select("source", "pos", "page_num", _sha(F.col("page_text")).alias("text_sha256"))
+
+
 def page_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _paged(spark, sf_dir).select("doc", (F.col("page_idx") + 1).alias("page_no"), "text", "doc_id")
     texts = pages.select("doc", "page_no", F.length("text").alias("n_chars"))
@@ -268,7 +277,7 @@ def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align, answers_ledger, page_scan, document_run, folder_classes,
+        pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align, answers_ledger, page_scan, artefact_ranges, document_run, folder_classes,
         figures_append, chunk_pages, chunk_whole_pages, chunk_conservation, embed_chunks, chunk_length_stats, inspect_collection, list_documents, inspect_totals,
         analyze_collection, delete_documents, json_path, basename, mask_secret, model_provider, normalize_ws, data_url, token_stream,
     )
@@ -368,6 +377,8 @@ SQL = {
       FROM (SELECT doc, mode, route, strlen(text) AS n, CASE route WHEN 'layer' THEN text ELSE {_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || text')} END AS t FROM ({_ROUTED_FIGURES}))""",
     "answers_ledger": f"SELECT doc_id, sha256({_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || coalesce(text, ' + chr(39) * 2 + ')')}) AS answer_sha256, true AS same FROM documents",
     "page_scan": f"SELECT file, row_number() OVER (PARTITION BY file ORDER BY page_no)::INT AS page_no, {_TRIM.format('replace(t, chr(13) || chr(10), chr(10))')} AS text FROM ({_FILES})",
+    "artefact_ranges": f"""
+      SELECT doc AS source, (row_number() OVER (PARTITION BY doc ORDER BY page_idx) - 1)::INT AS pos, page_idx + 1 AS page_num, sha256({_TRIM.format("replace(text, chr(13) || chr(10), chr(10))")}) AS text_sha256 FROM ({_PAGED})""",
     "document_run": f"""
       SELECT file, sha256({_HEADER.replace("name", "file")} || '{BEGIN_LINE}' || string_agg(rtrim({_TRIM.format("replace(t, chr(13) || chr(10), chr(10))")}, '{WS}') || chr(10) || chr(10) || '--- PAGE ' || k || ' ---' || chr(10) || chr(10), '' ORDER BY k)
         || '{END_LINE}' || 'TOTAL PAGES: ' || count(*) || chr(10)) AS value_sha256
