@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import text as T
 from paperloom.model import BEGIN_LINE, END_LINE, LAYER, MIXED, SCANNED_PDF, TEXT_PDF, WS, ClassifyConfig, ExtractConfig
-from paperloom.operators import answers, chunk, classify, collection, convert, extract, stats
+from paperloom.operators import answers, chunk, classify, collection, convert, extract, similarity, stats
 from paperloom.sources import artefact_source, file_sink, page_source
 from paperloom.storage import new_folder
 
 #: Rows of documents that make one document of pages.
-PER = 40
+PER, LARGE = 40, 400
 CONFIG = ExtractConfig(mode=LAYER)
 
 
@@ -25,10 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _paged(spark: SparkSession, sf_dir: str, per: int = PER) -> DataFrame:
     """documents as (doc, page_idx, text, doc_id); no shuffle."""
-    doc = F.format_string("set%d.pdf", F.floor(F.col("doc_id") / PER))
-    return _table(spark, sf_dir, "documents").select(doc.alias("doc"), (F.col("doc_id") % PER).alias("page_idx"), "text", "doc_id")
+    doc = F.format_string("set%d.pdf", F.floor(F.col("doc_id") / per))
+    return _table(spark, sf_dir, "documents").select(doc.alias("doc"), (F.col("doc_id") % per).alias("page_idx"), "text", "doc_id")
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +135,7 @@ READER = {"reader": "paperloom.sources.page_source:ArtefactReader", "pattern": "
 
 def page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations written as files, all or none, and their pages read by ranges."""
-    pages = page_source.scan(spark, _artefact_files(spark, sf_dir), task_bytes=4096, **READER)
+    pages = page_source.scan(spark, _artefact_files(spark, sf_dir), task_bytes=100_000, **READER)
     return pages.select(T.base_name(F.col("doc")).alias("file"), "page_no", "text")
 
 
@@ -153,10 +153,10 @@ def folder_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def artefact_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents joined to large artefacts, written as files and read back by ranges of bytes."""
-    pages = _paged(spark, sf_dir).select("doc", (F.col("page_idx") + 1).alias("page_no"), F.lit(LAYER).alias("mode"), F.coalesce("text", F.lit("")).alias("page_text"))
+    pages = _paged(spark, sf_dir, LARGE).select("doc", (F.col("page_idx") + 1).alias("page_no"), F.lit(LAYER).alias("mode"), F.coalesce("text", F.lit("")).alias("page_text"))
     path = new_folder(spark, "artefact-files")
     file_sink.write_artefact_files(extract.assemble(pages, CONFIG), path)
-    made = artefact_source.artefact_pages(spark, path, split_bytes=65536)
+    made = artefact_source.artefact_pages(spark, path, split_bytes=262_144)
     return made.select("source", "pos", "page_num", _sha(F.col("page_text")).alias("text_sha256"))
 
 
@@ -227,6 +227,27 @@ def analyze_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collection.analyze(_table(spark, sf_dir, "embeddings").select(vector.alias("embedding")), mode="actual")
 
 
+#: What similarity queries ask for: every 50th vector, its nearest, and lists looked into.
+NEAREST, PROBES = 10, 24
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> tuple[similarity.Index, DataFrame]:
+    vectors = _table(spark, sf_dir, "embeddings").filter("vec_id IS NOT NULL")
+    return similarity.build(vectors, "vec_id"), vectors.filter("vec_id % 50 = 0")
+
+
+def similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact nearest vectors of every query."""
+    index, asked = _asked(spark, sf_dir)
+    return similarity.search(index, asked, NEAREST, key="vec_id").select("query", "id", "rank")
+
+
+def similar_vectors_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by inverted lists."""
+    index, asked = _asked(spark, sf_dir)
+    return similarity.search(index, asked, NEAREST, PROBES, key="vec_id").select("query", "id", "rank")
+
+
 def delete_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = spark.createDataFrame([("src1",), ("src3",), ("absent",)], "document STRING")
     return collection.without_documents(_collection(spark, sf_dir), gone)
@@ -279,7 +300,7 @@ QUERIES = {
     for f in (
         pages_roundtrip, artifact_assembly, body_extract, source_infer, sample_pages, classify_documents, classify_report, page_route, extract_pages, extract_figures, page_align, answers_ledger, page_scan, artefact_ranges, document_run, folder_classes,
         figures_append, chunk_pages, chunk_whole_pages, chunk_conservation, embed_chunks, chunk_length_stats, inspect_collection, list_documents, inspect_totals,
-        analyze_collection, delete_documents, json_path, basename, mask_secret, model_provider, normalize_ws, data_url, token_stream,
+        analyze_collection, similar_vectors, similar_vectors_index, delete_documents, json_path, basename, mask_secret, model_provider, normalize_ws, data_url, token_stream,
     )
 }
 
@@ -378,7 +399,7 @@ SQL = {
     "answers_ledger": f"SELECT doc_id, sha256({_TRIM.format(chr(39) + '[vlm] ' + chr(39) + ' || coalesce(text, ' + chr(39) * 2 + ')')}) AS answer_sha256, true AS same FROM documents",
     "page_scan": f"SELECT file, row_number() OVER (PARTITION BY file ORDER BY page_no)::INT AS page_no, {_TRIM.format('replace(t, chr(13) || chr(10), chr(10))')} AS text FROM ({_FILES})",
     "artefact_ranges": f"""
-      SELECT doc AS source, (row_number() OVER (PARTITION BY doc ORDER BY page_idx) - 1)::INT AS pos, page_idx + 1 AS page_num, sha256({_TRIM.format("replace(text, chr(13) || chr(10), chr(10))")}) AS text_sha256 FROM ({_PAGED})""",
+      SELECT doc AS source, (row_number() OVER (PARTITION BY doc ORDER BY page_idx) - 1)::INT AS pos, page_idx + 1 AS page_num, sha256({_TRIM.format("replace(text, chr(13) || chr(10), chr(10))")}) AS text_sha256 FROM ({_PAGED.replace(str(PER), str(LARGE))})""",
     "document_run": f"""
       SELECT file, sha256({_HEADER.replace("name", "file")} || '{BEGIN_LINE}' || string_agg(rtrim({_TRIM.format("replace(t, chr(13) || chr(10), chr(10))")}, '{WS}') || chr(10) || chr(10) || '--- PAGE ' || k || ' ---' || chr(10) || chr(10), '' ORDER BY k)
         || '{END_LINE}' || 'TOTAL PAGES: ' || count(*) || chr(10)) AS value_sha256
@@ -422,6 +443,12 @@ SQL = {
       UNION ALL SELECT 'format', 'FLOAT32', count(*) FROM embeddings WHERE embedding IS NOT NULL HAVING count(*) > 0
       UNION ALL SELECT 'dimension', (CASE WHEN vec_id % 3 = 0 THEN least(32, len(embedding)) ELSE len(embedding) END)::VARCHAR AS d, count(*)
       FROM embeddings WHERE embedding IS NOT NULL GROUP BY d""",
+    "similar_vectors": f"""
+      WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL)
+      SELECT query, id, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query ORDER BY near DESC, id)::INT AS rank
+        FROM (SELECT a.vec_id AS query, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 9) AS near FROM v a, v b WHERE a.vec_id % 50 = 0))
+      WHERE rank <= {NEAREST}""",
     "delete_documents": f"""
       SELECT doc_id, '{{' || CASE WHEN source IS NULL THEN '' ELSE '"source":"' || source || '",' END || '"page_label":"' || lang || '","extraction":"ocr"}}' AS metadata
       FROM ({_COLLECTION}) WHERE source IS NULL OR source NOT IN ('src1', 'src3')""",
