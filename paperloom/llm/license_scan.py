@@ -7,8 +7,8 @@ sparse TF-IDF vectors; document frequencies count all such sentences of all
 files. A template that names a version also needs that version in the sentence.
 A file takes the licence of its best sentence: a named licence goes before a
 plain claim of all rights, and a licence before one that it extends. A file that
-is mostly licence text, or is named as one, is the licence file of its
-directory; a file without a licence of its own inherits that of its nearest
+is named as one, or is mostly licence text and has BODY words of it, is the
+licence file of its directory; a short header is not. A file without a licence of its own inherits that of its nearest
 ancestor directory that has one, by joins on directory paths.
 
 Equal sentences are scored once, however often they occur; vectors meet the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, stash, table
 
-MIN_COSINE = 0.6
+MIN_COSINE, BODY = 0.6, 60
 CUE = (
     r"(?i)\b(licen[cs]e[ds]?|copyright|rights reserved|spdx-license-identifier|permission is hereby granted|permission to use|"
     r"redistribution and use|redistributions in binary form|neither the name|public domain|creative commons|general public)\b"
@@ -70,6 +70,11 @@ NOTICES = (
     ("AGPL-3.0", _GPL.format("Affero General Public License", 3), "affero.*3"),
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3", "affero.*3"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0", "boost"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following", "organization"),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", "eclipse.*1"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "eclipse.*2"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain", "unencumbered"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0", "4"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0", "SA.*4"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0", "NC.*4"),
@@ -141,7 +146,7 @@ def scan_licenses(files: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("rank")).alias("r"), (-F.col("score")).alias("s"), "license")).alias("b"), F.sum("own").alias("own"), F.max("words").alias("words")
     )
     parent = F.regexp_replace("license_scan_path", "/?[^/]*$", "")
-    is_file = F.regexp_extract("license_scan_path", "[^/]*$", 0).rlike(LICENSE_FILE) | (F.col("own") * 2 >= F.col("words"))
+    is_file = F.regexp_extract("license_scan_path", "[^/]*$", 0).rlike(LICENSE_FILE) | ((F.col("own") * 2 >= F.col("words")) & (F.col("own") >= BODY))
     per_file = per_file.select(
         "license_scan_path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), F.when(is_file, "file").otherwise("header").alias("basis"), parent.alias("dir")
     )
@@ -222,7 +227,7 @@ agg AS (SELECT path, sum(own) AS own, max(words) AS words FROM held GROUP BY pat
 best AS (SELECT * FROM (SELECT path, license, score, row_number() OVER (PARTITION BY path ORDER BY rank DESC, score DESC, license) AS k FROM held) WHERE k = 1),
 per AS (
   SELECT path, license, score, regexp_replace(path, '/?[^/]*$', '') AS dir,
-    CASE WHEN regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_FILE}') OR own * 2 >= words THEN 'file' ELSE 'header' END AS basis
+    CASE WHEN regexp_matches(regexp_extract(path, '[^/]*$'), '{LICENSE_FILE}') OR (own * 2 >= words AND own >= {BODY}) THEN 'file' ELSE 'header' END AS basis
   FROM best JOIN agg USING (path)
 ),
 dirs AS (

@@ -61,7 +61,7 @@ def test_licenses(spark):
     assert got == {
         ("a/LICENSE", "MIT", "file", "a"), ("a/x.txt", "MIT", "inherited", "a"), ("a/b/c/y.txt", "MIT", "inherited", "a"), ("a/b/z.txt", "Apache-2.0", "header", None),
         ("a/b/c/d/COPYING", "CC-BY-NC-4.0", "file", "a/b/c/d"), ("a/b/c/d/e/w.txt", "CC-BY-NC-4.0", "inherited", "a/b/c/d"), ("q/v.txt", None, "none", None),
-        (None, "Proprietary", "inherited", ""), ("top.txt", "Proprietary", "file", ""),
+        (None, None, "none", None), ("top.txt", "Proprietary", "header", None),
     }
     assert license_scan.scan_licenses(df.limit(0)).count() == 0 and Row
 
@@ -80,6 +80,10 @@ def test_headers_and_licence_files(spark):
         "a7/COPYING": (bsd + third, "BSD-3-Clause"), "a8/LICENSE": (isc, "ISC"), "a9/x.rs": ("// SPDX-License-Identifier: MIT" + code, "MIT"),
         "b1/x.rs": ("// SPDX-License-Identifier: Apache-2.0" + code, "Apache-2.0"), "b2/x.c": ("/* SPDX-License-Identifier: GPL-2.0-only */" + code, "GPL-2.0"),
         "b3/x.c": ("-- SPDX-License-Identifier: LGPL-3.0" + code, "LGPL-3.0"), "b4/x.c": ("// (c) Some One. All rights reserved." + code, "Proprietary"), "b5/x.c": (code, None),
+        "c1/x.hpp": ("// Distributed under the Boost Software License, Version 1.0." + code, "BSL-1.0"), "c3/UNLICENSE": ("This is free and unencumbered software released into the public domain.\n", "Unlicense"),
+        "c2/x.java": ("/*\n * Copyright (c) 2020 Some One. All rights reserved.\n * This program and the accompanying materials are made available under the\n * terms of the Eclipse Public License v1.0 which accompanies this distribution.\n */" + code, "EPL-1.0"),
+        "c4/boost.txt": ("Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, distribute, execute,\nand transmit the Software, and to prepare derivative works of the Software,\nand to permit third-parties to whom the Software is furnished to do so, all\nsubject to the following:\n", "BSL-1.0"),
+        "c4/d/y.c": (code, "BSL-1.0"), "c5/a.c": ("// SPDX-License-Identifier: MIT\n", "MIT"), "c5/b.c": ("int x;\n", None), "c5/q/c.c": ("int y;\n", None),
         "b6/x.txt": ("word " * 300_000 + "\nReleased under the MIT License.\n" + "Released under the Apache License, Version 2.0.\n", "MIT"),
     }
     rows = [(p, t, "u", "v", "w") for p, (t, _) in want.items()]
