@@ -34,7 +34,7 @@ SHINGLE, PERCENT, MIN_FUZZY = 5, 75, 5
 #: 40 bands of 6 coordinates: a pair at 75 percent is missed once in 2,500 times, at 80 once in 180,000; unlike lines rarely meet.
 BANDS, ROWS = 40, 6
 _BLANK = " \t\n\v\f\r"
-_SLICE_CHARS = 1_000_000
+_SLICE_CHARS = 250_000
 #: More lines than a text can have.
 _PLACES = 2**31
 _A = np.uint64(0x9E3779B97F4A7C15)

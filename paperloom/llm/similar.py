@@ -9,10 +9,11 @@ Equal bands of a sketch put sets into a common bucket. Emitting all pairs of a
 bucket is never needed. Band keys travel packed, many to a row. Each member is
 first held against one of its bucket, its leader: a task's members against the
 task's first, and those against one of all. Buckets whose members are then still
-in more than one component are compared inside tasks, in blocks of bounded size,
-by sketches alone; texts follow for members that are alike to one of another
-component, their pairs are confirmed on full sets in the same task, and only
-links that join components leave it.
+in more than one component are compared inside tasks, in blocks of bounded size
+and bytes, by set sizes and sketches alone. Where few members are alike, their
+pairs are confirmed by joins; where many are, as in a family of texts just below
+the threshold, the texts of those members follow once, all their pairs are
+counted on full sets in the same task, and only links that join components leave it.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ from pyspark.sql import functions as F
 from .common import settled, stash
 from .graph import components
 
-#: Members of a bucket that one task holds against as many others.
-BLOCK = 512
+#: Members of a bucket that one task holds against as many others, and bytes of their texts (one longer text apart).
+BLOCK, BLOCK_BYTES = 512, 2_000_000
 #: Elements that are hashed at a time in the first rounds, and how many rounds those are.
 CACHED, FIRST = 100_000, 5
-#: Elements of sets that a task keeps at a time while it confirms the pairs of a block.
-HELD = 2_000_000
+#: Elements of sets that are counted against each other at a time.
+HELD = 500_000
 #: Coordinates that pairs are first held against, and bytes of texts confirmed at a time.
 MARKS, SLICE_BYTES = 64, 200_000
 #: Bits of a band key that tell the band.
@@ -118,17 +119,23 @@ def bytes_of(sketch: np.ndarray) -> np.ndarray:
     return (mix(sketch.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
 
 
+def sizes_allow(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can share percent or more of their union."""
+    return np.minimum(x, y) * 100 >= np.maximum(x, y) * percent
+
+
 def likely(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that may reach the threshold by MARKS coordinates of their sketches. near has (id, text, sig)."""
+    """The pairs (a, b) that may reach the threshold by their sizes and MARKS coordinates of their sketches. near has (id, n, sig)."""
     least = lowest(percent, MARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, MARKS) for c in ("sig_a", "sig_b"))
-            yield batch.select(["a", "b"]).filter(pa.array(estimate((x == y).mean(axis=1)) >= least))
+            fit = sizes_allow(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(fit & (estimate((x == y).mean(axis=1)) >= least)))
 
-    few = near.select("id", F.substring("sig", 1, MARKS).alias("sig"))
-    return _with_both(pairs, few, "sig").mapInArrow(run, "a long, b long")
+    few = near.select("id", "n", F.substring("sig", 1, MARKS).alias("sig"))
+    return _with_both(pairs, few, ["n", "sig"]).mapInArrow(run, "a long, b long")
 
 
 def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) -> DataFrame:
@@ -145,12 +152,19 @@ def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) ->
                 start = stop
             yield batch.select(["a", "b"]).filter(pa.array(np.concatenate([*keep, np.empty(0, bool)])))
 
-    return _with_both(pairs, near, "text").mapInArrow(run, "a long, b long")
+    return _with_both(pairs, near, ["text"]).mapInArrow(run, "a long, b long")
+
 
+def _with_both(pairs: DataFrame, given: DataFrame, columns: list[str]) -> DataFrame:
+    of = lambda side: given.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", *[f"{c}_{side}" for side in "ab" for c in columns])
 
-def _with_both(pairs: DataFrame, given: DataFrame, column: str) -> DataFrame:
-    of = lambda side: given.select(F.col("id").alias(side), F.col(column).alias(f"{column}_{side}"))
-    return pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", f"{column}_a", f"{column}_b")
+
+def distinct_sizes(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many different elements each of up to 4096 sets has: 12 bits of the set and 52 of the hash are sorted."""
+    u = np.sort(np.repeat(np.arange(len(size), dtype=np.uint64) << np.uint64(52), size) | mix(flat) >> np.uint64(12))
+    u = u[np.r_[True, u[1:] != u[:-1]][: len(u)]]
+    return np.bincount((u >> np.uint64(52)).astype(np.int64), minlength=len(size))
 
 
 def shared_enough(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
@@ -181,13 +195,23 @@ def lowest(percent: int, width: int) -> float:
     return percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / width) ** 0.5
 
 
-def reaches(mine: np.ndarray, other: np.ndarray, percent: int) -> bool:
-    """Whether two sets share percent or more of their union."""
-    small, large = sorted((len(mine), len(other)))
-    if small * 100 < large * percent:
-        return False
-    shared = len(np.intersect1d(mine, other, assume_unique=True))
-    return shared * 100 >= (small + large - shared) * percent
+def partners(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set on the left, its place and the places of those on the right that share percent or more of the union with it.
+
+    Sets are arrays of different elements, none empty. Elements are numbered; a left
+    set marks its own, and one pass over the right counts the marks of every set.
+    """
+    size = np.array([len(x) for x in (*left, *right)])
+    words, code = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    end = np.cumsum(size)
+    mark, split = np.zeros(len(words), bool), end[len(left) - 1]
+    others, start, sizes = code[split:], (end - size)[len(left) :] - split, size[len(left) :]
+    for k, n in enumerate(size[: len(left)].tolist()):
+        own = code[end[k] - n : end[k]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[others], start, dtype=np.int64)
+        mark[own] = False
+        yield k, np.flatnonzero(shared * 100 >= (n + sizes - shared) * percent)
 
 
 def _by_block(
@@ -235,29 +259,29 @@ def _equal(sig: np.ndarray, x: np.ndarray, y: np.ndarray, band: np.ndarray | int
     return estimate(values.mean(axis=1)), ~before.any(axis=1)
 
 
-def _pairs(block: pa.Table, least: float, rows: int) -> tuple[np.ndarray, ...]:
-    """Rows of a block that are alike by their sketches and of different components: left, right, the estimate."""
+def _pairs(block: pa.Table, least: float, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a block that are alike by their sizes and sketches and of different components: left, right."""
     sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), dtype=np.uint8).reshape(block.num_rows, -1)
-    side, comps = block.column("side").to_numpy(), block.column("comp").to_numpy()
+    side, comps, size = (block.column(c).to_numpy() for c in ("side", "comp", "n"))
     first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
     band = block.column("key")[0].as_py() & (2**BAND_BITS - 1)
     left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
-    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for k, i in enumerate(left.tolist()):
         others = right[k + 1 :] if first == second else right
-        others = others[comps[others] != comps[i]]
+        others = others[(comps[others] != comps[i]) & sizes_allow(size[others], size[i], percent)]
         about, mine = _equal(sig, np.full(len(others), i), others, band, rows)
-        others, about = others[mine & (about >= least)], about[mine & (about >= least)]
-        out.append((np.full(len(others), i), others, about))
+        others = others[mine & (about >= least)]
+        out.append((np.full(len(others), i), others))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
 #: Members of a block whose pairs are looked for together with those of other blocks, and pairs that a member of a larger one gives.
-SMALL, MOST = 32, 16
+SMALL, MOST = 32, 2
 _ALIKE = "key long, i int, j int, side int, id long, comp long, other long"
 
 
-def _alike(least: float, band_rows: int) -> Callable:
+def _alike(least: float, band_rows: int, percent: int) -> Callable:
     """Pairs (id, other) of members that are alike and of different components.
 
     A large block with more than MOST such pairs for each of its members gives those
@@ -270,7 +294,7 @@ def _alike(least: float, band_rows: int) -> Callable:
         return pa.RecordBatch.from_arrays([*none[:4], pa.array(ids[left]), none[5], pa.array(ids[right])], schema=kind)
 
     def found(block: pa.Table) -> pa.RecordBatch | None:
-        left, right, _ = _pairs(block, least, band_rows)
+        left, right = _pairs(block, least, band_rows, percent)
         if not len(left):
             return None
         if len(left) <= MOST * block.num_rows:
@@ -281,7 +305,7 @@ def _alike(least: float, band_rows: int) -> Callable:
     def together(rows: pa.Table) -> pa.RecordBatch | None:
         """Pairs of many small blocks: each row is held against the next ones of its block."""
         sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
-        ids, comps, key = (rows.column(c).to_numpy() for c in ("id", "comp", "key"))
+        ids, comps, key, size = (rows.column(c).to_numpy() for c in ("id", "comp", "key", "n"))
         left, right = [], []
         at = np.arange(len(key))
         for step in range(1, SMALL):
@@ -289,7 +313,7 @@ def _alike(least: float, band_rows: int) -> Callable:
             at = at[key[at] == key[at + step]]
             if not len(at):
                 break
-            x = at[comps[at] != comps[at + step]]
+            x = at[(comps[at] != comps[at + step]) & sizes_allow(size[at], size[at + step], percent)]
             about, mine = _equal(sig, x, x + step, key[x] & (2**BAND_BITS - 1), band_rows)
             x = x[mine & (about >= least)]
             left.append(x)
@@ -300,56 +324,60 @@ def _alike(least: float, band_rows: int) -> Callable:
     return lambda batches: _by_block(batches, found, together)
 
 
-def _linked(least: float, band_rows: int, hashes: Hashes, percent: int) -> Callable:
-    """Confirmed links between different components of a bucket block.
+def _linked(hashes: Hashes, percent: int) -> Callable:
+    """Confirmed links between different components of a block of members that are alike to many.
 
-    Pairs whose sketches are alike enough are confirmed on full sets, the
-    likeliest first; a pair that the links so far already join is passed over,
-    so a block gives fewer links than it has members.
+    All pairs of the block's two sides are counted on full sets; a pair that the links so far
+    already join gives none, so a block gives fewer links than it has members.
     """
 
+    def pieces(at: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        return np.split(at, np.flatnonzero(np.diff(np.cumsum(size[at]) // HELD)) + 1)
+
     def found(block: pa.Table) -> pa.RecordBatch | None:
-        left, right, equal = _pairs(block, least, band_rows)
-        order = np.argsort(-equal, kind="stable")
-        ids, texts = block.column("id").to_pylist(), block.column("text")
-        comps = np.unique(block.column("comp").to_numpy(), return_inverse=True)[1].tolist()
-        parent, sets, held, links = list(range(len(comps))), {}, 0, []
+        ids, comps, side = (block.column(c).to_numpy() for c in ("id", "comp", "side"))
+        sets = [np.unique(hashes([text.as_py()])[0]) for text in block.column("text")]
+        size = np.array([len(x) for x in sets])
+        comps = np.unique(comps, return_inverse=True)[1].tolist()
+        first, second = block.column("i")[0].as_py(), block.column("j")[0].as_py()
+        left, right = np.flatnonzero(side == first), np.flatnonzero(side == second)
+        parent, links = list(range(len(comps))), []
 
         def root(c: int) -> int:
             while parent[c] != c:
                 parent[c] = c = parent[parent[c]]
             return c
 
-        for i, j in zip(left[order].tolist(), right[order].tolist()):
-            a, b = root(comps[i]), root(comps[j])
-            if a == b:
-                continue
-            if held > HELD:
-                sets, held = {}, 0
-            for k in (i, j):
-                if k not in sets:
-                    sets[k] = np.unique(hashes([texts[k].as_py()])[0])
-                    held += len(sets[k])
-            if reaches(sets[i], sets[j], percent):
-                parent[max(a, b)] = min(a, b)
-                links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        for some in pieces(left, size) if len(left) and len(right) else []:
+            for others in pieces(right, size):
+                if first == second and others[-1] < some[0]:
+                    continue
+                for k, near in partners([sets[i] for i in some], [sets[j] for j in others], percent):
+                    i = int(some[k])
+                    for j in others[near].tolist():
+                        a, b = root(comps[i]), root(comps[j])
+                        if a != b:
+                            parent[max(a, b)] = min(a, b)
+                            links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"]) if links else None
 
     return lambda batches: _by_block(batches, found)
 
 
 def signatures(texts: DataFrame, hashes: Hashes, t: int, rows: int) -> DataFrame:
-    """(id, text, sig): sig has one byte of each of t coordinates, those that the bands are made of, and one of each band key."""
+    """(id, text, n, sig): n is the set's size; sig has one byte of each of t coordinates, those that the bands are made of, and one of each band key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                sketch = sketches(*hashes(batch.column(1).to_pylist()), t)
+                flat, size = hashes(batch.column(1).to_pylist())
+                sketch = sketches(flat, size, t)
                 sig = np.concatenate([bytes_of(sketch), (bands_of(sketch, rows) & 255).astype(np.uint8)], axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "text", "sig"])
+                made = [pa.array(distinct_sizes(flat, size)), pa.array([s.tobytes() for s in sig], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["id", "text", "n", "sig"])
 
-    return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, text binary, sig binary")
+    return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, text binary, n long, sig binary")
 
 
 #: Band entries that a task holds at a time, and entries meant for one bucket of band keys.
@@ -467,30 +495,33 @@ def _near_components(
     links = confirm(likely(pairs, near, percent), near, hashes, percent)
     links = stash(links if more is None else links.union(more), "links")
     comp = stash(components(links), "components")
-    of = member.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-    sizes = of.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    largest = F.max(F.struct("n", "comp"))
-    open_ = sizes.groupBy("key").agg(F.sum("n").alias("m"), F.count("*").alias("comps"), largest.alias("most")).filter("comps > 1 AND m > 2")
-    rest = stash(of.join(open_.select("key", "m", F.col("most.n").alias("most_n"), F.col("most.comp").alias("most")), "key"), "open")
+    placed = near.select("id", F.length("text").alias("bytes")).join(comp, "id", "left")
+    of = member.select("key", "id").join(placed.select("id", "bytes", F.coalesce("comp", "id").alias("comp")), "id")
+    sizes = of.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
+    largest = F.max(F.struct("n", "comp", "b"))
+    open_ = sizes.groupBy("key").agg(F.sum("n").alias("m"), F.sum("b").alias("m_b"), F.count("*").alias("comps"), largest.alias("most"))
+    open_ = open_.filter("comps > 1 AND m > 2").select("key", "m", "m_b", F.col("most.n").alias("most_n"), F.col("most.b").alias("most_b"), F.col("most.comp").alias("most"))
+    rest = stash(of.drop("bytes").join(open_, "key"), "open")
     if rest.isEmpty():
         return comp
     least = lowest(percent, width * rows)
     # the members of the largest component, which need no holding against each other, take the first sides
-    own, whole, hashed = F.col("comp") == F.col("most"), F.col("m") <= BLOCK, F.xxhash64("id")
-    first, last = F.ceil(F.col("most_n") / BLOCK).cast("int"), F.ceil((F.col("m") - F.col("most_n")) / BLOCK).cast("int")
+    own, whole, hashed = F.col("comp") == F.col("most"), (F.col("m") <= BLOCK) & (F.col("m_b") <= BLOCK_BYTES), F.xxhash64("id")
+    count = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+    first, last = count(F.col("most_n"), F.col("most_b")), count(F.col("m") - F.col("most_n"), F.col("m_b") - F.col("most_b"))
     side = F.when(whole, 0).when(own, F.pmod(hashed, first)).otherwise(first + F.pmod(hashed, last)).cast("int")
     met = F.when(whole, F.array(F.lit(0))).otherwise(F.sequence(F.when(own, first).otherwise(0), first + last - 1))
     sides = (
         rest.select("key", "id", "comp", side.alias("side"), F.explode(met).alias("other"))
         .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "comp")
     )
-    alike = stash(_in_blocks(sides.join(near.select("id", "sig"), "id"), _alike(least, rows), _ALIKE), "alike")
+    alike = stash(_in_blocks(sides.join(near.select("id", "n", "sig"), "id"), _alike(least, rows, percent), _ALIKE), "alike")
     pairs = alike.filter("other IS NOT NULL").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     more = confirm(pairs, near, hashes, percent)
-    # texts of a block follow only for members that are alike to one of another component
+    # texts of a block follow only for members that are alike to many of other components
     dense = alike.filter("other IS NULL").drop("other")
     if not dense.isEmpty():
-        more = more.union(_in_blocks(dense.join(near, "id"), _linked(least, rows, hashes, percent), "a long, b long"))
+        more = more.union(_in_blocks(dense.join(near.select("id", "text"), "id"), _linked(hashes, percent), "a long, b long"))
     more = stash(more.distinct(), "links")
     return comp if more.isEmpty() else components(links.union(more))
 

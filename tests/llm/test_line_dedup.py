@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paperloom.llm import graph, line_dedup, similar
 
 
-def brute(rows, size=12, least=24):
+def brute(rows, size=5, least=5):
     """doc_id -> places to drop, from all pairs of lines."""
     lines = {}
     for doc_id, text in rows:
@@ -49,6 +49,8 @@ def test_against_brute_force(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     got = {r.doc_id: r.dropped for r in line_dedup.duplicate_lines(df).filter(F.size("dropped") > 0).collect()}
     assert got == brute(data)
+    longer = line_dedup.duplicate_lines(df, shingle=12, least=24).filter(F.size("dropped") > 0).collect()
+    assert {r.doc_id: r.dropped for r in longer} == brute(data, 12, 24)
 
 
 def test_texts(spark):

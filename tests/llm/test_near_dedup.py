@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from paperloom.llm import graph, near_dedup, similar
@@ -119,3 +120,39 @@ def test_open_bucket_of_many(spark):
     rows += [(2000 + i, edited(rng, rows[i][1].split(), 5)) for i in range(0, 1300, 13)]
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[i] == i for i in range(1300)) and all(got[2000 + i] == i for i in range(0, 1300, 13))
+
+
+def test_sizes_and_partners_against_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(60)]
+    repeats = [np.r_[x, x[: len(x) // 2]] for x in sets]
+    assert similar.distinct_sizes(np.concatenate(repeats), np.array(list(map(len, repeats)))).tolist() == [len(x) for x in sets]
+    got = {k: near.tolist() for k, near in similar.partners(sets[:25], sets[25:], 50)}
+    each = [set(x.tolist()) for x in sets]
+    alike = lambda x, y: 100 * len(x & y) >= 50 * len(x | y)
+    assert got == {i: [j for j in range(35) if alike(each[i], each[25 + j])] for i in range(25)} and any(got.values())
+    sizes = np.array([len(x) for x in sets])
+    assert all(similar.sizes_allow(sizes[i], sizes[i + 1], 50) for i in range(59) if alike(each[i], each[i + 1]))
+
+
+@pytest.mark.parametrize("held", [1, 500, 10**6])
+@pytest.mark.parametrize("sides", [(0, 0), (1, 4)])
+def test_dense_block_against_brute_force(monkeypatch, held, sides):
+    """All pairs of a block, in pieces of any size: the components of its links are those of all links."""
+    monkeypatch.setattr(similar, "HELD", held)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, edited(rng, base if i % 3 else base[:50], rng.choice([1, 2, 3, 6]))) for i in range(50)]
+    side = [rng.choice(sides) for _ in rows]
+    comp = [i if i % 7 else 0 for i, _ in rows]
+    block = pa.RecordBatch.from_pydict({
+        "key": [3] * 50, "i": pa.array([sides[0]] * 50, pa.int32()), "j": pa.array([sides[1]] * 50, pa.int32()), "side": pa.array(side, pa.int32()),
+        "id": [i for i, _ in rows], "comp": comp, "text": [t.encode() for _, t in rows],
+    })
+    links = [tuple(r.values()) for out in similar._linked(near_dedup.hashes, 75)(iter([block])) for r in out.to_pylist()]
+    words = [t.split() for _, t in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in words]
+    near = {(i, j) for i in range(50) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and {side[i], side[j]} == set(sides)}
+    assert near and {(max(x), min(x)) for x in links} <= near and len(links) < 50
+    known = [(i, comp[i]) for i in range(50)]
+    assert graph.union_find(known + links) == graph.union_find(known + list(near))
