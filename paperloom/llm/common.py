@@ -52,6 +52,28 @@ def broadcast_if(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: Bitmaps of 4 KB, one for 32,768 ids, that a task may hold: 64 MB.
+MOST_BITMAPS = 16_384
+
+
+def among(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of df whose id (long) is in ids, a table with repeats allowed.
+
+    Ids travel to the tasks as one bit for each id of a range that holds any, so
+    that df, which may carry whole texts, is not shuffled. Where ranges are more
+    than MOST_BITMAPS the two are joined on id instead.
+    """
+    columns, bucket, bits = [F.col(f"`{c}`") for c in df.columns], unused(df, "ids_of"), unused(df, "ids_bits")
+    place = F.bitmap_bit_position("id")
+    dealt = ids.select("id").repartition(F.bitmap_bucket_number("id"))
+    maps = stash(dealt.groupBy(F.bitmap_bucket_number("id").alias(bucket)).agg(F.bitmap_construct_agg(place).alias(bits)), "ids")
+    if maps.count() > MOST_BITMAPS:
+        return df.join(ids.select("id").distinct(), "id", "left_semi").select(*columns)
+    byte = F.conv(F.hex(F.substr(bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    met = df.join(F.broadcast(maps), F.bitmap_bucket_number("id") == F.col(bucket))
+    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*columns)
+
+
 def setting(spark: SparkSession, key: str) -> str | None:
     return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
 

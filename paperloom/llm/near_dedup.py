@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import among, stash, table
 from .similar import bands_of, mix, near_components, sketches
 
 SHINGLE, PERCENT = 5, 75
@@ -96,7 +96,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = made.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key", "row")
     # a class is known by the least of its rows
     classes = stash(linked.groupBy("set_key").agg(F.min("row").alias("id"), F.min("doc_id").alias("first")), "classes")
-    nodes = stash(made.withColumnRenamed("row", "id").join(classes.select("id"), "id", "left_semi").select("id", "bands"), "nodes")
+    nodes = stash(among(made.select(F.col("row").alias("id"), "bands"), classes), "nodes")
     # rows of one doc_id are one document, so their classes belong together
     several = linked.groupBy("doc_id").agg(F.min("set_key").alias("set_key"), F.max("set_key").alias("other")).filter("set_key != other")
     several = linked.join(several.select("doc_id", F.col("set_key").alias("one")), "doc_id").select("one", "set_key").distinct()

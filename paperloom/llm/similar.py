@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled, stash
+from .common import among, settled, stash
 from .graph import components
 
 #: Members of a bucket that one task holds against as many others, and bytes of their texts (one longer text apart).
@@ -139,7 +139,7 @@ def likely(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets share percent or more of their union."""
+    """The pairs (a, b), a stored table, whose full sets share percent or more of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +152,9 @@ def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) ->
                 start = stop
             yield batch.select(["a", "b"]).filter(pa.array(np.concatenate([*keep, np.empty(0, bool)])))
 
-    return _with_both(pairs, near, ["text"]).mapInArrow(run, "a long, b long")
+    # only texts of pairs are moved
+    texts = among(near.select("id", "text"), pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    return _with_both(pairs, texts, ["text"]).mapInArrow(run, "a long, b long")
 
 
 def _with_both(pairs: DataFrame, given: DataFrame, columns: list[str]) -> DataFrame:
@@ -490,12 +492,13 @@ def _near_components(
     buckets = min(2**20, 1 << max(4, (nodes.count() * width // PER_BUCKET).bit_length()))
     dealt = nodes.mapInArrow(_dealt(read, buckets), "bucket int, base long, keys binary, places binary, members binary")
     member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets", tidy=True)
-    near = stash(signatures(texts.join(member.select("id").distinct(), "id", "left_semi"), hashes, width * rows, rows), "candidates", tidy=True)
+    near = signatures(among(texts, member), hashes, width * rows, rows).withColumn("bytes", F.length("text"))
+    near = stash(near, "candidates", tidy=True)
     pairs = member.filter("against IS NOT NULL").select(F.least("id", "against").alias("a"), F.greatest("id", "against").alias("b")).distinct()
-    links = confirm(likely(pairs, near, percent), near, hashes, percent)
+    links = confirm(stash(likely(pairs, near, percent), "likely"), near, hashes, percent)
     links = stash(links if more is None else links.union(more), "links")
     comp = stash(components(links), "components")
-    placed = near.select("id", F.length("text").alias("bytes")).join(comp, "id", "left")
+    placed = near.select("id", "bytes").join(comp, "id", "left")
     of = member.select("key", "id").join(placed.select("id", "bytes", F.coalesce("comp", "id").alias("comp")), "id")
     sizes = of.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
     largest = F.max(F.struct("n", "comp", "b"))
@@ -517,11 +520,11 @@ def _near_components(
     )
     alike = stash(_in_blocks(sides.join(near.select("id", "n", "sig"), "id"), _alike(least, rows, percent), _ALIKE), "alike")
     pairs = alike.filter("other IS NOT NULL").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    more = confirm(pairs, near, hashes, percent)
+    more = confirm(stash(pairs, "pairs"), near, hashes, percent)
     # texts of a block follow only for members that are alike to many of other components
     dense = alike.filter("other IS NULL").drop("other")
     if not dense.isEmpty():
-        more = more.union(_in_blocks(dense.join(near.select("id", "text"), "id"), _linked(hashes, percent), "a long, b long"))
+        more = more.union(_in_blocks(dense.join(among(near.select("id", "text"), dense), "id"), _linked(hashes, percent), "a long, b long"))
     more = stash(more.distinct(), "links")
     return comp if more.isEmpty() else components(links.union(more))
 
