@@ -32,6 +32,8 @@ PARTS = "doc STRING, kind STRING, at LONG, word LONG, fin LONG, number LONG, tex
 _KIND = pa.schema({"doc": pa.string(), "kind": pa.string(), "at": pa.int64(), "word": pa.int64(), "fin": pa.int64(), "number": pa.int64(), "text": pa.string()})
 TEXT, FOOT, BEGIN, END, HEAD = "text", "foot", "begin", "end", "head"
 HEAD_LINES, STEP = 50, 65536
+#: Bytes of ranges that one task reads one after the other, and tasks for each core where there are fewer bytes.
+TASK_BYTES, PER_CORE = 32_000_000, 2
 _MARKS = {k: re.compile(p, re.IGNORECASE | re.MULTILINE) for k, p in ((FOOT, FOOTER_LINE), (BEGIN, BEGIN_MARK), (END, END_MARK))}
 _WORD = {FOOT: re.compile("---"), BEGIN: re.compile("BEGIN", re.IGNORECASE), END: re.compile("END", re.IGNORECASE)}
 #: A line that may be part of a mark.
@@ -48,7 +50,7 @@ class Ranges(InputPartition):
 
 
 class ArtefactParts(DataSource):
-    """Options: path, pattern, split_bytes."""
+    """Options: path, pattern, split_bytes; tasks, the number to deal ranges out to, of TASK_BYTES at most. Without it each range is a task."""
 
     @classmethod
     def name(cls) -> str:
@@ -64,24 +66,29 @@ class ArtefactParts(DataSource):
 class PartScan(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.pattern, self.split = options["path"], options.get("pattern", "*.txt"), int(options.get("split_bytes", 32_000_000))
+        self.tasks = int(options.get("tasks", 0))
 
     def partitions(self) -> list[Ranges]:
         from pyarrow.fs import FileSelector, FileSystem, FileType
 
         system, root = FileSystem.from_uri(self.path)
-        out, small, held = [], [], 0
+        ranges = []
         for info in sorted(system.get_file_info(FileSelector(root)), key=lambda i: i.path):
-            if info.type != FileType.File or not fnmatch.fnmatchcase(info.base_name, self.pattern):
-                continue
-            if info.size > self.split:
-                out += [Ranges([(info.path, a, min(info.size, a + self.split))]) for a in range(0, info.size, self.split)]
-                continue
-            if small and held + info.size > self.split:
-                out.append(Ranges(small))
-                small, held = [], 0
-            small.append((info.path, 0, info.size))
-            held += info.size
-        return out + [Ranges(small)]
+            if info.type == FileType.File and fnmatch.fnmatchcase(info.base_name, self.pattern):
+                # a file without bytes has a head
+                ranges += [(info.path, a, min(info.size, a + self.split)) for a in range(0, max(info.size, 1), self.split)]
+        # a range bounds what is held at once; a task costs too much for one small range
+        share = self.split
+        if self.tasks:
+            share = max(share, min(TASK_BYTES, -(-sum(b - a for _, a, b in ranges) // self.tasks)))
+        out, own, held = [], [], 0
+        for one in ranges:
+            if own and held + one[2] - one[1] > share:
+                out.append(Ranges(own))
+                own, held = [], 0
+            own.append(one)
+            held += one[2] - one[1]
+        return out + [Ranges(own)]
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem
@@ -142,6 +149,15 @@ def _plain_after(source, at: int) -> int:
     return at if held and _plain(held) else at + len(held)
 
 
+def _places(text: str, characters: set[int], first: int) -> dict[int, int]:
+    """Where characters of a text stand in bytes, if it begins at first; each byte is counted once, however many there are."""
+    places, done, at = {}, 0, first
+    for k in sorted(characters):
+        at += len(text[done:k].encode("utf-8", "surrogateescape"))
+        places[k], done = at, k
+    return places
+
+
 def parts(source, low: int, high: int) -> Iterator[tuple]:
     """(kind, at, word, fin, number, text) of the lines that begin in [low, high), in bytes of the file."""
     start, stop = _line_start(source, low), _line_start(source, high)
@@ -159,13 +175,12 @@ def parts(source, low: int, high: int) -> Iterator[tuple]:
     source.seek(first)
     data = source.read(last - first)
     text = data.decode("utf-8", "surrogateescape")
-    # bytes before each character, only where a mark is
-    place = lambda k: first + len(text[:k].encode("utf-8", "surrogateescape"))
-    found = []
+    marks = []
     for kind, pattern in _MARKS.items():
         for m in pattern.finditer(text):
-            word = _WORD[kind].search(text, m.start()).start()
-            found.append((place(m.start()), place(m.end()), place(word), kind, m[1] if kind == FOOT else None))
+            marks.append((m.start(), m.end(), _WORD[kind].search(text, m.start()).start(), kind, m[1] if kind == FOOT else None))
+    place = _places(text, {k for m in marks for k in m[:3]}, first)
+    found = [(place[a], place[b], place[w], kind, number) for a, b, w, kind, number in marks]
     found.sort(key=lambda x: (x[0], x[3] != FOOT))
     done = start
     piece = lambda a, b: data[a - first : b - first].decode("utf-8", "replace")
@@ -185,7 +200,8 @@ def parts(source, low: int, high: int) -> Iterator[tuple]:
 def artefact_pages(spark: SparkSession, path: str, source_name: str | None = None, **options: str | int) -> DataFrame:
     """(source, pos, page_num, page_text) of the artefacts below path, as chunk.parse_pages gives of their whole texts."""
     spark.dataSource.register(ArtefactParts)
-    every = stored(spark.read.format("artefact_parts").options(path=path, **options).load(), "parts")
+    tasks = {"tasks": PER_CORE * spark.sparkContext.defaultParallelism} | options
+    every = stored(spark.read.format("artefact_parts").options(path=path, **tasks).load(), "parts")
     head = every.filter(F.col("kind") == HEAD)
     named = F.coalesce(F.nullif(F.lit(source_name), F.lit("")), source_of_artefact(F.col("text")), file_name(F.col("doc")))
     sources = head.select("doc", named.alias("source"))

@@ -37,3 +37,28 @@ def test_a_large_artefact_is_many_tasks(spark, tmp_path):
     raw = spark.read.format("artefact_parts").options(path=path, split_bytes=5000).load()
     assert raw.rdd.getNumPartitions() > 15 and raw.filter("kind = 'foot'").count() == 80
     assert rows(artefact_source.artefact_pages(spark, path, split_bytes=5000)) == rows(chunk.parse_pages(pages.read_artefacts(spark, path)))
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """By a task for each range, 6 GB in ranges of 256 kB were 23,000 tasks and files of parts."""
+    path = written(tmp_path, ["SOURCE PDF: q.pdf\n" + "some words\n--- PAGE 1 ---\n" * 200] * 6 + [""])
+    scan = artefact_source.PartScan({"path": path, "split_bytes": "1000", "tasks": "4"})
+    tasks, alone = scan.partitions(), artefact_source.PartScan({"path": path, "split_bytes": "1000"}).partitions()
+    ranges = [r for t in tasks for r in t.files]
+    assert len(tasks) <= 5 and ranges == [r for t in alone for r in t.files] and len(alone) > 30
+    assert max(b - a for _, a, b in ranges) <= 1000 and len({path for path, _, _ in ranges}) == 7
+
+
+def test_places_count_each_byte_once():
+    class Text(str):
+        taken = 0
+
+        def __getitem__(self, k):
+            piece = str.__getitem__(self, k)
+            Text.taken += len(piece)
+            return piece
+
+    text = Text("aé\udcff€" * 500)
+    marks = set(range(0, 2001, 3))
+    want = {k: 7 + len(str(text)[:k].encode("utf-8", "surrogateescape")) for k in marks}
+    assert artefact_source._places(text, marks, 7) == want and Text.taken <= 2000
