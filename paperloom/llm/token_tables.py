@@ -33,11 +33,14 @@ import struct
 import uuid
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow.fs import FileSystem
@@ -53,20 +56,13 @@ MAGIC = b"PLSST001"
 BLANK = "Ġ"
 _FOOTER = struct.Struct("<QQQQQQBB6x8s")
 BLOCK_BYTES, BLOOM_BITS, BLOOM_HASHES = 256 * 1024, 10, 7
-CACHE_CHUNKS, JOINED, SLICE_CHARS = 150_000, 1000, 2_000_000
+CACHE_CHUNKS, JOINED, SLICE_CHARS = 400_000, 300, 2_000_000
 
 
-class _Places(dict):
-    """Chunk to place; a new chunk gets the next place and is noted."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        place = self[chunk] = len(self)
-        self.new.append(chunk)
-        return place
+def _places(chunks: Iterable[str]) -> dict[str, int]:
+    """Chunk to place, in order of the places; a chunk that is looked up and new gets the next place."""
+    held = {c: k for k, c in enumerate(chunks)}
+    return defaultdict(count(len(held)).__next__, held)
 
 
 class Tokens:
@@ -82,30 +78,27 @@ class Tokens:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.width = 2 if self.library.get_vocab_size() <= 65536 else 4
-        self.places = _Places()
         # what stands after each text is a chunk too, under a name that none of a text can have
         self.end = [] if end is None else ["  "]
         self.flat, self.size = np.array([end] * len(self.end), np.uint32), np.ones(len(self.end), np.int64)
         self.odd, self.seen = np.zeros(len(self.end), bool), np.zeros(len(self.end), np.int64)
-        for name in self.end:
-            self.places[name]
-        self.places.new = []
+        self.places = _places(self.end)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of chunks that each start with their blank, in one array, and how many each has.
+        """The ids of chunks that each follow a blank, with that blank, in one array, and how many each has.
 
         Many chunks go to the library as one text; the ids of tokens that start with a blank part them again.
         """
-        texts = ("".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED))
+        texts = (" " + " ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED))
         ids = [np.array(self.whole([t])[0], np.uint32) for t in texts]
         flat = np.concatenate([np.empty(0, np.uint32), *ids])
         size = np.diff(np.r_[np.flatnonzero(self.opens[flat]), len(flat)])
         if len(size) == len(chunks):
             return flat, size
-        parted = self.whole(chunks)
+        parted = self.whole([" " + c for c in chunks])
         return np.concatenate([np.array(i, np.uint32) for i in parted]), np.array([len(i) for i in parted])
 
     def learn(self) -> None:
@@ -113,21 +106,23 @@ class Tokens:
 
         A text's first chunk has a line end and a blank before it; one that ends its text in white space, a blank after it.
         """
-        new, self.places.new = self.places.new, []
-        alone, joined, odd = [], [], np.zeros(len(new), bool)
-        for k, name in enumerate(new):
+        new = list(islice(self.places, len(self.size), None))
+        # most have no white space at their ends, and all of them together no special token
+        special = self.special if self.special and self.special.search(" ".join(new)) else None
+        plain = [c != "" and c.strip() == c and not (special and special.search(c)) for c in new]
+        alone, joined, odd = [], [k for k, p in enumerate(plain) if p], np.zeros(len(new), bool)
+        for k in [k for k, p in enumerate(plain) if not p]:
+            name = new[k]
             first, last = name.startswith("\n "), name.endswith(" ") and name != "\n "
             chunk = name[2 * first : len(name) - last]
-            if not chunk or (not first and chunk[0].isspace()) or (not last and chunk[-1].isspace()) or (self.special and self.special.search(chunk)):
+            if not chunk or (not first and chunk[0].isspace()) or (not last and chunk[-1].isspace()) or (special and special.search(chunk)):
                 odd[k] = True
-            elif first or last:
-                alone.append((k, chunk if first else " " + chunk))
             else:
-                joined.append((k, " " + chunk))
+                alone.append((k, chunk if first else " " + chunk))
         parted = self.whole([c for _, c in alone])
-        flat, of_joined = self.chunks([c for _, c in joined])
+        flat, of_joined = self.chunks([new[k] for k in joined])
         size, own = np.zeros(len(new), np.int64), np.zeros(len(new), bool)
-        size[[k for k, _ in alone]], size[[k for k, _ in joined]] = [len(i) for i in parted], of_joined
+        size[[k for k, _ in alone]], size[joined] = [len(i) for i in parted], of_joined
         own[[k for k, _ in alone]] = True
         both, of_alone = np.empty(int(size.sum()), np.uint32), np.repeat(own, size)
         both[of_alone] = np.concatenate([np.empty(0, np.uint32), *[np.array(i, np.uint32) for i in parted]])
@@ -143,28 +138,33 @@ class Tokens:
         size = self.size[keep]
         self.flat = self.flat[np.repeat(start[keep] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
         self.size, self.odd, self.seen = size, self.odd[keep], self.seen[keep] // 2
-        self.places = _Places()
-        for k in keep.tolist():
-            self.places[names[k]]
-        self.places.new = []
+        self.places = _places([names[k] for k in keep.tolist()])
+
+    def _at(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
 
     def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with its end, in one array, and where each begins; one place more than texts."""
         if len(self.places) > CACHE_CHUNKS:
             self.forget()
-        chunks: list[str] = []
-        ends = np.empty(len(texts), np.int64)
-        for k, text in enumerate(texts):
+        # words are told apart by Arrow; only different ones are looked up here
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words, cut = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
+        at = self._at(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        heads, tails, full = [], [], np.array([t != "" for t in texts], bool)
+        for text, low, high in zip(texts, cut[:-1].tolist(), cut[1:].tolist()):
             if text:
-                parts = text.split(" ")
-                parts[0] = "\n " + parts[0]
-                if text[-1].isspace():
-                    parts[-1] += " "
-                chunks += parts
-            chunks += self.end
-            ends[k] = len(chunks)
-        at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
-        if self.places.new:
+                blank = text[-1].isspace()
+                heads.append("\n " + (text if high == low + 1 else text[: text.index(" ")]) + " " * (blank and high == low + 1))
+                if blank and high > low + 1:
+                    tails.append((high - 1, text[text.rindex(" ") + 1 :] + " "))
+        at[cut[:-1][full]] = self._at(heads)
+        at[[k for k, _ in tails]] = self._at([t for _, t in tails])
+        # an empty text has no chunk
+        n = np.diff(cut) - ~full
+        at = np.insert(np.delete(at, cut[:-1][~full]), np.repeat(np.cumsum(n), len(self.end)), 0)
+        ends = np.cumsum(n + len(self.end))
+        if len(self.places) > len(self.size):
             self.learn()
         self.seen += np.bincount(at, minlength=len(self.seen))
         size, start = self.size[at], (np.cumsum(self.size) - self.size)[at]

@@ -57,3 +57,18 @@ def test_many_blocks(tmp_path):
     assert len(reader.blocks) > 5 and reader.n_docs == 4000
     assert [own.id_of(k) for k, _, _ in reader] == [i * 3 for i in range(4000)]
     assert all(len(reader.get(i * 3)[0]) == i % 300 for i in range(0, 4000, 17)) and reader.get(4) == []
+
+
+def test_chunks_are_learned_once_and_forgotten_ones_again(monkeypatch):
+    """150,000 held chunks were too few for a task's words: most were learned several times."""
+    path = own.tokenizer_path()
+    code, learned = own.Tokens(path, 2), []
+    chunks = code.chunks
+    monkeypatch.setattr(code, "chunks", lambda new: learned.extend(new) or chunks(new))
+    texts = [" ".join(f"w{k}x" for k in range(low, low + 10_000)) for low in range(0, 200_000, 10_000)]
+    first = [ids.tolist() for ids in code.encode(texts)]
+    assert [ids.tolist() for t in texts for ids in code.encode([t])] == first and len(learned) == len(set(learned))
+    monkeypatch.setattr(own, "CACHE_CHUNKS", 20)
+    code = own.Tokens(path, 2)
+    odd = ["", " ", "a", "a ", "\n a", "a\n b", "x </s> y", "a\x85 b", "é  ü", " ".join(f"v{k}" for k in range(60)), "a b c", "<|endoftext|> a b"] * 3
+    assert [ids.tolist() for t in odd for ids in code.encode([t])] == [[*ids, 2] for ids in code.whole(odd)]
