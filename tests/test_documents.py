@@ -1,5 +1,7 @@
 """Classification, extraction, chunks and artefacts."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -319,3 +321,21 @@ def test_page_sampling_leaves_texts_in_place(spark):
     df = spark.createDataFrame([("d", i, "x" * 100) for i in range(30)], "doc string, page_idx int, text string")
     plan = classify.sample_pages(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and not [x for x in plan.splitlines() if "hashpartitioning" in x and "text" in x]
+
+
+def test_images_that_nobody_reads_are_not_joined(spark, tmp_path):
+    """Answers were joined with the images of their pages, which then all went through the shuffle."""
+    rows = [(i, f"image {i % 30}".encode()) for i in range(90)]
+    path = f"file://{tmp_path}/pages"
+    spark.createDataFrame(rows, "n INT, image BINARY").write.parquet(path)
+    frame, ledger = spark.read.parquet(path), f"file://{tmp_path}/ledger"
+    done = answers.answered(frame, lambda: lambda image, prompt: f"{prompt} {bytes(image).decode()}", "p", "m", ledger, "answer", run=7).select("n", "answer")
+    plan = done._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    left = plan[next(k for k, line in enumerate(plan) if "Join LeftOuter" in line) + 1]
+    assert "_asked_key" in left and not re.search(r"[\[,] ?image#\d+[,\]]", left)
+    assert {(r.n, r.answer) for r in done.collect()} == {(i, f"p image {i % 30}") for i in range(90)}
+    # what is asked later is read, though the folder was read before
+    more = spark.createDataFrame([(1, b"image 1"), (2, b"new")], "n INT, image BINARY")
+    both = done.join(answers.answered(more, lambda: lambda image, prompt: "later", "p", "m", ledger, "more").select("n", "more"), "n")
+    assert sorted(tuple(r) for r in both.collect()) == [(1, "p image 1", "p image 1"), (2, "p image 2", "later")]
+    assert spark.read.parquet(ledger).count() == 31
