@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import prompts
 from paperloom.functions import text as T
 from paperloom.model import AUTO, LAYER, VISION, ExtractConfig
-from paperloom.operators.answers import ModelFactory, answered
+from paperloom.operators.answers import ModelFactory, ask_missing, looked_up, question
 from paperloom.storage import new_folder, stored
 
 BLANK_ROUTE, LAYER_ROUTE, MODEL_ROUTE = "blank", "layer", "model"
@@ -158,9 +158,13 @@ def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory |
     pages = stored(pages, "routed", folder)
     prepare = (lambda image: prepared_image(image, cfg, imaging.open_image)) if imaging else None
 
-    def ask(frame: DataFrame, prompt: str, out: str) -> DataFrame:
-        return answered(frame, factory, prompt, cfg.model_id, f"{folder}/ledger", out, prepare)
+    ledger = f"{folder}/ledger"
 
+    def ask(frame: DataFrame, prompt: str) -> DataFrame:
+        return ask_missing(frame, factory, prompt, cfg.model_id, ledger, prepare)
+
+    if cfg.describe_figures and factory is not None:
+        pages = pages.withColumn("_figures_key", question(F.col("image"), prompts.figures_prompt(), cfg.model_id))
     blank = pages.filter(F.col("route") == BLANK_ROUTE).withColumn("page_text", F.lit(cfg.blank_placeholder))
     layer = pages.filter(F.col("route") == LAYER_ROUTE).withColumn("page_text", F.coalesce("text", F.lit("")))
     model = pages.filter(F.col("route") == MODEL_ROUTE)
@@ -170,14 +174,17 @@ def extract_pages(pages: DataFrame, cfg: ExtractConfig, factory: ModelFactory |
         else:
             model = model.withColumn("page_text", F.lit(""))
     else:
-        model = ask(model, prompts.text_prompt(cfg.extra_prompt), "page_text")
+        prompt = prompts.text_prompt(cfg.extra_prompt)
+        model = looked_up(model, ask(model, prompt), question(F.col("image"), prompt, cfg.model_id), ledger, "page_text")
     filled = layer.unionByName(model)
     if cfg.describe_figures:
         if factory is None:
             raise ValueError("figures need a model")
-        filled = ask(filled, prompts.figures_prompt(), "_figures")
+        # images are asked from the stored pages, and only texts are joined
+        asked = ask(pages.filter(F.col("route") != BLANK_ROUTE), prompts.figures_prompt())
+        filled = looked_up(filled, asked, F.col("_figures_key"), ledger, "_figures")
         filled = filled.withColumn("page_text", T.with_figures(F.col("page_text"), F.col("_figures"))).drop("_figures")
-    return filled.unionByName(blank).select("doc", "page_no", "mode", "page_text")
+    return filled.select("doc", "page_no", "mode", "page_text").unionByName(blank.select("doc", "page_no", "mode", "page_text"))
 
 
 def assemble(texts: DataFrame, cfg: ExtractConfig, label: Column | None = None, keep: list[str] | None = None) -> DataFrame:
