@@ -129,13 +129,20 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
+def split_batches(batches: Iterator[pd.Series], size: int, overlap: int) -> Iterator[pd.Series]:
+    """The chunks of batches of texts, given out a slice at a time: a batch's chunks are never held together."""
+    for texts in batches:
+        for part in _slices(texts):
+            yield pd.Series(split_texts(part, size, overlap), dtype=object)
+
+
 def chunks(text: Column, size: int, overlap: int) -> Column:
     """Array of the chunks of a text column, stripped, without empty ones; a null text has none."""
     if overlap > size:
         raise ValueError("overlap is larger than the chunk size")
 
     @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return pd.Series(split_texts(texts.tolist(), size, overlap), index=texts.index)
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from split_batches(batches, size, overlap)
 
     return split(F.coalesce(text, F.lit("")))

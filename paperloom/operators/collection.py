@@ -36,6 +36,8 @@ EmbedderFactory = Callable[[], Callable[[list[str]], list[list[float]]]]
 NO_COMMENT = "(no table comment)"
 #: Partitions of a collection.
 BUCKETS = 64
+#: Texts that are embedded by one call.
+AT_ONCE = 1000
 
 
 def safe_name(name: str) -> str:
@@ -269,7 +271,9 @@ def embed(chunks: DataFrame, factory: EmbedderFactory, dimension: int | None = N
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for texts in batches:
-            yield pd.Series(model(texts.tolist()), index=texts.index)
+            # vectors of a whole batch, as lists, take several times the room of its texts
+            for k in range(0, len(texts), AT_ONCE):
+                yield pd.Series(model(texts.iloc[k : k + AT_ONCE].tolist()), dtype=object)
 
     tag = {"vector": True, "format": "FLOAT32"} | ({"dimension": dimension} if dimension else {})
     return chunks.select(

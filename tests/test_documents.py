@@ -339,3 +339,13 @@ def test_images_that_nobody_reads_are_not_joined(spark, tmp_path):
     both = done.join(answers.answered(more, lambda: lambda image, prompt: "later", "p", "m", ledger, "more").select("n", "more"), "n")
     assert sorted(tuple(r) for r in both.collect()) == [(1, "p image 1", "p image 1"), (2, "p image 2", "later")]
     assert spark.read.parquet(ledger).count() == 31
+
+
+def test_chunks_are_given_out_by_slices(monkeypatch):
+    """All chunks of a batch of 10,000 texts were held at once."""
+    import pandas as pd
+
+    monkeypatch.setattr(splitter, "SLICE", 1000)
+    texts = [f"text {i} of some words " * (i % 40) for i in range(200)]
+    made = list(splitter.split_batches(iter([pd.Series(texts[:150]), pd.Series(texts[150:]), pd.Series([], dtype=object)]), 50, 10))
+    assert len(made) > 50 and [c for m in made for c in m] == splitter.split_texts(texts, 50, 10)
