@@ -53,7 +53,6 @@ def components(links: DataFrame, max_rounds: int = 60, native: bool = False) ->
     """
     e = links.select("a", "b").filter(F.col("a") != F.col("b"))
     e = stash(e.distinct() if native else e.mapInArrow(_forest, e.schema), "forest")
-    state = None
     for _ in range(max_rounds):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -62,10 +61,11 @@ def components(links: DataFrame, max_rounds: int = 60, native: bool = False) ->
         met = e.join(least, "a")
         e = met.select("a", F.col("m").alias("b")).union(met.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")))
         e = stash(e.distinct(), "stars")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        # settled once every node points at one root: no root points on, no node at two
+        up, root = F.lit(1).alias("up"), F.lit(1).alias("root")
+        nodes = e.select("a", up, F.lit(0).alias("root")).union(e.select("b", F.lit(0), root).distinct())
+        if nodes.groupBy("a").agg(F.sum("up").alias("up"), F.max("root").alias("root")).filter("up + root > 1").isEmpty():
             break
-        state = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()

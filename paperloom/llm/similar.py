@@ -30,8 +30,8 @@ from .graph import components
 
 #: Members of a bucket that one task holds against as many others, and bytes of their texts (one longer text apart).
 BLOCK, BLOCK_BYTES = 512, 2_000_000
-#: Elements that are hashed at a time in the first rounds, and how many rounds those are.
-CACHED, FIRST = 100_000, 5
+#: Elements that are hashed at a time, how many the first rounds are, and the share of elements with which closed sets are carried on.
+CACHED, FIRST, STAY = 100_000, 5, 0.8
 #: Elements of sets that are counted against each other at a time.
 HELD = 500_000
 #: Coordinates that pairs are first held against, and bytes of texts confirmed at a time.
@@ -53,53 +53,72 @@ def mix(x: np.ndarray) -> np.ndarray:
 def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
     """One row of t 32-bit values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled.
 
-    Sets are taken some at a time for the first rounds, so that what is hashed stays in the
-    processor's cache; the few that then have an unfilled bin go through the other rounds together.
+    Sets are taken some at a time, so that what is hashed stays in the processor's cache; those
+    that have an unfilled bin after the first rounds go through the other rounds, again some at a time.
     """
     done, ends = np.full((len(size), t), _EMPTY), np.cumsum(size)
-    cut = np.r_[0, np.flatnonzero(np.diff(ends // CACHED)) + 1, len(size)].tolist()
-    for a, b in zip(cut, cut[1:]):
-        if b > a:
-            _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], done[a:b], 0, FIRST)
-    left = (done == _EMPTY).any(axis=1) & (size > 0)
+    for a, b in _some(size):
+        _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], done[a:b], 0, FIRST)
+    left = (done.max(axis=1) == _EMPTY) & (size > 0)
     if left.any():
-        rest = done[left]
-        _rounds(mix(flat[np.repeat(left, size)]), size[left], rest, FIRST, 2 * t)
+        flat, size, rest = flat[np.repeat(left, size)], size[left], done[left]
+        ends = np.cumsum(size)
+        for a, b in _some(size):
+            _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], rest[a:b], FIRST, 2 * t)
         done[left] = rest
     return done
 
 
+def _some(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of sets of about CACHED elements."""
+    cut = np.r_[0, np.flatnonzero(np.diff(np.cumsum(size) // CACHED)) + 1, len(size)].tolist()
+    return ((a, b) for a, b in zip(cut, cut[1:]) if b > a)
+
+
 def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, last: int) -> None:
     """Rounds first to last over sets of mixed elements; done has a row of coordinates for each.
 
     Each half of an element is mixed already: its product with an odd number of the
-    round gives the bin, that of the other half the value.
+    round gives the bin, that of the other half the value. A round changes nothing in a set
+    that has no unfilled bin, so such sets leave only where that spares enough of the elements.
     """
     rows, t = done.shape
     halves = flat.view(np.uint32).reshape(-1, 2)
     x, y = halves[:, 0].copy(), halves[:, 1].copy()
-    # only sets with an unfilled bin are carried on; out has a row for each
+    # out has a row for each set that is carried on
     row, out, base = np.arange(rows), done, np.repeat(np.arange(rows, dtype=np.uint32) * np.uint32(t), size)
+    unfilled = out.reshape(-1) == _EMPTY
+    held, place = np.empty_like(x), np.empty(len(x), np.intp)
     for i in range(first, last):
         odd = np.array([(2 * i + 1) * 0x9E3779B1 % 2**32, (2 * i + 1) * 0x85EBCA6B % 2**32], np.uint32)
         if i < t:
-            place = (x * odd[0] >> np.uint32(16)) * np.uint32(t) >> np.uint32(16)
+            np.multiply(x, odd[0], out=held)
+            held >>= np.uint32(16)
+            held *= np.uint32(t)
+            held >>= np.uint32(16)
+            held += base
         else:
-            place = np.uint32(i - t)
-        place = (base + place).astype(np.intp)
-        bins = out.reshape(-1)
-        free = np.flatnonzero(bins[place] == _EMPTY)
-        np.minimum.at(bins, place[free], (y[free] ^ x[free]) * odd[1] if i >= t else y[free] * odd[1])
-        open_ = (out == _EMPTY).any(axis=1)
-        if open_.all():
+            np.add(base, np.uint32(i - t), out=held)
+        place[:] = held
+        if i:
+            free = np.flatnonzero(unfilled.take(place))
+            at, values = place[free], (y[free] ^ x[free]) * odd[1] if i >= t else y[free] * odd[1]
+        else:
+            at, values = place, y * odd[1]
+        np.minimum.at(out.reshape(-1), at, values)
+        unfilled[at] = False
+        open_ = unfilled.reshape(-1, t).any(axis=1)
+        left = int(size[open_].sum())
+        if left > STAY * len(x):
             continue
         if out is not done:
             done[row] = out
-        stay = np.repeat(open_, size)
-        if not stay.any():
+        if not left:
             return
+        stay = np.repeat(open_, size)
         x, y, row, out, size = x[stay], y[stay], row[open_], out[open_], size[open_]
         base = np.repeat(np.arange(len(size), dtype=np.uint32) * np.uint32(t), size)
+        unfilled, held, place = unfilled.reshape(-1, t)[open_].ravel(), held[: len(x)], place[: len(x)]
     if out is not done:
         done[row] = out
 
@@ -436,10 +455,11 @@ def _dealt(read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buck
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of the keys that two entries or more share, from rows sorted by bucket."""
+    """Members of the keys that two entries or more share, from rows sorted by bucket; a key of two members is one row without key."""
 
-    def emit(*columns: np.ndarray, against: np.ndarray | None = None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(against, pa.int64())], names=["key", "id", "against"])
+    def emit(key: np.ndarray, own: np.ndarray, against: np.ndarray | None = None, lone: np.ndarray | None = None) -> pa.RecordBatch:
+        columns = [pa.array(key, mask=lone), pa.array(own), pa.nulls(len(own), pa.int64()) if against is None else pa.array(against)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "id", "against"])
 
     def rows(bucket: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         word = np.concatenate([w for w, _ in held])
@@ -447,21 +467,23 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word, own = word[order], np.concatenate([i for _, i in held])[order]
         at = np.flatnonzero(np.r_[True, word[1:] >> 1 != word[:-1] >> 1])
         size = np.diff(np.r_[at, len(word)])
-        shared = (size > 1) | np.add.reduceat(word & 1, at).astype(bool)
+        marked = np.add.reduceat(word & 1, at).astype(bool)
+        two = (size == 2) & ~marked
+        shared = ((size > 1) | marked) & ~two
         key = (word >> 1).astype(np.int64) | bucket << 31
         if shared.any():
-            yield emit(key[at][shared], own[at][shared], against=np.full(shared.sum(), None))
+            yield emit(key[at][shared], own[at][shared])
         rest = np.ones(len(word), bool)
         rest[at] = False
         if rest.any():
-            yield emit(key[rest], own[rest], against=np.repeat(own[at], size)[rest])
+            yield emit(key[rest], own[rest], np.repeat(own[at], size)[rest], np.repeat(two, size)[rest])
 
     now, held = None, []
     for batch in batches:
         for bucket, base, keys, places, members in zip(*(c.to_pylist() for c in batch.columns)):
             if members is not None:
                 key, own, leader = np.frombuffer(members, np.int64).reshape(3, -1)
-                yield emit(key, own, against=leader)
+                yield emit(key, own, leader)
                 continue
             if bucket != now and held:
                 yield from rows(now, held)
@@ -492,14 +514,17 @@ def _near_components(
     buckets = min(2**20, 1 << max(4, (nodes.count() * width // PER_BUCKET).bit_length()))
     dealt = nodes.mapInArrow(_dealt(read, buckets), "bucket int, base long, keys binary, places binary, members binary")
     member = stash(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_met, _MEMBER), "buckets", tidy=True)
-    near = signatures(among(texts, member), hashes, width * rows, rows).withColumn("bytes", F.length("text"))
+    # every member is held against a leader, so the pairs name all that have a partner
+    pairs = member.filter("against IS NOT NULL").select(F.least("id", "against").alias("a"), F.greatest("id", "against").alias("b"))
+    pairs = stash(pairs.distinct(), "met")
+    near = signatures(among(texts, pairs.select(F.explode(F.array("a", "b")).alias("id"))), hashes, width * rows, rows).withColumn("bytes", F.length("text"))
     near = stash(near, "candidates", tidy=True)
-    pairs = member.filter("against IS NOT NULL").select(F.least("id", "against").alias("a"), F.greatest("id", "against").alias("b")).distinct()
     links = confirm(stash(likely(pairs, near, percent), "likely"), near, hashes, percent)
     links = stash(links if more is None else links.union(more), "links")
     comp = stash(components(links), "components")
     placed = near.select("id", "bytes").join(comp, "id", "left")
-    of = member.select("key", "id").join(placed.select("id", "bytes", F.coalesce("comp", "id").alias("comp")), "id")
+    # two that share a key with nobody else were held against each other
+    of = member.filter("key IS NOT NULL").select("key", "id").join(placed.select("id", "bytes", F.coalesce("comp", "id").alias("comp")), "id")
     sizes = of.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
     largest = F.max(F.struct("n", "comp", "b"))
     open_ = sizes.groupBy("key").agg(F.sum("n").alias("m"), F.sum("b").alias("m_b"), F.count("*").alias("comps"), largest.alias("most"))
@@ -526,7 +551,16 @@ def _near_components(
     if not dense.isEmpty():
         more = more.union(_in_blocks(dense.join(among(near.select("id", "text"), dense), "id"), _linked(hashes, percent), "a long, b long"))
     more = stash(more.distinct(), "links")
-    return comp if more.isEmpty() else components(links.union(more))
+    return comp if more.isEmpty() else _merged(comp, more)
+
+
+def _merged(comp: DataFrame, more: DataFrame) -> DataFrame:
+    """The components (id, comp) after further links (a, b): those are few, and only the components that they join are looked at."""
+    of = lambda side: comp.select(F.col("id").alias(side), F.col("comp").alias(f"of_{side}"))
+    ends = [F.coalesce(f"of_{side}", side).alias(side) for side in "ab"]
+    joined = stash(components(more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(*ends).distinct()), "joined")
+    now = joined.select(F.col("id").alias("comp"), F.col("comp").alias("now"))
+    return comp.join(now, "comp", "left").select("id", F.coalesce("now", "comp").alias("comp")).union(joined.join(comp, "id", "left_anti").select("id", "comp"))
 
 
 def _in_blocks(rows: DataFrame, run: Callable, schema: str) -> DataFrame:

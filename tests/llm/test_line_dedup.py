@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from paperloom.llm import graph, line_dedup, similar
@@ -112,3 +113,45 @@ def test_short_lines_against_brute_force(spark):
     df = spark.createDataFrame([(*r, 1, 2, 3) for r in data], "doc_id long, text string, n_lines int, place int, at int")
     got = {r.doc_id: r.dropped for r in line_dedup.dedup_lines(df.repartition(5)).filter(F.size("dropped") > 0).collect()}
     assert got == brute(data, 5, 5)
+
+
+def test_ids_near_and_far_apart(spark):
+    """Places are numbered by a long where ids lie close together, by a decimal elsewhere; the first line is kept either way."""
+    line = "one of many lines that stand in more than one document"
+    for ids in ([7, 8, 9], [-(2**63), 0, 2**63 - 1], [2**63 - 3, 2**63 - 2, 2**63 - 1], [-(2**63), 1 - 2**63, 2**32 - 1 - 2**63], [0, 1, 2**32]):
+        data = [(ids[2], f"{line}\n{line}!"), (ids[0], f"\n{line}\nb"), (ids[1], f"b\n \n{line}?")]
+        df = spark.createDataFrame(data, "doc_id long, text string")
+        assert {r.doc_id: r.dropped for r in line_dedup.duplicate_lines(df).collect()} == {ids[0]: [], ids[1]: [0, 2], ids[2]: [0, 1]}
+
+
+def test_place_numbers_are_longs_where_ids_allow(spark):
+    df = spark.createDataFrame([(2**40, "a"), (2**40 + 1, "b")], "doc_id long, text string")
+    at, doc_of, place_of = line_dedup._order(df)
+    made = df.select(at(F.col("doc_id"), F.lit(2**31 - 1)).alias("at"))
+    assert dict(made.dtypes)["at"] == "bigint"
+    assert sorted(map(tuple, made.select(doc_of(F.col("at")), place_of(F.col("at"))).collect())) == [(2**40, 2**31 - 1), (2**40 + 1, 2**31 - 1)]
+
+
+def test_documents_that_cross_batches():
+    """The rows of a document may end one batch, fill others and go on in further ones."""
+    pack = lambda *places: np.array(places, np.int32).tobytes()
+    rows = [(1, pack(0, 2), None), (1, None, 0), (2, None, 5), (2, pack(5, 6, 7), None), (2, pack(7, 9), None), (2, None, 9), (3, pack(), None), (4, pack(1), None), (4, None, 1)]
+    kind = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("kept", pa.int32())])
+    for step in (1, 2, 3, 4, 9):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + step]), kind)], schema=kind) for k in range(0, len(rows), step)]
+        out = [r for b in line_dedup._left_out(iter(batches)) for r in b.to_pylist()]
+        assert [tuple(r.values()) for r in out] == [(1, 2, [2]), (2, 4, [6, 7]), (4, 1, [])]
+
+
+def test_a_key_of_two_is_one_row():
+    """Two lines that alone share a key leave one row without key; more members leave one row each, with it."""
+    rng = np.random.default_rng(3)
+    bands = rng.integers(0, 2**62, (5, 1)).astype(np.int64)
+    bands[1], bands[3:] = bands[0], bands[2]
+    made = []
+    for k in range(5):
+        made += list(similar._dealt(lambda b: (b.column(0).to_numpy(), bands[b.column(0).to_numpy()]), 16)([pa.RecordBatch.from_arrays([pa.array([k])], names=["id"])]))
+    table = pa.Table.from_batches(made).sort_by("bucket")
+    out = [tuple(r.values()) for b in similar._met(iter(table.combine_chunks().to_batches())) for r in b.to_pylist()]
+    assert [(i, a) for k, i, a in out if k is None] == [(1, 0)]
+    assert sorted((i, a if a is not None else -1) for k, i, a in out if k is not None) == [(2, -1), (3, 2), (4, 2)]
