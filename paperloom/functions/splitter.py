@@ -10,16 +10,19 @@ chunk of every run of pieces in the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SEPARATORS = ("\n\n", "\n", " ", "")
 #: Characters of texts that are split at once.
 SLICE = 1_000_000
+#: Texts of an Arrow batch that become Python strings at a time.
+ROWS = 64
 
 
 def _found(codes: np.ndarray, separator: str) -> np.ndarray:
@@ -117,7 +120,7 @@ def split_texts(texts: list[str], size: int, overlap: int = 0) -> list[list[str]
     return out
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: Iterable[str]) -> Iterator[list[str]]:
     held, n = [], 0
     for text in texts:
         if held and n + len(text) > SLICE:
@@ -136,13 +139,20 @@ def split_batches(batches: Iterator[pd.Series], size: int, overlap: int) -> Iter
             yield pd.Series(split_texts(part, size, overlap), dtype=object)
 
 
+def split_arrays(batches: Iterator[pa.Array], size: int, overlap: int) -> Iterator[pa.Array]:
+    """As split_batches, but a batch's texts stay in Arrow's memory and become strings a slice at a time."""
+    for texts in batches:
+        for part in _slices(t for k in range(0, len(texts), ROWS) for t in texts.slice(k, ROWS).to_pylist()):
+            yield pa.array(split_texts(part, size, overlap), pa.list_(pa.string()))
+
+
 def chunks(text: Column, size: int, overlap: int) -> Column:
     """Array of the chunks of a text column, stripped, without empty ones; a null text has none."""
     if overlap > size:
         raise ValueError("overlap is larger than the chunk size")
 
-    @F.pandas_udf("array<string>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from split_batches(batches, size, overlap)
+    @F.arrow_udf("array<string>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from split_arrays(batches, size, overlap)
 
     return split(F.coalesce(text, F.lit("")))

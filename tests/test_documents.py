@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,3 +350,26 @@ def test_chunks_are_given_out_by_slices(monkeypatch):
     texts = [f"text {i} of some words " * (i % 40) for i in range(200)]
     made = list(splitter.split_batches(iter([pd.Series(texts[:150]), pd.Series(texts[150:]), pd.Series([], dtype=object)]), 50, 10))
     assert len(made) > 50 and [c for m in made for c in m] == splitter.split_texts(texts, 50, 10)
+
+
+def test_a_batch_of_texts_stays_in_arrow():
+    """Texts of a batch become strings some at a time, not all before the first chunks are given out."""
+    taken = []
+
+    class Batch:
+        def __init__(self, texts):
+            self.texts = texts
+
+        def __len__(self):
+            return len(self.texts)
+
+        def slice(self, start, n):
+            taken.append(n)
+            return pa.array(self.texts[start : start + n])
+
+    texts = [f"{k} " * 20_000 for k in range(1000)]
+    made = splitter.split_arrays(iter([Batch(texts)]), 1500, 0)
+    first = next(made)
+    assert sum(taken) < 200 and first.to_pylist()[0] == splitter.split_texts(texts[:1], 1500)[0]
+    few = ["a b\n\nc", "", "x" * 99]
+    assert [c for m in splitter.split_arrays(iter([pa.array(few), pa.array([], pa.string())]), 50, 10) for c in m.to_pylist()] == splitter.split_texts(few, 50, 10)
