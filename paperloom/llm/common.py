@@ -66,12 +66,16 @@ def among(df: DataFrame, ids: DataFrame) -> DataFrame:
     columns, bucket, bits = [F.col(f"`{c}`") for c in df.columns], unused(df, "ids_of"), unused(df, "ids_bits")
     place = F.bitmap_bit_position("id")
     dealt = ids.select("id").repartition(F.bitmap_bucket_number("id"))
-    maps = stash(dealt.groupBy(F.bitmap_bucket_number("id").alias(bucket)).agg(F.bitmap_construct_agg(place).alias(bits)), "ids")
+    maps = dealt.groupBy(F.bitmap_bucket_number("id").alias(bucket)).agg(F.bitmap_construct_agg(place).alias(bits))
+    # as 512 longs: a binary would be copied whole for each row that looks a bit up
+    eight = lambda i: F.conv(F.hex(F.substr(bits, i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    maps = stash(maps.select(bucket, F.transform(F.sequence(F.lit(0), F.lit(511)), eight).alias(bits)), "ids")
     if maps.count() > MOST_BITMAPS:
         return df.join(ids.select("id").distinct(), "id", "left_semi").select(*columns)
-    byte = F.conv(F.hex(F.substr(bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    # the first of eight bytes is a long's highest
+    byte, bit = F.shiftright(place, 3) % 8, place % 8
     met = df.join(F.broadcast(maps), F.bitmap_bucket_number("id") == F.col(bucket))
-    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*columns)
+    return met.filter(F.getbit(F.get(bits, F.shiftright(place, 6).cast("int")), (56 - 8 * byte + bit).cast("int")) == 1).select(*columns)
 
 
 def setting(spark: SparkSession, key: str) -> str | None:

@@ -1,9 +1,10 @@
 """Sets, fast similarity sketches and verified links, for texts and for lines.
 
-A sketch of t coordinates is filled in rounds: round i hashes every element to
-a bin and a value in [i, i + 1) and keeps the least value of each bin. Rounds
-end for a set once all its bins are filled; from round t on, bin i - t takes
-all elements, so 2 t rounds always suffice.
+A sketch of t coordinates is filled in rounds: a round hashes every element to
+a bin and a value, and each bin without a value from an earlier round keeps the
+least. A bin that no round has filled takes the least of all elements under a
+hash of its own. Which round fills a bin is decided by the union of two sets, so
+that a coordinate of both is equal as often as their similarity says.
 
 Equal bands of a sketch put sets into a common bucket. Emitting all pairs of a
 bucket is never needed. Band keys travel packed, many to a row. Each member is
@@ -18,10 +19,11 @@ counted on full sets in the same task, and only links that join components leave
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ from .graph import components
 
 #: Members of a bucket that one task holds against as many others, and bytes of their texts (one longer text apart).
 BLOCK, BLOCK_BYTES = 512, 2_000_000
-#: Elements that are hashed at a time, how many the first rounds are, and the share of elements with which closed sets are carried on.
-CACHED, FIRST, STAY = 100_000, 5, 0.8
+#: Elements that are hashed at a time, rounds, the share of elements with which closed sets are carried on, and elements of a table of sets.
+CACHED, ROUNDS, STAY, TABLE = 100_000, 8, 0.6, 250_000
 #: Elements of sets that are counted against each other at a time.
 HELD = 500_000
 #: Coordinates that pairs are first held against, and bytes of texts confirmed at a time.
@@ -51,22 +53,31 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(flat: np.ndarray, size: np.ndarray, t: int) -> np.ndarray:
-    """One row of t 32-bit values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled.
+    """One row of t 32-bit values per set; size[k] elements of flat belong to set k. Empty sets stay unfilled."""
+    return sketches_of([(flat, size)], t)
 
-    Sets are taken some at a time, so that what is hashed stays in the processor's cache; those
-    that have an unfilled bin after the first rounds go through the other rounds, again some at a time.
+
+def sketches_of(pieces: Iterable[tuple[np.ndarray, np.ndarray]], t: int) -> np.ndarray:
+    """sketches() of the sets of all pieces (flat, size), of which one is held at a time.
+
+    Sets go through the rounds some at a time, so that what is hashed stays in the processor's
+    cache. Of those that are left with an unfilled bin half of each element is kept for the last round.
     """
-    done, ends = np.full((len(size), t), _EMPTY), np.cumsum(size)
-    for a, b in _some(size):
-        _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], done[a:b], 0, FIRST)
-    left = (done.max(axis=1) == _EMPTY) & (size > 0)
-    if left.any():
-        flat, size, rest = flat[np.repeat(left, size)], size[left], done[left]
+    done, values, left, n = [np.empty((0, t), np.uint32)], [np.empty(0, np.uint32)], [np.empty((2, 0), np.int64)], 0
+    for flat, size in pieces:
         ends = np.cumsum(size)
         for a, b in _some(size):
-            _rounds(mix(flat[ends[a] - size[a] : ends[b - 1]]), size[a:b], rest[a:b], FIRST, 2 * t)
-        done[left] = rest
-    return done
+            mixed = mix(flat[ends[a] - size[a] : ends[b - 1]])
+            own = np.full((b - a, t), _EMPTY)
+            _rounds(mixed, size[a:b], own)
+            open_ = (own == _EMPTY).any(axis=1)
+            values.append(mixed.view(np.uint32)[1::2][np.repeat(open_, size[a:b])])
+            left.append(np.stack([n + np.flatnonzero(open_), size[a:b][open_]]))
+            done.append(own)
+            n += b - a
+    out = np.concatenate(done)
+    _fill(np.concatenate(values), *np.concatenate(left, axis=1), out)
+    return out
 
 
 def _some(size: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -75,8 +86,8 @@ def _some(size: np.ndarray) -> Iterator[tuple[int, int]]:
     return ((a, b) for a, b in zip(cut, cut[1:]) if b > a)
 
 
-def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, last: int) -> None:
-    """Rounds first to last over sets of mixed elements; done has a row of coordinates for each.
+def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray) -> None:
+    """The first rounds over sets of mixed elements; done has a row of coordinates for each.
 
     Each half of an element is mixed already: its product with an odd number of the
     round gives the bin, that of the other half the value. A round changes nothing in a set
@@ -89,24 +100,23 @@ def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, la
     row, out, base = np.arange(rows), done, np.repeat(np.arange(rows, dtype=np.uint32) * np.uint32(t), size)
     unfilled = out.reshape(-1) == _EMPTY
     held, place = np.empty_like(x), np.empty(len(x), np.intp)
-    for i in range(first, last):
+    for i in range(ROUNDS):
         odd = np.array([(2 * i + 1) * 0x9E3779B1 % 2**32, (2 * i + 1) * 0x85EBCA6B % 2**32], np.uint32)
-        if i < t:
-            np.multiply(x, odd[0], out=held)
-            held >>= np.uint32(16)
-            held *= np.uint32(t)
-            held >>= np.uint32(16)
-            held += base
-        else:
-            np.add(base, np.uint32(i - t), out=held)
+        np.multiply(x, odd[0], out=held)
+        held >>= np.uint32(16)
+        held *= np.uint32(t)
+        held >>= np.uint32(16)
+        held += base
         place[:] = held
         if i:
             free = np.flatnonzero(unfilled.take(place))
-            at, values = place[free], (y[free] ^ x[free]) * odd[1] if i >= t else y[free] * odd[1]
+            at, values = place[free], y[free] * odd[1]
         else:
             at, values = place, y * odd[1]
         np.minimum.at(out.reshape(-1), at, values)
         unfilled[at] = False
+        if i == ROUNDS - 1:
+            break
         open_ = unfilled.reshape(-1, t).any(axis=1)
         left = int(size[open_].sum())
         if left > STAY * len(x):
@@ -123,6 +133,35 @@ def _rounds(flat: np.ndarray, size: np.ndarray, done: np.ndarray, first: int, la
         done[row] = out
 
 
+def _fill(values: np.ndarray, left: np.ndarray, size: np.ndarray, done: np.ndarray) -> None:
+    """The last round for the sets `left`: each unfilled bin takes the least of all elements under a hash of its own.
+
+    Sets of about one size are rows of one table, the shorter ones with their last element repeated.
+    """
+    t, start = done.shape[1], np.cumsum(size) - size
+    seed = mix(np.arange(1, 2 * t + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32).reshape(2, t)
+    seed[1] |= np.uint32(1)
+    order = np.argsort(size, kind="stable")
+    order = order[np.searchsorted(size[order], 1) :]
+    left, start, size = left[order], start[order], size[order]
+    # a table ends where sizes reach a further power of two or its elements are enough
+    cut = np.flatnonzero((np.diff(np.cumsum(size) // TABLE) > 0) | (np.diff(np.frexp(size)[1]) > 0)) + 1
+    for a, b in zip(np.r_[0, cut].tolist(), np.r_[cut, len(left)].tolist()):
+        if a == b:
+            continue
+        width = int(size[b - 1])
+        each = values.take(start[a:b, None] + np.minimum(np.arange(width), size[a:b, None] - 1))
+        own, edges = done[left[a:b]].T.copy(), np.arange(0, each.size, width)
+        for k, one in enumerate(own):
+            rows = np.flatnonzero(one == _EMPTY)
+            if len(rows):
+                hashed = each.take(rows, axis=0)
+                hashed ^= seed[0, k]
+                hashed *= seed[1, k]
+                one[rows] = np.minimum.reduceat(hashed.ravel(), edges[: len(rows)])
+        done[left[a:b]] = own.T
+
+
 def bands_of(sketch: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key per band of `rows` coordinates; bands differ in their seed."""
     n, t = sketch.shape
@@ -157,18 +196,23 @@ def likely(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     return _with_both(pairs, few, ["n", "sig"]).mapInArrow(run, "a long, b long")
 
 
+def _slices(length: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of rows of about SLICE_BYTES and 4096 at most."""
+    held, cut = np.cumsum(length, dtype=np.int64), [0]
+    while cut[-1] < len(length):
+        start = cut[-1]
+        cut.append(min(start + 4096, max(start + 1, int(np.searchsorted(held, (held[start - 1] if start else 0) + SLICE_BYTES)))))
+    return list(zip(cut, cut[1:]))
+
+
 def confirm(pairs: DataFrame, near: DataFrame, hashes: Hashes, percent: int) -> DataFrame:
     """The pairs (a, b), a stored table, whose full sets share percent or more of their union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (batch.column(c).to_pylist() for c in ("text_a", "text_b"))
-            held = np.cumsum([len(x) + len(y) for x, y in zip(left, right)])
-            keep, start = [], 0
-            while start < batch.num_rows:
-                stop = min(start + 4096, max(start + 1, int(np.searchsorted(held, (held[start - 1] if start else 0) + SLICE_BYTES))))
-                keep.append(shared_enough(hashes(left[start:stop]), hashes(right[start:stop]), percent))
-                start = stop
+            cut = _slices(np.array([len(x) + len(y) for x, y in zip(left, right)], np.int64))
+            keep = [shared_enough(hashes(left[a:b]), hashes(right[a:b]), percent) for a, b in cut]
             yield batch.select(["a", "b"]).filter(pa.array(np.concatenate([*keep, np.empty(0, bool)])))
 
     # only texts of pairs are moved
@@ -388,15 +432,22 @@ def _linked(hashes: Hashes, percent: int) -> Callable:
 def signatures(texts: DataFrame, hashes: Hashes, t: int, rows: int) -> DataFrame:
     """(id, text, n, sig): n is the set's size; sig has one byte of each of t coordinates, those that the bands are made of, and one of each band key."""
 
+    def pieces(texts: pa.Array, sizes: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a, b in _slices(pc.binary_length(texts).to_numpy()):
+            flat, size = hashes(texts.slice(a, b - a).to_pylist())
+            sizes.append(distinct_sizes(flat, size))
+            yield flat, size
+
+    def marks(sketch: np.ndarray) -> np.ndarray:
+        return np.concatenate([bytes_of(sketch), (bands_of(sketch, rows) & 255).astype(np.uint8)], axis=1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                flat, size = hashes(batch.column(1).to_pylist())
-                sketch = sketches(flat, size, t)
-                sig = np.concatenate([bytes_of(sketch), (bands_of(sketch, rows) & 255).astype(np.uint8)], axis=1)
-                made = [pa.array(distinct_sizes(flat, size)), pa.array([s.tobytes() for s in sig], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["id", "text", "n", "sig"])
+        for batch in batches:
+            sizes: list[np.ndarray] = []
+            sketch = sketches_of(pieces(batch.column(1), sizes), t)
+            sig = [x.tobytes() for k in range(0, len(sketch), 512) for x in marks(sketch[k : k + 512])]
+            made = [pa.array(np.concatenate([np.empty(0, np.int64), *sizes])), pa.array(sig, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["id", "text", "n", "sig"])
 
     return texts.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, text binary, n long, sig binary")
 
@@ -406,6 +457,16 @@ CHUNK, PER_BUCKET = 500_000, 32_000
 _MEMBER = "key long, id long, against long"
 
 
+def _sorted(code: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of so many bits in order, and the place of each; equal ones by place. Numbers that hold both sort faster than places do."""
+    least = np.uint64(len(code).bit_length())
+    if bits + int(least) > 64:
+        order = np.argsort(code, kind="stable")
+        return code[order], order
+    both = np.sort(code << least | np.arange(len(code), dtype=np.uint64))
+    return both >> least, (both & (np.uint64(1) << least) - np.uint64(1)).view(np.int64)
+
+
 def _dealt(read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buckets: int) -> Callable:
     """Band entries of a task, packed by bucket: 31 bits of the key, and where the id lies above the chunk's least.
 
@@ -418,9 +479,9 @@ def _dealt(read: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buck
     def rows(ids: np.ndarray, bands: np.ndarray) -> Iterator[pa.RecordBatch]:
         h = bands.view(np.uint64).ravel()
         band = np.tile(np.arange(bands.shape[1], dtype=np.uint64), len(bands))
-        code = ((h & np.uint64(2**32 - 1)) % np.uint64(buckets) << np.uint64(31) | h >> np.uint64(33 + BAND_BITS) << np.uint64(BAND_BITS) | band).view(np.int64)
-        order = np.argsort(code)
-        code, own = code[order], ids[order // bands.shape[1]]
+        code = (h & np.uint64(2**32 - 1)) % np.uint64(buckets) << np.uint64(31) | h >> np.uint64(33 + BAND_BITS) << np.uint64(BAND_BITS) | band
+        code, order = _sorted(code, buckets.bit_length() + 31)
+        code, own = code.view(np.int64), ids[order // bands.shape[1]]
         first = np.r_[True, code[1:] != code[:-1]]
         at = np.flatnonzero(first)
         size = np.diff(np.r_[at, len(code)])
@@ -463,7 +524,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(bucket: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         word = np.concatenate([w for w, _ in held])
-        order = np.argsort(word >> 1, kind="stable")
+        order = _sorted((word >> 1).astype(np.uint64), 31)[1]
         word, own = word[order], np.concatenate([i for _, i in held])[order]
         at = np.flatnonzero(np.r_[True, word[1:] >> 1 != word[:-1] >> 1])
         size = np.diff(np.r_[at, len(word)])

@@ -24,3 +24,9 @@ def test_among_shuffles_no_rows(spark):
     df = spark.range(1000).selectExpr("id", "repeat('x', 100) AS text")
     plan = common.among(df, spark.range(10))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_among_copies_no_bitmap_for_a_row(spark):
+    """Bits are looked up in an array, which is read where it lies; a binary column would be copied for each row."""
+    plan = common.among(spark.range(1000), spark.range(10))._jdf.queryExecution().analyzed().toString()
+    assert "conv(" not in plan and "substr" not in plan

@@ -155,3 +155,37 @@ def test_a_key_of_two_is_one_row():
     out = [tuple(r.values()) for b in similar._met(iter(table.combine_chunks().to_batches())) for r in b.to_pylist()]
     assert [(i, a) for k, i, a in out if k is None] == [(1, 0)]
     assert sorted((i, a if a is not None else -1) for k, i, a in out if k is not None) == [(2, -1), (3, 2), (4, 2)]
+
+
+def test_sketches_are_the_same_in_any_pieces_and_company():
+    """Short and long sets, repeated elements and empty sets; every bin of others is filled, and equal ones are as many as the similarity says."""
+    rng = np.random.default_rng(4)
+    size = rng.choice([0, 1, 2, 7, 30, 64, 65, 300, 1200], 400)
+    flat = rng.integers(0, 2**63, int(size.sum())).astype(np.uint64)
+    sets = np.split(flat, np.cumsum(size)[:-1])
+    whole = similar.sketches(flat, size, 240)
+    for step in (1, 7, 400):
+        some = ((np.concatenate(sets[k : k + step]), size[k : k + step]) for k in range(0, len(sets), step))
+        assert (similar.sketches_of(some, 240) == whole).all()
+    twice = similar.sketches(np.concatenate([np.r_[x, x[::-1]] for x in sets]), 2 * size, 240)
+    assert (twice == whole).all() and ((whole == similar._EMPTY).any(axis=1) == (size == 0)).all()
+    for shared, own in ((6, 1), (60, 10), (240, 40)):
+        x = rng.integers(0, 2**63, (4000, shared + 2 * own)).astype(np.uint64)
+        a, b = (similar.sketches(half.ravel(), np.full(4000, shared + own), 240) for half in (x[:, : shared + own], np.c_[x[:, :shared], x[:, shared + own :]]))
+        assert abs((a == b).mean() - 0.75) < 0.005
+
+
+def test_places_of_lines_with_a_word():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aé \t\n\n漢\r\v") for _ in range(rng.choice([0, 1, 2, 5, 30]))) for _ in range(500)] + ["", "\n", "x", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    for some in (batch, batch.slice(7, 100), batch.slice(500), batch.slice(500, 1), batch.slice(0, 0)):
+        out = [r["places"] for y in line_dedup._places_of(iter([some])) for r in y.to_pylist()]
+        assert out == [np.array([k for k, line in enumerate(t.split("\n")) if line.strip(" \t\n\v\f\r")], np.int32).tobytes() for t in some.column(1).to_pylist()]
+
+
+def test_a_row_that_goes_wins_over_one_that_is_kept():
+    kind = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("kept", pa.int32())])
+    rows = [(1, np.array([0, 2, 3], np.int32).tobytes(), None), (1, None, -2), (1, None, 0), (1, None, 3), (2, None, -2 - 5), (2, np.array([5], np.int32).tobytes(), None), (2, None, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)
+    assert [tuple(r.values()) for b in line_dedup._left_out(iter([batch])) for r in b.to_pylist()] == [(1, 3, [0, 2]), (2, 1, [5])]
